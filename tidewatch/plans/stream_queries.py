@@ -25,7 +25,8 @@ def _with_timestamp(df: DataFrame, column: str = "event_time") -> DataFrame:
 
 def _through_files(spark, table: DataFrame, build, time: str = "event_time") -> DataFrame:
     out, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "checkpoint")
-    replay(table, time, lambda stream: to_files(build(stream), out, checkpoint))
+    closing = {"user_id": -1} if "user_id" in table.columns else None
+    replay(table, time, lambda stream: to_files(build(stream), out, checkpoint), closing=closing)
     return spark.read.parquet(out)
 
 

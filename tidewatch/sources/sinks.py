@@ -22,12 +22,11 @@ def epoch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_epochs(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Everything written so far, with its ``epoch``; empty before the first batch."""
+def read_epochs(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Everything written so far (the schema names ``epoch`` too); empty before the first batch."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema).withColumn(EPOCH, F.lit(0).cast("bigint"))
-    rows = spark.read.schema(schema.add(EPOCH, "bigint") if EPOCH not in schema.names else schema)
-    return rows.option("basePath", path).parquet(path)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,20 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.operators import ordered
 from tidewatch.operators.behavior import ORDER, USER
 from tidewatch.sources.sinks import EPOCH, epoch_writer, read_epochs
 
-STEP_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField(ordered.CHUNK, T.IntegerType()),
-        T.StructField("total", T.LongType()),
-        T.StructField("lowest", T.LongType()),
-    ]
-)
+STEPS = f"user_id string, {ordered.CHUNK} int, total bigint, lowest bigint, {EPOCH} bigint"
 
 
 def score_steps(
@@ -54,7 +46,7 @@ def score_writer(path: str, max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY):
 
 def current_scores(spark: SparkSession, path: str) -> DataFrame:
     """Score per user after all stored batches."""
-    steps = read_epochs(spark, path, STEP_SCHEMA)
+    steps = read_epochs(spark, path, STEPS)
     upto = (
         Window.partitionBy("user_id")
         .orderBy(EPOCH, ordered.CHUNK)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as V
-from tidewatch.functions.temporal import epoch_seconds
 from tidewatch.operators.fraud import user_window_features
 from tidewatch.sources.sinks import EPOCH
 
@@ -33,28 +32,23 @@ def stream_fraud_features(
 ) -> DataFrame:
     """Every transaction with each of its user's closed windows (end inclusive).
 
-    The time range bounds the state; the equi key holds the slide step besides
-    the user, so the state of a hot user is spread over its steps.
+    Each transaction is given the ends of all windows it falls into and meets
+    the windows on (user, window end). As the watermark is on that key, both
+    sides drop their state when the window is done, and the state of a hot user
+    is spread over its windows. A range condition on the window's bounds would
+    keep every row for ever.
     """
-    windows = stream_user_features(txns, window_s, slide_s, delay)
-    first = F.floor(epoch_seconds("window.start") / slide_s)
-    windows = windows.withColumn("_step", F.explode(F.sequence(first, first + window_s // slide_s)))
-    moves = txns.withWatermark("event_time", delay).withColumn(
-        "_step", F.floor(epoch_seconds("event_time") / slide_s)
+    windows = stream_user_features(txns, window_s, slide_s, delay).select(
+        "user_id", F.col("window.end").alias("window_end"), "txn_count", "avg_amount"
     )
-    t, w = moves.alias("t"), windows.alias("w")
-    match = (
-        (F.col("t.user_id") == F.col("w.user_id"))
-        & (F.col("t._step") == F.col("w._step"))
-        & (F.col("t.event_time") >= F.col("w.window.start"))
-        & (F.col("t.event_time") <= F.col("w.window.end"))
-    )
-    return t.join(w, match).select(
-        *[F.col(f"t.{c}") for c in txns.columns],
-        F.col("w.window.start").alias("window_start"),
-        F.col("w.window.end").alias("window_end"),
-        F.col("w.txn_count"),
-        F.col("w.avg_amount"),
+    micros, slide = F.unix_micros("event_time"), slide_s * 1_000_000
+    first = F.ceil(micros / slide)
+    last = F.floor((micros + window_s * 1_000_000) / slide)
+    ends = F.transform(F.sequence(first, last), lambda e: F.timestamp_micros(e * slide))
+    moves = txns.withColumn("window_end", F.explode(ends)).withWatermark("window_end", delay)
+    start = F.col("window_end") - F.expr(f"INTERVAL {window_s} SECONDS")
+    return moves.join(windows, ["user_id", "window_end"]).select(
+        *txns.columns, start.alias("window_start"), "window_end", "txn_count", "avg_amount"
     )
 
 

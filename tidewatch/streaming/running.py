@@ -52,13 +52,15 @@ def replay(
     make_writer: Callable[[DataFrame], DataStreamWriter],
     slices: int = 3,
     quiet: timedelta = timedelta(days=30),
+    closing: dict | None = None,
 ) -> None:
     """Run a query over a table as if it arrived in ``slices`` steps of time.
 
     Each slice is written to a folder that the file source watches, then the
     query resumes from its checkpoint and takes the new files as one batch, so
-    a slice may have any number of files. A last row, ``quiet`` after the end
-    and null in all other columns, moves the watermark past all real windows.
+    a slice may have any number of files. A last row, ``quiet`` after the end,
+    moves the watermark past all real windows; it holds the ``closing`` values
+    (keys that are filtered on must not be null) and null elsewhere.
     """
     spark, schema = table.sparkSession, table.schema
     folder = scratch_path(spark, "replay")
@@ -76,5 +78,5 @@ def replay(
         if i < slices - 1:
             part = part & (F.col(time) < F.lit(high))
         deliver(table.filter(part))
-    beat = [F.lit(last + quiet if c == time else None).cast(t).alias(c) for c, t in table.dtypes]
-    deliver(spark.range(1).select(*beat))
+    end = {**(closing or {}), time: last + quiet}
+    deliver(spark.range(1).select(*[F.lit(end.get(c)).cast(t).alias(c) for c, t in table.dtypes]))
