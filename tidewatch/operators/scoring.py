@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch import fixed_values as V
-from tidewatch.functions.text import lower_tokens
+from tidewatch.functions.text import NO_TOKEN, let
 
 Scorer = Callable[[Column], Column]
 SCORES = T.MapType(T.StringType(), T.DoubleType())
 
 
+def _listed(text: Column, words: Iterable[str]) -> Column:
+    """The tokens of a text that are on any list: a short array."""
+    return F.filter(F.split(F.lower(text), NO_TOKEN), lambda t: t.isin(*words))
+
+
 def _hits(tokens: Column, words: Sequence[str]) -> Column:
     return F.size(F.filter(tokens, lambda t: t.isin(*words)))
 
@@ -26,8 +31,8 @@ def lexicon_sentiment(
     """1.0 when positive words outnumber negative ones, else 0.0."""
 
     def score(text: Column) -> Column:
-        tokens = lower_tokens(text)
-        better = _hits(tokens, positive) > _hits(tokens, negative)
+        listed = _listed(text, [*positive, *negative])
+        better = let(listed, lambda t: _hits(t, positive) > _hits(t, negative))
         return F.when(better, F.lit(1.0)).when(text.isNotNull(), F.lit(0.0))
 
     return score
@@ -36,14 +41,17 @@ def lexicon_sentiment(
 def lexicon_toxicity(lexicon: Mapping[str, Sequence[str]] = V.TOXICITY_LEXICON) -> Scorer:
     """Score per category: 0.95 for one listed word, 1.0 for more; overall = maximum."""
 
-    def score(text: Column) -> Column:
-        tokens = lower_tokens(text)
-        parts = {c: F.least(F.lit(1.0), _hits(tokens, w) * F.lit(0.95)) for c, w in lexicon.items()}
-        overall = F.greatest(*parts.values()) if len(parts) > 1 else next(iter(parts.values()))
+    def by_category(listed: Column) -> Column:
+        parts = {c: F.least(F.lit(1.0), _hits(listed, w) * F.lit(0.95)) for c, w in lexicon.items()}
+        overall = F.array_max(F.array(*parts.values()))
         entries = [F.lit("toxicity"), overall]
         for category, value in parts.items():
             entries += [F.lit(category), value]
-        return F.when(text.isNotNull(), F.create_map(*entries))
+        return F.create_map(*entries)
+
+    def score(text: Column) -> Column:
+        listed = _listed(text, [w for words in lexicon.values() for w in words])
+        return F.when(text.isNotNull(), let(listed, by_category))
 
     return score
 

@@ -38,7 +38,10 @@ def daily_return(
     order: Sequence[str] = ORDER,
     max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Change against the previous row, gaps filled with the last known value."""
+    """Change against the previous row, gaps filled with the last known value.
+
+    A change from 0 is infinite; from 0 to 0 it is null.
+    """
     parts, split = ordered.chunked(bars, keys, order, max_rows_per_key)
     here = ordered.in_chunk(keys, order)
     upto = here.rowsBetween(Window.unboundedPreceding, 0)
@@ -58,9 +61,9 @@ def daily_return(
         filled = filled.withColumn("_carry", F.lit(None).cast("double"))
     current = F.coalesce("_filled", "_carry")
     before = F.coalesce(F.lag("_filled").over(here), F.col("_carry"))
-    return filled.withColumn("daily_return", F.try_divide(current, before) - 1).drop(
-        "_filled", "_carry", ordered.CHUNK
-    )
+    infinite = F.signum(current) * F.lit(float("inf"))
+    change = F.when(before != 0, current / before - 1).when(current != 0, infinite)
+    return filled.withColumn("daily_return", change).drop("_filled", "_carry", ordered.CHUNK)
 
 
 def recent_bars(bars: DataFrame, n: int = 500, sma: int = 50) -> DataFrame:

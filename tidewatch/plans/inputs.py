@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as V
 from tidewatch.operators import behavior, chat, fraud, moderation, scoring
+from tidewatch.session import pin
 from tidewatch.sources.readers import read_table
 
 # Parameters of the queries: the tables hold other words and amounts than the
@@ -187,10 +188,10 @@ def offences(spark: SparkSession, d: str) -> DataFrame:
     return behavior.offence_points(found.unionByName(manual_actions(spark, d)))
 
 
-def scored_offences(spark: SparkSession, d: str) -> DataFrame:
-    return behavior.behavior_score(offences(spark, d))
+def offence_log(spark: SparkSession, d: str) -> DataFrame:
+    """The offences as the stored table that all score work starts from."""
+    return pin(offences(spark, d))
 
 
-def without_content(spark: SparkSession, d: str) -> DataFrame:
-    """Offences for score work: the text stays behind."""
-    return offences(spark, d).drop("content", "colour")
+def scored_offences(spark: SparkSession, d: str) -> DataFrame:
+    return behavior.behavior_score(offence_log(spark, d))

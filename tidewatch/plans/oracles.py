@@ -264,8 +264,9 @@ ORACLES: dict[str, str] = {
     "daily_return": f"""WITH {BARS},
 filled AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts, bar_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM bars)
-SELECT symbol, ts, bar_id, close, round(f / lag(f) OVER (PARTITION BY symbol ORDER BY ts, bar_id) - 1, 6)
-  AS daily_return FROM filled""",
+SELECT symbol, ts, bar_id, close, CASE WHEN p <> 0 THEN round(f / p - 1, 6) WHEN f > 0 THEN 'inf'::DOUBLE
+  WHEN f < 0 THEN '-inf'::DOUBLE END AS daily_return
+  FROM (SELECT *, lag(f) OVER (PARTITION BY symbol ORDER BY ts, bar_id) AS p FROM filled)""",
     "recent_bars": f"WITH {RECENT} SELECT * REPLACE (round(sma_50, 6) AS sma_50) FROM recent",
     "series_payload": f"""WITH {RECENT} SELECT symbol,
   string_agg(strftime(ts, '%Y-%m-%d'), ',' ORDER BY ts, bar_id) AS dates,

@@ -493,13 +493,13 @@ def offence_points(spark, d):
 
 @query
 def behavior_score(spark, d):
-    scored = behavior.behavior_score(I.without_content(spark, d))
+    scored = I.scored_offences(spark, d)
     return scored.select("user_id", "message_id", "seq", "points", "score")
 
 
 @query
 def user_stats(spark, d):
-    return behavior.user_stats(behavior.behavior_score(I.without_content(spark, d)))
+    return behavior.user_stats(I.scored_offences(spark, d))
 
 
 @query
@@ -510,12 +510,12 @@ def recent_history(spark, d):
 
 @query
 def offender_ledger(spark, d):
-    return behavior.offender_ledger(behavior.behavior_score(I.without_content(spark, d)))
+    return behavior.offender_ledger(I.scored_offences(spark, d))
 
 
 @query
 def history_pages(spark, d):
-    pages = behavior.history_pages(I.offences(spark, d), page_rows=10)
+    pages = behavior.history_pages(I.offence_log(spark, d), page_rows=10)
     return pages.select(
         "user_id",
         "page",

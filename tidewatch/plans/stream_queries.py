@@ -73,7 +73,7 @@ def stream_hype_meter(spark, d):
 
 
 def stream_behavior_score(spark, d):
-    offences = _with_timestamp(I.without_content(spark, d), "ts")
+    offences = _with_timestamp(I.offences(spark, d).drop("content", "colour"), "ts")
     path, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "checkpoint")
     replay(offences, "ts", lambda s: to_batches(s, behavior_stream.score_writer(path), checkpoint))
     return behavior_stream.current_scores(spark, path)
