@@ -44,7 +44,7 @@ def with_examples(comments: DataFrame, labelled: DataFrame) -> DataFrame:
         pick(F.min_by, ~violating).alias("negative_example_1"),
         pick(F.max_by, ~violating).alias("negative_example_2"),
     )
-    return lookup_join(comments, examples, ["rule"], "left", max_rows=500, max_chars=400_000)
+    return lookup_join(comments, examples, ["rule"], "left", max_rows=200, max_chars=200_000)
 
 
 def fewshot_prompt(separator: str = V.SEPARATOR_PLACEHOLDER, flag_links: bool = False) -> Column:
@@ -118,9 +118,7 @@ def stratified_split(
     )
     cuts = ranked.filter(F.col("_rank") == F.col("need")).select("_label", "_code")
     cut = {r._label: r._code for r in local_rows(cuts)}
-    cut_of = F.coalesce(
-        *[F.when(F.col(label) == value, F.lit(c)) for value, c in cut.items()], F.lit("")
-    )
+    cut_of = F.create_map(*[F.lit(v) for pair in cut.items() for v in pair])[F.col(label)]
     return df.withColumn("split", F.when(code <= cut_of, "val").otherwise("train"))
 
 
@@ -152,15 +150,17 @@ def with_error_type(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
-def top_errors(df: DataFrame, error_type: str, k: int = 3, text: str = "body") -> DataFrame:
+def top_errors(errors: DataFrame, comments: DataFrame, error_type: str, k: int = 3) -> DataFrame:
     """Most confident false positives, or least confident false negatives.
 
-    Links are redacted after the cut, for the ``k`` shown rows only.
+    The cut is made on the narrow prediction rows. The comments are then
+    filtered by the ``k`` rows found, and links redacted in those only.
     """
     prob = F.col("prob_violation")
     order = prob.desc() if error_type == V.FALSE_POSITIVE else prob.asc()
-    top = df.filter(F.col("error_type") == error_type).orderBy(order, "row_id").limit(k)
-    return top.withColumn(text, redact_links(text))
+    top = errors.filter(F.col("error_type") == error_type).orderBy(order, "row_id").limit(k)
+    shown = comments.join(F.broadcast(top), "row_id")
+    return shown.withColumn("body", redact_links("body")).orderBy(order, "row_id")
 
 
 def auc(df: DataFrame, label: str = "true_label", score: str = "prob_violation") -> DataFrame:

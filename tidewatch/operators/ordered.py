@@ -30,16 +30,17 @@ def chunked(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    max_rows_per_key: int = MAX_ROWS_PER_KEY,
+    max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
     chunks: int | None = None,
 ) -> tuple[DataFrame, bool]:
     """Add ``_chunk``: consecutive runs of each key's rows in ``order``.
 
     ``order`` must be unique within a key. Without a large key every row is in
     chunk 0 and nothing is moved or written; the flag says whether keys were
-    split.
+    split. The check counts rows per key, so ``df`` should be a stored table;
+    ``max_rows_per_key=None`` states that keys are known to be small.
     """
-    if largest_group(df, keys) <= max_rows_per_key:
+    if max_rows_per_key is None or largest_group(df, keys) <= max_rows_per_key:
         return df.withColumn(CHUNK, F.lit(0)), False
     bounds = [*keys, *order]
     ranged = df.repartitionByRange(chunks, *bounds) if chunks else df.repartitionByRange(*bounds)
@@ -78,7 +79,7 @@ def rolling(
     order: Sequence[str],
     n: int,
     columns: dict[str, Callable[[WindowSpec], Column]],
-    max_rows_per_key: int = MAX_ROWS_PER_KEY,
+    max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Columns over the last ``n`` rows of a key.
 

@@ -21,7 +21,7 @@ def moving_average(
     value: str = "close",
     keys: Sequence[str] = KEYS,
     order: Sequence[str] = ORDER,
-    max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY,
+    max_rows_per_key: int | None = ordered.MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Mean of the last ``n`` rows; null unless all ``n`` are there and non-null."""
 
@@ -71,7 +71,7 @@ def recent_bars(bars: DataFrame, n: int = 500, sma: int = 50) -> DataFrame:
     newest_first = [F.desc(c) for c in ORDER]
     recent = top_per_key(bars, KEYS, newest_first, n, spread=("bar_id",)).drop("rank")
     # At most n rows per symbol are left, so a plain window per symbol is bounded.
-    return moving_average(recent, sma, max_rows_per_key=n)
+    return moving_average(recent, sma, max_rows_per_key=None)
 
 
 def series_payload(bars: DataFrame, n: int = 500, sma: int = 50) -> DataFrame:

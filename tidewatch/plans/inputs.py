@@ -53,21 +53,22 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, d: str) -> DataFrame:
-    """Click and error events with the document of their number as text."""
-    texts = table(spark, d, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    """Click and error events, scored by the document of their number.
+
+    Texts are scored before the join, so only the score moves.
+    """
+    score = scoring.lexicon_sentiment(POSITIVE, NEGATIVE)(F.col("text"))
+    scores = table(spark, d, "documents").select(
+        F.col("doc_id").alias("event_id"), score.alias("sentiment_score")
+    )
     said = table(spark, d, "events").filter(F.col("event_type").isin("click", "error"))
-    return said.join(texts, "event_id").select(
-        "event_id", F.col("user_id").alias("username"), "text", F.col("ts").alias("event_time")
+    return said.join(scores, "event_id").select(
+        "event_id", F.col("ts").alias("event_time"), "sentiment_score"
     )
 
 
-def sentiment() -> scoring.Scorer:
-    return scoring.lexicon_sentiment(POSITIVE, NEGATIVE)
-
-
 def social(spark: SparkSession, d: str) -> DataFrame:
-    scored = posts(spark, d).withColumn("sentiment_score", sentiment()(F.col("text")))
-    return scored.select("event_time", "sentiment_score")
+    return posts(spark, d).select("event_time", "sentiment_score")
 
 
 def comments(spark: SparkSession, d: str) -> DataFrame:

@@ -24,6 +24,7 @@ from tidewatch.operators import (
 )
 from tidewatch.plans import inputs as I
 from tidewatch.plans import stream_queries
+from tidewatch.session import pin
 from tidewatch.sources.readers import flatten_keyed_series
 from tidewatch.sources.streams import decode_json
 
@@ -363,7 +364,7 @@ def encode_tokens(spark, d):
 
 @query
 def sentiment_score(spark, d):
-    return I.posts(spark, d).select("event_id", I.sentiment()(F.col("text")).alias("sentiment_score"))
+    return I.posts(spark, d).select("event_id", "sentiment_score")
 
 
 @query
@@ -432,9 +433,8 @@ def error_distribution(spark, d):
 
 
 def _top_errors(spark, d, kind: str) -> DataFrame:
-    """The comment texts are fetched for the few top rows only."""
-    joined = moderation.join_predictions(I.comments(spark, d), I.errors(spark, d))
-    return moderation.top_errors(joined, kind, 5).select("row_id", "rule", "prob_violation", "body")
+    top = moderation.top_errors(I.errors(spark, d), I.comments(spark, d), kind, 5)
+    return top.select("row_id", "rule", "prob_violation", "body")
 
 
 @query
@@ -549,7 +549,7 @@ def training_union(spark, d):
 @query
 def isolation_forest_scores(spark, d):
     key = F.concat_ws("@", "transaction_id", "window_start").alias("row_key")
-    rows = I.features(spark, d).select(key, "amount", "txn_count", "avg_amount")
+    rows = pin(I.features(spark, d).select(key, "amount", "txn_count", "avg_amount"))
     forest = anomaly.fit_isolation_forest(rows, "row_key")
     return forest.score(rows)
 
