@@ -62,7 +62,8 @@ def daily_return(
     current = F.coalesce("_filled", "_carry")
     before = F.coalesce(F.lag("_filled").over(here), F.col("_carry"))
     infinite = F.signum(current) * F.lit(float("inf"))
-    change = F.when(before != 0, current / before - 1).when(current != 0, infinite)
+    from_zero = F.when(current != 0, infinite)
+    change = F.when(before == 0, from_zero).otherwise(current / before - 1)
     return filled.withColumn("daily_return", change).drop("_filled", "_carry", ordered.CHUNK)
 
 
