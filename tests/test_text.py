@@ -42,7 +42,7 @@ def test_keyword_check(spark, text, normalized, token, squeezed):
 
 
 def test_token_mode(spark):
-    hit = lambda t: T.keyword_hit(T.normalize(t), ("ass", "kill yourself"), "token")
+    hit = lambda t: T.keyword_hit(T.normalize(t), None, ("ass", "kill yourself"), "token")
     assert values(spark, hit, ["This class", "you ass", "killyourself"]) == [False, True, True]
 
 

@@ -76,13 +76,26 @@ def lower_tokens(text) -> Column:
     return F.filter(F.split(F.lower(_col(text)), NO_TOKEN), lambda w: w != "")
 
 
-def leet_substitute(text, mapping: Mapping[str, str] = V.LEET_MAP) -> Column:
-    return F.translate(F.lower(_col(text)), "".join(mapping), "".join(mapping.values()))
+# ASCII characters that are neither letters nor white space.
+ASCII_OTHERS = "".join(chr(c) for c in range(128) if not chr(c).isalpha() and not chr(c).isspace())
 
 
 def normalize(text, mapping: Mapping[str, str] = V.LEET_MAP) -> Column:
-    """Lower-case, undo substitutions, keep only ``a-z`` and white space."""
-    return F.regexp_replace(leet_substitute(text, mapping), f"[^a-z{SPACE}]", "")
+    """Lower-case, undo substitutions, keep only ``a-z`` and white space.
+
+    One translation substitutes and drops all ASCII at once. Only a text that
+    still has other characters goes through the pattern.
+    """
+    dropped = "".join(c for c in ASCII_OTHERS if c not in mapping)
+    ascii_done = F.translate(
+        F.lower(_col(text)), "".join(mapping) + dropped, "".join(mapping.values())
+    )
+
+    def finish(t: Column) -> Column:
+        is_ascii = F.octet_length(t) == F.char_length(t)
+        return F.when(is_ascii, t).otherwise(F.regexp_replace(t, f"[^a-z{SPACE}]", ""))
+
+    return let(ascii_done, finish)
 
 
 def squeeze(normalized) -> Column:
@@ -96,13 +109,8 @@ def token_hit(normalized, word_list: Sequence[str]) -> Column:
     return F.arrays_overlap(words(normalized), listed)
 
 
-def squeezed_hit(normalized, word_list: Sequence[str]) -> Column:
-    """A listed word is a substring of the squeezed text."""
-    return let(squeeze(normalized), lambda t: contains_any(t, word_list))
-
-
-def keyword_hit(normalized, word_list: Sequence[str], mode: str = "substring") -> Column:
-    """Word check on normalised text.
+def keyword_hit(normalized, squeezed, word_list: Sequence[str], mode: str = "substring") -> Column:
+    """Word check on normalised text and its squeezed form.
 
     ``substring``: token hit or substring of the squeezed text. A token never
     holds a blank, so it survives the squeezing and the substring test alone
@@ -110,7 +118,7 @@ def keyword_hit(normalized, word_list: Sequence[str], mode: str = "substring") -
     """
     if mode == "token":
         return token_hit(normalized, [w.replace(" ", "") for w in word_list])
-    return squeezed_hit(normalized, word_list)
+    return contains_any(_col(squeezed), word_list)
 
 
 def phrase_hit(text, phrases: Sequence[str] = V.SPAM_PHRASES) -> Column:
@@ -128,17 +136,20 @@ URL_PATTERN = (
 URL_TAIL = r"[\s.,;:!?()\[\]{}<>\"'|]+$"
 
 
+def possible_urls(text) -> Column:
+    """A cheap test that every text with a link passes."""
+    return _col(text).rlike(r"\.[^\s.]|://")
+
+
 def extract_urls(text) -> Column:
     """Links of a text in order: with scheme, ``www.`` or a known ending.
 
-    Texts without a dot before a letter or digit and without ``://`` skip the
-    pattern.
+    Texts that cannot hold a link skip the pattern.
     """
     text = _col(text)
     found = F.regexp_extract_all(text, F.lit(URL_PATTERN), F.lit(1))
     links = F.transform(found, lambda u: F.regexp_replace(u, URL_TAIL, ""))
-    possible = text.rlike(r"\.[^\s.]|://")
-    return F.when(possible, links).when(text.isNotNull(), F.array().cast("array<string>"))
+    return F.when(possible_urls(text), links).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def url_host(url) -> Column:

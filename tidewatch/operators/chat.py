@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from tidewatch import fixed_values as V
 from tidewatch.functions.numeric import map_get
 from tidewatch.functions.text import (
+    contains_any,
     extract_urls,
     is_trusted,
     keyword_hit,
     normalize,
     normalize_domain,
     phrase_hit,
-    squeezed_hit,
+    possible_urls,
+    squeeze,
     token_hit,
     url_host,
 )
@@ -33,13 +35,13 @@ def keyword_hits(
     messages: DataFrame, word_list: Sequence[str] = V.TRIGGER_WORDS, text: str = "text"
 ) -> DataFrame:
     """Normalised text, token hit, squeezed substring hit and their union."""
-    return messages.withColumn("normalized", normalize(text)).withColumns(
+    texts = messages.withColumn("normalized", normalize(text)).withColumn("squeezed", squeeze("normalized"))
+    return texts.withColumn("token_hit", token_hit("normalized", word_list)).withColumns(
         {
-            "token_hit": token_hit("normalized", word_list),
-            "squeezed_hit": squeezed_hit("normalized", word_list),
-            "hit": keyword_hit("normalized", word_list),
+            "squeezed_hit": contains_any(F.col("squeezed"), word_list),
+            "hit": keyword_hit("normalized", "squeezed", word_list),
         }
-    )
+    ).drop("squeezed")
 
 
 def untrusted_urls(urls: DataFrame, url: str = "url", domains: DataFrame | None = None) -> DataFrame:
@@ -112,13 +114,14 @@ def moderation_verdict(
     become an offence; those are nearly all.
     """
     scorer = scorer or lexicon_toxicity()
-    normalized = F.col("_normalized")
-    checked = messages.withColumn("_normalized", normalize("text")).withColumns(
+    normalized, squeezed = F.col("_normalized"), F.col("_squeezed")
+    texts = messages.withColumn("_normalized", normalize("text")).withColumn("_squeezed", squeeze(normalized))
+    checked = texts.withColumns(
         {
-            "_zero": keyword_hit(normalized, zero_tolerance, mode),
+            "_zero": keyword_hit(normalized, squeezed, zero_tolerance, mode),
             "_spam": phrase_hit("text", phrases),
-            "_trigger": keyword_hit(normalized, triggers, mode),
-            "_links": F.size(extract_urls("text")) > 0,
+            "_trigger": keyword_hit(normalized, squeezed, triggers, mode),
+            "_links": possible_urls("text"),
         }
     )
     open_case = F.col("_trigger")
@@ -171,7 +174,7 @@ def text_audit(
     audited = texts.withColumn("normalized", normalize(text)).withColumn(
         "_scores", scorer(F.col("normalized"))
     )
-    columns = {"fast_trigger": keyword_hit("normalized", triggers)}
+    columns = {"fast_trigger": keyword_hit("normalized", squeeze("normalized"), triggers)}
     for category in categories:
         score = map_get("_scores", category, 0.0)
         columns[f"{category}_score"] = F.format_string("%.4f", score)

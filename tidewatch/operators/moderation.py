@@ -31,7 +31,8 @@ def with_examples(comments: DataFrame, labelled: DataFrame) -> DataFrame:
     """Give every comment two positive and two negative examples of its rule.
 
     The examples are the first and last labelled comment of the rule and label
-    by row id, found with combinable aggregates.
+    by row id, found with combinable aggregates. They are cleaned here, once
+    per rule and not once per comment.
     """
     violating = F.col("rule_violation") == 1
 
@@ -44,14 +45,21 @@ def with_examples(comments: DataFrame, labelled: DataFrame) -> DataFrame:
         pick(F.min_by, ~violating).alias("negative_example_1"),
         pick(F.max_by, ~violating).alias("negative_example_2"),
     )
-    return lookup_join(comments, examples, ["rule"], "left", max_rows=200, max_chars=200_000)
+    cleaned = examples.withColumns({name: clean_text(name) for name in EXAMPLES})
+    return lookup_join(comments, cleaned, ["rule"], "left", max_rows=200, max_chars=200_000)
 
 
-def fewshot_prompt(separator: str = V.SEPARATOR_PLACEHOLDER, flag_links: bool = False) -> Column:
-    """The model input of a comment: body, rule and examples, each part cleaned."""
+def fewshot_prompt(
+    separator: str = V.SEPARATOR_PLACEHOLDER, flag_links: bool = False, clean_examples: bool = True
+) -> Column:
+    """The model input of a comment: body, rule and examples, each part cleaned.
+
+    ``clean_examples=False`` is for examples that were cleaned before.
+    """
 
     def part(name: str) -> Column:
-        return F.coalesce(clean_text(name), F.lit(""))
+        raw = name in EXAMPLES and not clean_examples
+        return F.coalesce(F.col(name) if raw else clean_text(name), F.lit(""))
 
     sections = [
         F.concat(F.lit("COMMENT TO CLASSIFY: "), part("body")),

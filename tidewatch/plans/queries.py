@@ -385,7 +385,7 @@ def text_audit(spark, d):
 def _prompts(spark, d, **options) -> DataFrame:
     comments = I.comments(spark, d)
     full = moderation.with_examples(comments, comments)
-    return full.select("row_id", moderation.fewshot_prompt("</s>", **options).alias("prompt"))
+    return full.select("row_id", moderation.fewshot_prompt("</s>", clean_examples=False, **options).alias("prompt"))
 
 
 @query
@@ -558,7 +558,8 @@ def isolation_forest_scores(spark, d):
 def moderation_model_scores(spark, d):
     comments = I.comments(spark, d)
     split = moderation.stratified_split(comments, "row_id", "rule_violation")
-    rows = split.withColumn("model_input", text.clean_text("body"))
+    # Training reads its input several times: the cleaned texts are stored once.
+    rows = pin(split.select("row_id", "rule_violation", "split", text.clean_text("body").alias("model_input")))
     model = classifier.build_pipeline().fit(rows.filter("split = 'train'"))
     scored = classifier.predict(model, rows.filter("split = 'val'"))
     return scored.select("row_id", F.col("rule_violation").alias("true_label"), "prob_violation")
