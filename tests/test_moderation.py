@@ -99,10 +99,11 @@ def test_recent_history(spark):
         [("u", "n", i, 0, "Toxicity", i, f"c{i}") for i in range(1, 8)],
         "user_id string, name string, message_id int, seq int, offense string, points int, content string",
     ).withColumn("ts", F.timestamp_seconds(F.col("message_id") * 60))
-    recent = behavior.recent_history(behavior.behavior_score(rows)).orderBy("rank").collect()
+    stats = behavior.user_stats(behavior.behavior_score(rows))
+    recent = behavior.recent_history(rows, stats).orderBy("rank").collect()
     assert [r.content for r in recent] == ["c7", "c6", "c5", "c4", "c3"]
     assert recent[0].title == "1970-01-01 00:07 | Toxicity (+7)"
-    assert {r.total_score for r in recent} == {28}
+    assert {r.behavior_score for r in recent} == {28}
 
 
 def test_softmax(spark):

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch import session
 from tidewatch.operators import anomaly, classifier
 from tidewatch.session import pin, scratch_path, shared_dir
 from tidewatch.sources import readers, sinks
@@ -19,6 +20,7 @@ def test_comments_csv(spark, tmp_path):
     assert rows[1].rule_violation is None
     with pytest.raises(FileNotFoundError):
         readers.read_comments(spark, str(tmp_path / "none.csv"))
+    assert readers.read_comments(spark, str(tmp_path / "none.csv"), missing="empty").count() == 0
 
 
 def test_ledger(spark, tmp_path):
@@ -77,6 +79,16 @@ def test_shared_dir_is_the_named_one(spark):
     assert fixed.exceptAll(fixed).count() == 0 and fixed.count() == 5
 
 
+def test_release_deletes_own_scratch_only(spark):
+    mine = scratch_path(spark, "mine")
+    other = f"{shared_dir(spark)}/other-{mine[-8:]}"
+    for path in (mine, other):
+        spark.range(3).write.parquet(path)
+    session._scratch[:] = [mine]
+    session.release(spark)
+    assert not readers.path_exists(spark, mine) and readers.path_exists(spark, other)
+
+
 def forest_rows(spark):
     near = F.when(F.col("id") < 950, F.col("id") % 10).otherwise(F.lit(500) + F.col("id"))
     return spark.range(1000).select("id", near.cast("double").alias("amount"), (F.col("id") % 3).alias("txn_count"), near.cast("double").alias("avg_amount"))

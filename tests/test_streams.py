@@ -9,6 +9,7 @@ from tidewatch.session import scratch_path
 from tidewatch.sources import sinks, streams
 from tidewatch.streaming import fraud as fraud_stream
 from tidewatch.streaming import hype as hype_stream
+from tidewatch.streaming import jobs
 from tidewatch.streaming.running import drain, drain_until, replay, to_batches, to_files
 
 START = datetime(2024, 1, 1)
@@ -118,3 +119,53 @@ def test_two_sinks_for_one_result(spark):
     drain(sinks.console_writer(stream, scratch_path(spark, "cp")))
     times = spark.read.parquet(stored).select("event_time").distinct().collect()
     assert len(times) == 1 and times[0].event_time > START
+
+
+def feed(spark, folder, rows, schema):
+    df = spark.createDataFrame(rows, schema)
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("append").text(folder)
+
+
+def test_fraud_job_from_messages_to_messages(spark):
+    folder, out, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "cp"))
+    schema = "user_id int, transaction_id string, amount double, timestamp string"
+    text = lambda m: (START + timedelta(minutes=m)).isoformat(sep=" ")
+    feed(spark, folder, [(1, "a", 600.0, text(3)), (1, "b", 20.0, text(8))], schema)
+    spark.createDataFrame([("garbage",)], "value string").write.mode("append").text(folder)
+    build = lambda: jobs.fraud_alert_messages(streams.event_source(spark, "text", path=folder))
+    drain(to_files(build(), out, checkpoint))
+    feed(spark, folder, [(9, "beat", 0.0, text(600))], schema)
+    drain(to_files(build(), out, checkpoint))
+    got = sorted(r.value for r in spark.read.parquet(out).collect())
+    alert = '{"transaction_id":"%s","user_id":1,"amount":%s,"is_fraud_alert":%s,"fraud_score":%s}'
+    assert got == sorted(
+        [
+            alert % ("a", "600.0", "true", "0.1"),
+            alert % ("a", "600.0", "true", "0.2"),
+            alert % ("b", "20.0", "false", "0.2"),
+            alert % ("b", "20.0", "false", "0.1"),
+        ]
+    )
+
+
+def test_hype_job_from_messages_to_keyed_table(spark):
+    prices, posts, out, checkpoint = (scratch_path(spark, n) for n in ("p", "s", "table", "cp"))
+    millis = lambda s: int((START + timedelta(seconds=s)).timestamp() * 1000)
+    price_schema, social_schema = "symbol string, price double, timestamp bigint", "username string, text string, timestamp bigint"
+    feed(spark, prices, [("B", 100.0, millis(0)), ("B", 102.0, millis(5)), ("B", 110.0, millis(12))], price_schema)
+    feed(spark, posts, [("u", "to the moon", millis(3)), ("u", "crash", millis(9)), ("u", "win", millis(25))], social_schema)
+
+    def run_once():
+        rows = jobs.hype_meter_rows(
+            streams.event_source(spark, "text", path=prices), streams.event_source(spark, "text", path=posts)
+        )
+        for writer in jobs.hype_writers(rows, sinks.epoch_writer(out), checkpoint):
+            drain(writer)
+
+    run_once()
+    feed(spark, prices, [("B", 0.0, millis(900))], price_schema)
+    feed(spark, posts, [("u", "", millis(900))], social_schema)
+    run_once()
+    schema = "time timestamp, avg_price double, hype_score double, epoch bigint"
+    table = sinks.latest_per_key(sinks.read_epochs(spark, out, schema), ["time"])
+    assert [(r.avg_price, r.hype_score) for r in table.collect()] == [(101.0, 0.5)]

@@ -136,3 +136,24 @@ def test_words_and_links_flag(spark):
 
 def test_phrases(spark):
     assert values(spark, T.phrase_hit, ["Get FREE Nitro now", "free  nitro"]) == [True, False]
+
+
+def test_normalize_is_the_plain_rule(spark):
+    """The two-step form equals: lower, substitute, drop all but a-z and space."""
+    from tidewatch.fixed_values import LEET_MAP
+
+    def plain(text):
+        return re.sub(r"[^a-z\s]", "", "".join(LEET_MAP.get(c, c) for c in text.lower()))
+
+    alphabet = "".join(map(chr, range(1, 128))) + "éßÄñ\x85\xa0   　€中😀"
+    texts = st.lists(st.text(alphabet, max_size=25), min_size=30, max_size=60)
+
+    @settings(max_examples=8, deadline=None)
+    @given(texts)
+    def check(batch):
+        assert values(spark, T.normalize, batch) == [plain(t) for t in batch]
+        assert values(spark, T.word_count, batch) == [len(t.split()) for t in batch]
+        cleaned = [re.sub(r"\s+", " ", re.sub(r"<.*?>", "", t)).strip() for t in batch]
+        assert values(spark, T.clean_text, batch) == cleaned
+
+    check()

@@ -93,6 +93,14 @@ FALSE_POSITIVE = "False Positive (FP)"
 FALSE_NEGATIVE = "False Negative (FN)"
 CORRECT = "Correct"
 SEPARATOR_PLACEHOLDER = "[SEP_TOKEN]"
+PROMPT_COMMENT = "COMMENT TO CLASSIFY: "
+PROMPT_RULE = "RULE: "
+PROMPT_POSITIVE = "POSITIVE EXAMPLES (Violation): "
+PROMPT_NEGATIVE = "NEGATIVE EXAMPLES (No Violation): "
+PROMPT_LINK_FLAG = "URL_PRESENT: "
+SERIES_DAILY = "Time Series (Daily)"
+SERIES_NAME_PART = "Time Series"
+SERIES_METRICS = {"open": "1. open", "high": "2. high", "low": "3. low", "close": "4. close", "volume": "5. volume"}
 LINK_REMOVED = "[LINK REMOVED]"
 REDACTED_TLDS = ("com", "org", "net", "gov", "edu", "co")
 

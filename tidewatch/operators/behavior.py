@@ -81,19 +81,18 @@ def user_stats(scored: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
 
 
 def recent_history(
-    scored: DataFrame, n: int = 5, order: Sequence[str] = ORDER, max_rows_per_key: int | None = None
+    offences: DataFrame, stats: DataFrame, n: int = 5, order: Sequence[str] = ORDER
 ) -> DataFrame:
-    """Last ``n`` offences per user, newest first, with display texts."""
+    """Last ``n`` offences per user, newest first, with display texts.
+
+    ``stats`` holds the current score per user. Contents move for the rows that
+    are shown only, as the scores come from a frame without them.
+    """
     newest = [F.desc(c) for c in order]
-    recent = top_per_key(scored, USER, newest, n, spread=("message_id", "seq"))
+    recent = top_per_key(offences, USER, newest, n, spread=("message_id", "seq"))
     when = minute_prefix(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    total = F.first("score").over(Window.partitionBy(*USER).orderBy("rank"))
-    return recent.withColumns(
-        {
-            "total_score": total,
-            "title": F.concat(when, F.lit(" | "), "offense", F.lit(" ("), signed("points"), F.lit(")")),
-        }
-    )
+    title = F.concat(when, F.lit(" | "), "offense", F.lit(" ("), signed("points"), F.lit(")"))
+    return recent.join(stats, list(USER)).withColumn("title", title)
 
 
 def offender_ledger(scored: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:

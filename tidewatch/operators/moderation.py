@@ -61,16 +61,17 @@ def fewshot_prompt(
         raw = name in EXAMPLES and not clean_examples
         return F.coalesce(F.col(name) if raw else clean_text(name), F.lit(""))
 
+    def pair(title: str, first: str, second: str) -> Column:
+        return F.concat(F.lit(title), part(first), F.lit(" | "), part(second))
+
     sections = [
-        F.concat(F.lit("COMMENT TO CLASSIFY: "), part("body")),
-        F.concat(F.lit("RULE: "), part("rule")),
-        F.concat(F.lit("POSITIVE EXAMPLES (Violation): "), part(EXAMPLES[0]), F.lit(" | "), part(EXAMPLES[1])),
-        F.concat(
-            F.lit("NEGATIVE EXAMPLES (No Violation): "), part(EXAMPLES[2]), F.lit(" | "), part(EXAMPLES[3])
-        ),
+        F.concat(F.lit(V.PROMPT_COMMENT), part("body")),
+        F.concat(F.lit(V.PROMPT_RULE), part("rule")),
+        pair(V.PROMPT_POSITIVE, *EXAMPLES[:2]),
+        pair(V.PROMPT_NEGATIVE, *EXAMPLES[2:]),
     ]
     if flag_links:
-        sections.append(F.concat(F.lit("URL_PRESENT: "), has_link("body").cast("string")))
+        sections.append(F.concat(F.lit(V.PROMPT_LINK_FLAG), has_link("body").cast("string")))
     prompt = F.concat_ws(f" {V.SEPARATOR_PLACEHOLDER} ", *sections)
     return F.replace(prompt, F.lit(V.SEPARATOR_PLACEHOLDER), F.lit(separator))
 

@@ -195,4 +195,4 @@ def offence_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scored_offences(spark: SparkSession, d: str) -> DataFrame:
-    return behavior.behavior_score(offence_log(spark, d))
+    return behavior.behavior_score(offence_log(spark, d).drop("content"))

@@ -504,8 +504,10 @@ def user_stats(spark, d):
 
 @query
 def recent_history(spark, d):
-    recent = behavior.recent_history(I.scored_offences(spark, d))
-    return recent.select("user_id", "rank", "total_score", "title", "content")
+    log = I.offence_log(spark, d)
+    stats = behavior.user_stats(behavior.behavior_score(log.drop("content")))
+    recent = behavior.recent_history(log, stats)
+    return recent.select("user_id", "rank", F.col("behavior_score").alias("total_score"), "title", "content")
 
 
 @query

@@ -52,9 +52,24 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this process wrote to scratch paths.
+
+    Frames that were pinned cannot be read any more afterwards.
+    """
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch import fixed_values as V
 from tidewatch.functions.numeric import to_number
 
 TEXT = T.StringType()
@@ -47,11 +48,7 @@ LEDGER = T.MapType(
 )
 LEDGER_ROWS = "user_id string, name string, behavior_score bigint, history array<struct<offense string, points int, content string, timestamp string>>"
 
-SERIES_KEY = "Time Series (Daily)"
-SERIES_NAME = "Time Series"
 SERIES = T.MapType(TEXT, T.MapType(TEXT, TEXT))
-# Metric names inside a keyed series, in the order of the columns.
-METRICS = {"open": "1. open", "high": "2. high", "low": "3. low", "close": "4. close", "volume": "5. volume"}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -63,13 +60,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_comments(spark: SparkSession, path: str, schema: T.StructType = COMMENT_SCHEMA) -> DataFrame:
+def read_comments(
+    spark: SparkSession, path: str, schema: T.StructType = COMMENT_SCHEMA, missing: str = "error"
+) -> DataFrame:
     """Labelled comments from CSV (quoted fields may span lines).
 
     Columns are found by their header name, so their order is free. A missing
-    path fails here, not at the first action.
+    path fails here, not at the first action; ``missing="empty"`` gives no rows.
     """
     if not path_exists(spark, path):
+        if missing == "empty":
+            return spark.createDataFrame([], schema)
         raise FileNotFoundError(path)
     options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
     texts = spark.read.options(**options).csv(path)
@@ -79,7 +80,8 @@ def read_comments(spark: SparkSession, path: str, schema: T.StructType = COMMENT
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """A ledger file {user: {name, behavior_score, history}}, one row per user.
 
-    Missing or corrupt files give no rows.
+    Missing or corrupt files give no rows. A file is one JSON value and so one
+    task's work; give a folder of files to read them side by side.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_ROWS)
@@ -100,11 +102,11 @@ def flatten_keyed_series(payloads: DataFrame, key: str = "symbol", payload: str
     are not numbers become null.
     """
     parts = F.from_json(payload, T.MapType(TEXT, TEXT))
-    names = F.filter(F.map_keys("_parts"), lambda k: F.contains(k, F.lit(SERIES_NAME)))
-    wanted = F.when(F.array_contains(names, SERIES_KEY), SERIES_KEY).otherwise(F.get(names, 0))
+    names = F.filter(F.map_keys("_parts"), lambda k: F.contains(k, F.lit(V.SERIES_NAME_PART)))
+    wanted = F.when(F.array_contains(names, V.SERIES_DAILY), V.SERIES_DAILY).otherwise(F.get(names, 0))
     series = F.from_json(F.try_element_at("_parts", wanted), SERIES)
     points = payloads.withColumn("_parts", parts).select(key, F.explode(series).alias("date", "_m"))
     columns = [
-        to_number(F.try_element_at("_m", F.lit(source))).alias(name) for name, source in METRICS.items()
+        to_number(F.try_element_at("_m", F.lit(source))).alias(name) for name, source in V.SERIES_METRICS.items()
     ]
     return points.select(key, F.col("date").try_cast("timestamp").alias("date"), *columns)
