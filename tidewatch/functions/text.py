@@ -118,7 +118,7 @@ def keyword_hit(normalized, squeezed, word_list: Sequence[str], mode: str = "sub
     """
     if mode == "token":
         return token_hit(normalized, [w.replace(" ", "") for w in word_list])
-    return contains_any(_col(squeezed), word_list)
+    return let(_col(squeezed), lambda t: contains_any(t, word_list))
 
 
 def phrase_hit(text, phrases: Sequence[str] = V.SPAM_PHRASES) -> Column:

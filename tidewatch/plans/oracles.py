@@ -128,7 +128,7 @@ recent AS (SELECT *, CASE WHEN count(close) OVER f = 50 THEN avg(close) OVER f E
 
 COMMENTS = """comments AS (SELECT d.doc_id AS row_id, d.text AS body, d.source AS rule, l.toxic AS rule_violation
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
-LENGTHS = f"{COMMENTS}, len AS (SELECT rule_violation, length(body) AS body_length FROM comments)"
+LENGTHS = f"{COMMENTS}, len AS (SELECT rule_violation, CAST(length(body) AS INTEGER) AS body_length FROM comments)"
 PREDICTIONS = f"""predictions AS (SELECT doc_id AS row_id, toxic AS true_label,
   ({HASH.format(k='doc_id')}) * 0.75::DOUBLE + toxic * 0.25::DOUBLE AS prob_violation FROM labels)"""
 ERRORS = f"""{PREDICTIONS},
@@ -264,8 +264,8 @@ ORACLES: dict[str, str] = {
     "daily_return": f"""WITH {BARS},
 filled AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts, bar_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM bars)
-SELECT symbol, ts, bar_id, close, CASE WHEN p <> 0 THEN round(f / p - 1, 6) WHEN f > 0 THEN 'inf'::DOUBLE
-  WHEN f < 0 THEN '-inf'::DOUBLE END AS daily_return
+SELECT symbol, ts, bar_id, close, CASE WHEN p <> 0 THEN round(f / p - 1, 6) WHEN p = 0 AND f > 0 THEN 'inf'::DOUBLE
+  WHEN p = 0 AND f < 0 THEN '-inf'::DOUBLE END AS daily_return
   FROM (SELECT *, lag(f) OVER (PARTITION BY symbol ORDER BY ts, bar_id) AS p FROM filled)""",
     "recent_bars": f"WITH {RECENT} SELECT * REPLACE (round(sma_50, 6) AS sma_50) FROM recent",
     "series_payload": f"""WITH {RECENT} SELECT symbol,
@@ -288,8 +288,8 @@ UNION ALL SELECT 'rule_violation', 'int', count(rule_violation) FROM comments"""
     "imbalance_ratio": """SELECT printf('%.2f : %.2f', 100 - avg(toxic) * 100, avg(toxic) * 100) AS ratio FROM labels""",
     "violation_rate": f"""WITH {COMMENTS} SELECT rule, count(rule_violation) AS total_samples,
   round(avg(rule_violation), 6) AS violation_rate FROM comments GROUP BY 1 ORDER BY 3 DESC, 1""",
-    "text_lengths": f"""WITH {COMMENTS} SELECT row_id, length(body) AS body_length,
-  len({words('body')}) AS body_word_count FROM comments""",
+    "text_lengths": f"""WITH {COMMENTS} SELECT row_id, CAST(length(body) AS INTEGER) AS body_length,
+  CAST(len({words('body')}) AS INTEGER) AS body_word_count FROM comments""",
     "length_describe": f"""WITH {LENGTHS} SELECT count(*) AS count, round(avg(body_length), 6) AS mean,
   round(stddev_samp(body_length), 6) AS std, min(body_length) AS min, {quantile(0.25)} AS p25, {quantile(0.5)} AS p50,
   {quantile(0.75)} AS p75, max(body_length) AS max FROM len""",
@@ -321,12 +321,12 @@ SELECT *, token_hit OR squeezed_hit AS hit FROM h""",
     "untrusted_urls": f"SELECT page_id, url FROM pages WHERE {host('url')} NOT IN ({words_in(I.TRUSTED)})",
     "malicious_links": f"WITH {BAD_LINKS} SELECT message_id, n_malicious, threats FROM bad",
     "truncate_tokens": f"""WITH t AS (SELECT doc_id, list_slice({tokens('text')}, 1, {V.MAX_TOKENS}) AS t FROM documents)
-SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens FROM t""",
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens FROM t""",
     "encode_tokens": f"""WITH {COMMENTS},
 t AS (SELECT row_id, list_slice({tokens('body')}, 1, {_MAX_BODY}) AS t FROM comments)
 SELECT row_id, array_to_string(list_concat(list_concat([0],
   list_transform(t, lambda w: CAST('0x' || substr(md5(w), 1, 4) AS INTEGER) + 3)), list_concat([2],
-  list_transform(range({_MAX_BODY} - len(t)), lambda i: 1))), ' ') AS input_ids, len(t) + 2 AS n_used FROM t""",
+  list_transform(range({_MAX_BODY} - len(t)), lambda i: 1))), ' ') AS input_ids, CAST(len(t) + 2 AS INTEGER) AS n_used FROM t""",
     "sentiment_score": f"""WITH {POSTS} SELECT event_id, {SENTIMENT} AS sentiment_score
   FROM (SELECT event_id, {tokens('text')} AS w FROM posts)""",
     "toxicity_scores": f"""WITH t AS (SELECT doc_id, {tokens('text')} AS w FROM documents),
@@ -378,7 +378,7 @@ SELECT user_id, CAST(rank AS INTEGER) AS rank, first_value(score) OVER (PARTITIO
   arg_max(score, (ts, message_id, seq)) AS behavior_score, count(*) AS n_offences FROM scored GROUP BY 1""",
     "history_pages": f"""WITH {OFFENCES}, p AS (SELECT *, (row_number() OVER (PARTITION BY user_id
   ORDER BY ts, message_id, seq) - 1) // 10 AS page FROM offences)
-SELECT user_id, page, count(*) AS n_entries, string_agg(offense, ',' ORDER BY ts, message_id, seq) AS offenses
+SELECT user_id, page, CAST(count(*) AS INTEGER) AS n_entries, string_agg(offense, ',' ORDER BY ts, message_id, seq) AS offenses
   FROM p GROUP BY 1, 2""",
     "training_union": f"""WITH {FEATURES} SELECT 'normal' AS kind, amount, CAST(txn_count AS DOUBLE) AS txn_count,
   round(avg_amount, 6) AS avg_amount FROM feat

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -46,6 +47,22 @@ def drain_until(
         query.stop()
 
 
+@contextmanager
+def state_partitions_within_cores(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than cores while new queries are started.
+
+    A finite replay gains nothing from more, and each one is a store to commit
+    per batch. The checkpoint keeps the number that a query was started with.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replay(
     table: DataFrame,
     time: str,
@@ -70,7 +87,8 @@ def replay(
 
     def deliver(rows: DataFrame) -> None:
         rows.write.mode("append").parquet(folder)
-        drain(make_writer(event_source(spark, "parquet", schema=schema, path=folder)))
+        with state_partitions_within_cores(spark):
+            drain(make_writer(event_source(spark, "parquet", schema=schema, path=folder)))
 
     for i in range(slices):
         low, high = first + i * width, first + (i + 1) * width
