@@ -9,6 +9,7 @@ the earlier chunks over: one small row per key and chunk.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -21,9 +22,11 @@ POSITION = "_position"
 MAX_ROWS_PER_KEY = 5_000_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key (counts are combined before the shuffle)."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest key and of all (counts are combined before the shuffle)."""
+    counts = df.groupBy(*keys).count()
+    largest, total = counts.agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, total or 0
 
 
 def chunked(
@@ -40,10 +43,15 @@ def chunked(
     split. The check counts rows per key, so ``df`` should be a stored table;
     ``max_rows_per_key=None`` states that keys are known to be small.
     """
-    if max_rows_per_key is None or largest_group(df, keys) <= max_rows_per_key:
+    if max_rows_per_key is None:
         return df.withColumn(CHUNK, F.lit(0)), False
-    bounds = [*keys, *order]
-    ranged = df.repartitionByRange(chunks, *bounds) if chunks else df.repartitionByRange(*bounds)
+    largest, total = group_sizes(df, keys)
+    if largest <= max_rows_per_key:
+        return df.withColumn(CHUNK, F.lit(0)), False
+    # Enough chunks that none holds many more rows than a key may.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks or max(partitions, math.ceil(total / max_rows_per_key))
+    ranged = df.repartitionByRange(chunks, *keys, *order)
     # Range bounds come from a sample: fix the outcome before it is read twice.
     return pin(ranged.withColumn(CHUNK, F.spark_partition_id())), True
 

@@ -18,6 +18,9 @@ from tidewatch.streaming import hype as hype_stream
 from tidewatch.streaming.running import replay, to_batches, to_files
 
 
+SLICES = 2
+
+
 def _with_timestamp(df: DataFrame, column: str = "event_time") -> DataFrame:
     """Watermarks need a timestamp with time zone."""
     return df.withColumn(column, F.col(column).cast("timestamp"))
@@ -26,7 +29,7 @@ def _with_timestamp(df: DataFrame, column: str = "event_time") -> DataFrame:
 def _through_files(spark, table: DataFrame, build, time: str = "event_time") -> DataFrame:
     out, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "checkpoint")
     closing = {"user_id": -1} if "user_id" in table.columns else None
-    replay(table, time, lambda stream: to_files(build(stream), out, checkpoint), closing=closing)
+    replay(table, time, lambda stream: to_files(build(stream), out, checkpoint), slices=SLICES, closing=closing)
     return spark.read.parquet(out)
 
 
@@ -75,7 +78,7 @@ def stream_hype_meter(spark, d):
 def stream_behavior_score(spark, d):
     offences = _with_timestamp(I.offences(spark, d).drop("content", "colour"), "ts")
     path, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "checkpoint")
-    replay(offences, "ts", lambda s: to_batches(s, behavior_stream.score_writer(path), checkpoint))
+    replay(offences, "ts", lambda s: to_batches(s, behavior_stream.score_writer(path), checkpoint), SLICES)
     return behavior_stream.current_scores(spark, path)
 
 
@@ -88,7 +91,7 @@ def stream_latest_alerts(spark, d):
     )
     path, checkpoint = scratch_path(spark, "newest"), scratch_path(spark, "checkpoint")
     writer = fraud_stream.newest_alerts_writer(path, NEWEST)
-    replay(alerts, "event_time", lambda s: to_batches(s, writer, checkpoint))
+    replay(alerts, "event_time", lambda s: to_batches(s, writer, checkpoint), SLICES)
     rows = fraud_stream.read_newest_alerts(spark, path, NEWEST)
     return _ntz(rows, "event_time", "window_start", "window_end").withColumn(
         "avg_amount", F.round("avg_amount", 6)
