@@ -24,7 +24,7 @@ def transactions(spark, n=50):
 def run(spark, table, build, closing=None):
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "cp")
     writers = lambda s: to_files(build(s), out, checkpoint)
-    replay(table, "event_time", writers, slices=2, quiet=timedelta(days=1), closing=closing)
+    replay(table, "event_time", writers, 2, timedelta(days=1), closing, rows_per_partition=25)
     return spark.read.parquet(out)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import timedelta
@@ -48,15 +49,15 @@ def drain_until(
 
 
 @contextmanager
-def state_partitions_within_cores(spark: SparkSession) -> Iterator[None]:
-    """No more state partitions than cores while new queries are started.
+def state_partitions(spark: SparkSession, wanted: int) -> Iterator[None]:
+    """At most ``wanted`` state partitions for queries that start meanwhile.
 
-    A finite replay gains nothing from more, and each one is a store to commit
-    per batch. The checkpoint keeps the number that a query was started with.
+    Each is a store to commit per batch, whatever it holds. The checkpoint
+    keeps the number that a query was started with.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    spark.conf.set(key, str(max(1, min(int(before), wanted))))
     try:
         yield
     finally:
@@ -70,6 +71,7 @@ def replay(
     slices: int = 3,
     quiet: timedelta = timedelta(days=30),
     closing: dict | None = None,
+    rows_per_partition: int = 250_000,
 ) -> None:
     """Run a query over a table as if it arrived in ``slices`` steps of time.
 
@@ -82,12 +84,12 @@ def replay(
     spark, schema = table.sparkSession, table.schema
     folder = scratch_path(spark, "replay")
     table = pin(table)
-    first, last = table.agg(F.min(time), F.max(time)).first()
+    first, last, rows_in_all = table.agg(F.min(time), F.max(time), F.count(F.lit(1))).first()
     width = (last - first) / slices
 
     def deliver(rows: DataFrame) -> None:
         rows.write.mode("append").parquet(folder)
-        with state_partitions_within_cores(spark):
+        with state_partitions(spark, math.ceil(rows_in_all / rows_per_partition)):
             drain(make_writer(event_source(spark, "parquet", schema=schema, path=folder)))
 
     for i in range(slices):
