@@ -149,6 +149,7 @@ def test_split_is_exact_and_repeatable(spark, prefix_len):
     assert counts == {("rare", "val"): 29, ("rare", "train"): 115, ("common", "val"): 172, ("common", "train"): 687}
     again = moderation.stratified_split(df.repartition(7), "id", "y", prefix_len=4)
     assert split.exceptAll(again).count() == 0
+    assert moderation.stratified_split(df.limit(0), "id", "y").count() == 0
     other = moderation.stratified_split(df, "id", "y", seed=7)
     assert split.exceptAll(other).count() > 0
 

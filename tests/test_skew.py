@@ -3,7 +3,6 @@
 import random
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.operators import behavior, lookups, ordered, timeseries
 from tidewatch.streaming import behavior as behavior_stream

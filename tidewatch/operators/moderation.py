@@ -110,6 +110,8 @@ def stratified_split(
         classes = local_rows(histogram.groupBy("_label").agg(F.sum("n").alias("n")))
         if classes is None:
             raise ValueError("a label with thousands of classes cannot be stratified")
+        if not classes:
+            return df.withColumn("split", F.lit("train"))
         counts = _validation_counts({c._label: c.n for c in classes}, test_size)
         wanted = F.create_map(*[F.lit(v) for pair in counts.items() for v in pair])
         upto = Window.partitionBy("_label").orderBy("_prefix")

@@ -45,7 +45,10 @@ def score_writer(path: str, max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY):
 
 
 def current_scores(spark: SparkSession, path: str) -> DataFrame:
-    """Score per user after all stored batches."""
+    """Score per user after all stored batches.
+
+    A user has one small row per batch and chunk it occurs in.
+    """
     steps = read_epochs(spark, path, STEPS)
     upto = (
         Window.partitionBy("user_id")
