@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import decontamination
+from tidewatch.llm import decontamination, licenses, sharding
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_decontamination": decontamination.op2_decontamination,
+    "op3_kd_sharding": sharding.op3_kd_sharding,
 }
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
