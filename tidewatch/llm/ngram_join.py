@@ -10,8 +10,10 @@ coordinates, and survivors are compared shingle by shingle.
 
 Nothing is lost: the number of blocks exceeds the largest difference by the
 number of light blocks that may be left out of the index (see ``Classes``).
-Documents with equal sets share one point. A leaf first links its members to
-its smallest one; only members of components that are still apart are paired.
+Documents with equal sets share one point. A leaf first compares its members to
+the most central one; only members of components that are still apart are
+compared with each other, in tiles of bounded size, and only pairs that the
+bound lets through become rows.
 """
 
 from __future__ import annotations
@@ -30,7 +32,11 @@ from tidewatch.session import pin
 WORDS = 3
 #: Two sets link when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 90, 100
-COARSE = 32
+COARSE = 256
+#: Largest count of a coordinate; a coordinate that reaches it bounds nothing.
+FULL = 65_535
+#: Members of one side of a tile of a leaf.
+TILE = 1024
 #: A block with fewer shingles is light.
 LIGHT = 3
 GROWTH = 1.2
@@ -126,7 +132,9 @@ def _points(size: int, numerator: int, denominator: int):
                 lone = mix(row_key[a:b].astype(np.int64).view(np.uint64) + np.uint64(0xABCD)).view(np.int64)
                 ids = np.where(sizes > 0, ids, lone)
                 coarse = (owner * COARSE + (hashes & np.uint64(COARSE - 1)).astype(np.int64)) if len(owner) else owner
-                point = np.bincount(coarse, minlength=n * COARSE).astype(np.int32)
+                point = np.minimum(np.bincount(coarse, minlength=n * COARSE), FULL).astype("<u2")
+                cuts = np.arange(n + 1, dtype=np.int32) * (2 * COARSE)
+                points = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(cuts), pa.py_buffer(point)])
                 # Copies within the block have the same leaves: listed once.
                 first = np.zeros(n, bool)
                 first[np.unique(ids, return_index=True)[1]] = True
@@ -138,7 +146,7 @@ def _points(size: int, numerator: int, denominator: int):
                         batch.column("row_key").slice(a, n),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(ids),
-                        list_array(pa.array(point), np.full(n, COARSE)),
+                        points,
                         list_array(pa.array(leaf), np.bincount(leaf_row, minlength=n)),
                     ],
                     ["doc_id", "row_key", "n", "id", "point", "leaves"],
@@ -161,18 +169,112 @@ def _sets(size: int):
     return run
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Binary points as a matrix of counts."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    blob = b"".join(column.to_pylist())
+    return np.frombuffer(blob, "<u2").reshape(-1, COARSE)
+
+
+def may_link(na, nb, pa_, pb, numerator: int, denominator: int) -> np.ndarray:
+    """Whether sizes and summed coordinate minima of pairs allow a link."""
+    least = np.minimum(pa_, pb)
+    shared = least.sum(axis=1, dtype=np.int64)
+    possible = shared * (numerator + denominator) >= (na + nb) * numerator
+    near = np.minimum(na, nb) * denominator >= np.maximum(na, nb) * numerator
+    return near & (possible | (least == FULL).any(axis=1))
+
+
+def _bounds(numerator: int, denominator: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            ok = may_link(na, nb, _matrix(batch.column("pa")), _matrix(batch.column("pb")), numerator, denominator)
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(ok))
+
+    return run
+
+
 def _bounded(pairs: DataFrame, points: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Pairs (a, b) whose summed coordinate minima allow a link."""
+    """Pairs (a, b) whose summed coordinate minima allow a link, with the sizes."""
     pairs = pairs.join(points.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
     pairs = pairs.join(points.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
-    return pairs.filter(_can_link("na", "nb", "pa", "pb", numerator, denominator)).select("a", "b", "na", "nb")
+    kept = pairs.select("a", "b", "na", "nb", "pa", "pb")
+    return kept.mapInArrow(_bounds(numerator, denominator), "a long, b long, na long, nb long")
+
+
+def tile_pairs(ids, roots, sizes, points, right, numerator: int, denominator: int):
+    """Pairs of a tile that lie in different components and may link.
+
+    ``right`` marks the members of the second side; a tile of a part with itself
+    has none and pairs its members with each other.
+    """
+    order = np.argsort(sizes, kind="stable")
+    one, two = order[~right[order]], order[right[order]]
+    alone = not len(two)
+    if alone:
+        two = one
+    out = []
+    # Only members of a similar size are compared: a range, as both sides are sorted.
+    low = np.searchsorted(sizes[two], -(-sizes[one] * numerator // denominator))
+    high = np.searchsorted(sizes[two], sizes[one] * denominator // numerator, "right")
+    for k, i in enumerate(one):
+        begin = max(low[k], k + 1) if alone else low[k]
+        other = two[begin : high[k]]
+        other = other[roots[other] != roots[i]]
+        if len(other):
+            ok = may_link(sizes[i], sizes[other], points[i], points[other], numerator, denominator)
+            other = other[ok]
+            if len(other):
+                out.append((np.full(len(other), i), other))
+    if not out:
+        return np.zeros((0, 4), np.int64)
+    i, j = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+    swap = ids[i] > ids[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    return np.unique(np.stack([ids[i], ids[j], sizes[i], sizes[j]], axis=1), axis=0)
+
+
+def _tiles(numerator: int, denominator: int):
+    """Batches sorted by (leaf, part1, part2), which may go on in the next batch."""
+
+    def solve(part: pa.Table) -> pa.RecordBatch | None:
+        key = np.stack([part.column(c).to_numpy() for c in ("leaf", "part1", "part2")], axis=1)
+        cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        bounds = np.concatenate([[0], cut, [len(key)]])
+        ids, roots, sizes = (part.column(c).to_numpy() for c in ("id", "root", "n"))
+        right, points = part.column("right").to_numpy(), _matrix(part.column("point"))
+        out = [
+            tile_pairs(ids[a:b], roots[a:b], sizes[a:b], points[a:b], right[a:b], numerator, denominator)
+            for a, b in zip(bounds[:-1], bounds[1:])
+        ]
+        found = np.unique(np.concatenate(out), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, k].copy()) for k in range(4)], ["a", "b", "na", "nb"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy() for c in ("leaf", "part1", "part2")], axis=1)
+            same = (key == key[-1]).all(axis=1)
+            begin = int(np.argmin(same[::-1])) if not same.all() else batch.num_rows
+            begin = batch.num_rows - begin
+            # ``begin``: where the last tile of the batch starts.
+            if begin or (last is not None and (key[0] != last).any()):
+                ready = [*open_, batch.slice(0, begin)] if begin else open_
+                if ready:
+                    yield solve(pa.Table.from_batches(ready))
+                open_ = [batch.slice(begin)]
+            else:
+                open_.append(batch)
+            last = key[-1]
+        if open_:
+            yield solve(pa.Table.from_batches(open_))
 
-def _can_link(na, nb, pa_, pb, numerator, denominator):
-    shared = F.aggregate(F.zip_with(pa_, pb, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    n = F.col(na) + F.col(nb)
-    near = (F.least(na, nb) * denominator >= F.greatest(na, nb) * numerator)
-    return near & (shared * (numerator + denominator) >= n * numerator)
+    return run
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -203,7 +305,7 @@ def jaccard_components(
         F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.col(text))).alias("row_key"),
         F.col(text).cast("string").alias("text"),
     )
-    schema = "doc_id long, row_key long, n long, id long, point array<int>, leaves array<long>"
+    schema = "doc_id long, row_key long, n long, id long, point binary, leaves array<long>"
     entries = pin(keyed.mapInArrow(_points(words, numerator, denominator), schema))
     leaves = entries.select("id", F.explode("leaves").alias("leaf"))
     shared = leaves.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
@@ -213,7 +315,12 @@ def jaccard_components(
         F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo")
     )
     kept = tops.groupBy("c", "x", "lo").agg(F.min("leaf").alias("leaf"))
-    members = pin(members.join(kept.select("leaf", "lo"), "leaf"))
+    members = members.join(kept.select("leaf", "c"), "leaf")
+    # The member that meets most others, over all its leaves, is a leaf's centre.
+    reach = members.groupBy("id").agg(F.sum("c").alias("reach"))
+    members = pin(members.join(reach, "id"))
+    centre = members.groupBy("leaf").agg(F.max_by("id", "reach").alias("lo"))
+    members = pin(members.drop("reach").join(centre, "leaf"))
 
     ids = members.select("id").distinct()
     chosen = entries.join(ids, "id", "left_semi").groupBy("id").agg(
@@ -225,23 +332,28 @@ def jaccard_components(
     sets = pin(found.filter("id = own_id").select("id", "items").dropDuplicates(["id"]))
     points = chosen.select("id", "n", "point")
 
-    star = members.filter("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct()
+    star = members.filter("id <> lo").select(F.greatest("lo", "id").alias("a"), F.least("lo", "id").alias("b")).distinct()
     first = pin(_verified(_bounded(star, points, numerator, denominator), sets, numerator, denominator))
     roots = components(first)
     known = members.join(roots.withColumnRenamed("node", "id"), "id", "left")
     known = known.withColumn("root", F.coalesce("root", "id"))
     apart = known.groupBy("leaf").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
     rest = known.filter("id <> lo").join(apart.select("leaf"), "leaf", "left_semi").join(points, "id")
-    one = rest.select("leaf", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "point")])
-    two = rest.select("leaf", *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "point")])
-    across = one.join(two, "leaf").filter(
-        (F.col("id_a") < F.col("id_b"))
-        & (F.col("root_a") != F.col("root_b"))
-        & _can_link("n_a", "n_b", "point_a", "point_b", numerator, denominator)
+    parts = F.greatest(F.ceil(F.col("c") / TILE), F.lit(1)).cast("long")
+    own = F.pmod(F.xxhash64("id"), parts)
+    tiles = rest.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    tiles = tiles.select(
+        "leaf",
+        F.least("own", "with").alias("part1"),
+        F.greatest("own", "with").alias("part2"),
+        (F.col("own") > F.col("with")).alias("right"),
+        "id",
+        "root",
+        "n",
+        "point",
     )
-    across = across.select(
-        F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb")
-    ).distinct()
+    tiles = tiles.repartition("leaf", "part1", "part2").sortWithinPartitions("leaf", "part1", "part2")
+    across = tiles.mapInArrow(_tiles(numerator, denominator), "a long, b long, na long, nb long").distinct()
     second = pin(_verified(across, sets, numerator, denominator))
     if not second.isEmpty():
         roots = components(first.union(second))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import decontamination, licenses, line_dedup, ngram_join, packing, sharding
+from tidewatch.llm import decontamination, language, licenses, line_dedup, ngram_join, packing, sharding, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_kd_sharding": sharding.op3_kd_sharding,
+    "op4_language_id": language.op4_language_id,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_packing": packing.op9_packing,
