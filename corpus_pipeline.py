@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: five stages, one operator each."""
+"""A training-data pipeline over ``documents``: five stages, one operator each.
+
+Every stage but the last returns the columns of its input. Rows with a null or
+repeated id, null or empty text, and further columns are handled as the
+operators state.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +11,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontamination
+from tidewatch.llm import decontamination, line_dedup, ngram_join, packing, toxicity
 from tidewatch.llm.common import table
 from tidewatch.session import pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that an earlier one holds; a text that was all copy goes."""
+    return line_dedup.dedup_lines(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    return ngram_join.one_per_component(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences of equal length."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_repeated_lines),
+    ("n-gram Jaccard join", without_near_copies),
     ("benchmark decontamination", without_benchmark),
+    ("packing", packed),
 ]
 
-#: The first stage learns its scores from data, which SQL cannot state.
+#: The toxicity scores are learned and token ids come from a tokenizer: SQL states neither.
 ORACLE_SQL = None
 
 

@@ -43,7 +43,7 @@ SWITCH = 6.0
 SCRIPT_SHARE = 0.02
 UNKNOWN = "und"
 #: Word bytes whose scores are held at once; documents of one Viterbi pass.
-SCORED_BYTES, PASS_BYTES = 2 << 20, 32 << 20
+SCORED_BYTES, PASS_BYTES = 1 << 20, 24 << 20
 
 _byte = np.arange(256)
 IS_LETTER = ((LOWER >= 97) & (LOWER <= 122)) | (_byte >= 128)
@@ -174,6 +174,28 @@ class Model:
         return out
 
 
+def scored_words(model: Model, data: np.ndarray, offsets: np.ndarray):
+    """Scores of different words, the word at each place, places per row and their letters.
+
+    Words are told apart and scored in small blocks of rows, so that memory
+    does not follow the size of a Viterbi pass.
+    """
+    scores, number, sizes = [], [], []
+    counts = np.zeros(len(offsets) - 1, np.int64)
+    seen = 0
+    for a, b in row_blocks(offsets):
+        low, starts, ends, words, row, lengths = unique_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        scores.append(model.scores(low, starts, ends))
+        number.append((words + seen).astype(np.int32))
+        sizes.append(lengths.astype(np.int32))
+        counts[a:b] = np.bincount(row, minlength=b - a)
+        seen += len(starts)
+    if not scores:
+        none = np.zeros(0, np.int32)
+        return np.zeros((0, len(model.langs)), np.float32), none, counts, none
+    return np.concatenate(scores), np.concatenate(number), counts, np.concatenate(sizes)
+
+
 def viterbi(scores: np.ndarray, number: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray:
     """Best label of every word; all documents step forward together, longest first.
 
@@ -226,11 +248,13 @@ def _label(shared, text: str, names: list[str], switch: float):
             runs = np.zeros(n, np.int64)
             parts = []
             for a, b in row_blocks(offsets, PASS_BYTES):
-                low, starts, ends, number, row, sizes = unique_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                if not len(number) or not model.langs:
+                if not model.langs:
+                    continue
+                scores, number, counts, sizes = scored_words(model, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                row = np.repeat(np.arange(b - a), counts)
+                labels = viterbi(scores, number, counts, switch).astype(np.int64)
+                if not len(labels):
                     continue
-                counts = np.bincount(row, minlength=b - a)
-                labels = viterbi(model.scores(low, starts, ends), number, counts, switch).astype(np.int64)
                 letters = np.bincount(
                     row * len(model.langs) + labels, sizes, minlength=(b - a) * len(model.langs)
                 ).reshape(b - a, -1)

@@ -22,16 +22,23 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import fresh, table
 from tidewatch.session import pin
 
-WINDOW = 2
+WINDOW = 4
 MIN_WORDS = 25
 #: Between lines; nothing is lost, the marks stay with the line they end.
 LINE_END = r"(?<=\n)|(?<=[.!?,;:] )"
+#: The same cuts found faster: a mark is put after each line end, then split at.
+CUT_AFTER, MARK = r"\n|[.!?,;:] ", "\x01"
+#: A document has fewer lines than 2 to this power.
+POSITION_BITS = 28
 RUN = "array<struct<start:int,end:int>>"
 
 
 def lines_of(text: Column) -> Column:
     """The lines of a text; joined together they are the text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), LINE_END), lambda x: x != "")
+    whole = F.coalesce(text, F.lit(""))
+    marked = F.split(F.regexp_replace(whole, CUT_AFTER, f"$0{MARK}"), MARK)
+    lines = F.when(whole.contains(MARK), F.split(whole, LINE_END)).otherwise(marked)
+    return F.array_remove(lines, "")
 
 
 def _with_keys(docs: DataFrame, doc_id: str, text: str, key: str, mark: str) -> DataFrame:
@@ -42,13 +49,12 @@ def _with_keys(docs: DataFrame, doc_id: str, text: str, key: str, mark: str) ->
 
 def _hashed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """id, k, t, line hashes ``h`` and words per line ``w``: one row per document."""
-    line = F.transform(
-        lines_of(F.col(text)),
-        lambda x: F.struct(
-            F.xxhash64(F.lower(F.regexp_replace(F.trim(x), r"\s+$", ""))).alias("h"),
-            F.regexp_count(x, F.lit(r"\S+")).cast("int").alias("w"),
-        ),
-    )
+    def numbers(x: Column) -> Column:
+        said = F.rtrim(x)
+        spaces = F.octet_length(said) - F.octet_length(F.replace(said, F.lit(" "), F.lit("")))
+        return F.struct(F.xxhash64(said).alias("h"), (spaces + 1).cast("int").alias("w"))
+
+    line = F.transform(lines_of(F.col(text)), numbers)
     return (
         _with_keys(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "id", "text", "k", "t")
         .select("id", "k", "t", line.alias("line"))
@@ -56,43 +62,81 @@ def _hashed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def _shifted(x: str | Column, by: int) -> tuple[Column, Column]:
+    """An array without its last, and without its first ``by`` elements."""
+    n = F.greatest(F.size(x) - by, F.lit(0))
+    return F.slice(x, 1, n), F.slice(x, by + 1, n)
+
+
 def _pair_hashes(h: str) -> Column:
     """Hash of each line with the next; a single line is hashed alone."""
-    pairs = F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+    pairs = F.zip_with(*_shifted(h, 1), lambda a, b: F.xxhash64(a, b))
     return F.when(F.size(h) == 1, F.transform(h, lambda a: F.xxhash64(a))).otherwise(pairs)
 
 
-def _selected(f: str) -> Column:
-    """(position, hash) of the minima of all windows, each hash once per document."""
-
-    def chosen(x: Column, i: Column) -> Column:
-        # Window of two: a pair is selected if it is the smaller one of a window.
-        after, before = F.get(f, i + 1), F.get(f, i - 1)
-        return F.coalesce(x <= after, F.lit(False)) | F.coalesce(x < before, F.lit(False)) | (F.size(f) == 1)
-
-    marked = F.transform(f, lambda x, i: F.when(chosen(x, i), F.struct(i.alias("p"), x.alias("f"))))
-    kept = F.filter(marked, lambda s: s.isNotNull())
-    return F.filter(kept, lambda s: F.array_position(f, s.f) == s.p + 1)
-
+def _sorted_pairs(f: str) -> Column:
+    return F.array_sort(F.transform(f, lambda x, i: F.struct(x.alias("f"), i.alias("p"))))
 
-def _runs(same: Column, words: str, least: int) -> Column:
-    """Runs of true positions with at least ``least`` words, as (start, end)."""
-    empty = F.array().cast(RUN)
-    start = F.struct(F.lit(-1).alias("a"), F.lit(0).alias("n"), F.lit(0).alias("i"), empty.alias("out"))
 
-    def closed(s: Column) -> Column:
-        run = F.array(F.struct(s.a.alias("start"), s.i.alias("end")))
-        return F.when((s.a >= 0) & (s.n >= least), F.concat(s.out, run)).otherwise(s.out)
+def _prints(pairs: DataFrame) -> DataFrame:
+    """k, p, f: the smallest pair of each window of WINDOW pairs, each hash once per document.
 
-    def step(s: Column, x: Column) -> Column:
-        going = F.struct(
-            F.when(s.a < 0, s.i).otherwise(s.a).alias("a"), (s.n + x.w).alias("n"), (s.i + 1).alias("i"), s.out.alias("out")
-        )
-        stop = F.struct(F.lit(-1).alias("a"), F.lit(0).alias("n"), (s.i + 1).alias("i"), closed(s).alias("out"))
-        return F.when(x.same, going).otherwise(stop)
-
-    cells = F.zip_with(same, words, lambda a, b: F.struct(a.alias("same"), b.alias("w")))
-    return F.aggregate(cells, start, step, closed)
+    Pairs are compared by the top bits of their hash and then by position, as
+    one number. Each step is a column of its own, as a column is computed once
+    where a nested expression is computed wherever it is named.
+    """
+    top = F.transform(
+        "f", lambda x, i: F.shiftleft(F.shiftrightunsigned(x, POSITION_BITS), POSITION_BITS).bitwiseOR(i.cast("long"))
+    )
+    steps = pairs.select("k", "f", top.alias("top")).select("k", "f", "top", F.col("top").alias("least"))
+    width = 1
+    while width < WINDOW:
+        by = min(width, WINDOW - width)
+        narrower = F.zip_with(*_shifted("least", by), lambda a, b: F.least(a, b))
+        steps = steps.select("k", "f", "top", narrower.alias("least"))
+        width += by
+    few = F.array_compact(F.array(F.array_min("top")))
+    least = F.array_distinct(F.when(F.size("f") < WINDOW, few).otherwise(F.col("least")))
+    place = F.lit((1 << POSITION_BITS) - 1).cast("long")
+
+    def found(v: Column) -> Column:
+        p = v.bitwiseAND(place).cast("int")
+        return F.struct(F.get("f", p).alias("f"), p.alias("p"))
+
+    again = F.size(F.array_distinct("f")) < F.size("f")
+    steps = steps.select("k", again.alias("again"), F.transform(least, found).alias("chosen"))
+    # A pair that stands several times in a document counts where it stands first.
+    steps = steps.select("k", "again", "chosen", F.when(F.col("again"), F.array_sort("chosen")).alias("order"))
+    one, two = _shifted("order", 1)
+    firsts = F.concat(F.slice("order", 1, 1), F.zip_with(one, two, lambda a, b: F.when(a.f != b.f, b)))
+    chosen = F.when(F.col("again"), F.array_compact(firsts)).otherwise(F.col("chosen"))
+    return steps.select("k", F.explode(chosen).alias("s")).select("k", "s.p", "s.f")
+
+
+def _repeats(own: DataFrame) -> DataFrame:
+    """Adds ``again``: positions of pairs that stand earlier in the same document, in order."""
+    some = F.size(F.array_distinct("f")) < F.size("f")
+    order = F.when(some, _sorted_pairs("f")).otherwise(F.array().cast("array<struct<f:bigint,p:int>>"))
+    again = F.zip_with(*_shifted("order", 1), lambda a, b: F.when(a.f == b.f, b.p))
+    return own.withColumn("order", order).select("k", "t", "w", F.array_sort(F.array_compact(again)).alias("again"))
+
+
+def _runs(places: str, words: str, least: int, cover: int) -> Column:
+    """Runs (start, end) of lines with at least ``least`` words.
+
+    Each of the ascending ``places`` covers ``cover`` lines from its own on.
+    """
+    one, two = _shifted(places, 1)
+    head, tail = F.slice(places, 1, 1), F.slice(F.reverse(F.col(places)), 1, 1)
+    starts = F.concat(head, F.zip_with(one, two, lambda a, b: F.when(b > a + cover, b)))
+    ends = F.concat(
+        F.zip_with(one, two, lambda a, b: F.when(b > a + cover, a + cover)), F.transform(tail, lambda x: x + cover)
+    )
+    runs = F.zip_with(
+        F.array_compact(starts), F.array_compact(ends), lambda a, b: F.struct(a.alias("start"), b.alias("end"))
+    )
+    said = lambda r: F.aggregate(F.slice(words, r.start + 1, r.end - r.start), F.lit(0), lambda s, x: s + x)
+    return F.filter(runs, lambda r: said(r) >= least)
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS):
@@ -104,8 +148,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     an empty table gives no rows.
     """
     texts = pin(_hashed(docs, doc_id, text))
-    pairs = texts.select("k", _pair_hashes("h").alias("f"))
-    prints = pairs.select("k", F.explode(_selected("f")).alias("s")).select("k", "s.p", "s.f")
+    prints = pin(_prints(texts.select("k", _pair_hashes("h").alias("f"))))
     firsts = (
         prints.groupBy("f")
         .agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min_by("p", "k").alias("p0"))
@@ -118,24 +161,22 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .distinct()
     )
     first = texts.select(F.col("k").alias("k0"), F.col("h").alias("h0"))
-    same = F.transform("h", lambda x, i: F.coalesce(x == F.get("h0", i - F.col("shift")), F.lit(False)))
+    # Lines that agree where the two documents are laid on each other.
+    equal = F.array_compact(F.transform("h", lambda x, i: F.when(x == F.get("h0", i - F.col("shift")), i)))
     across = (
         laid.join(texts.select("k", "t", "h", "w"), "k")
         .join(first, "k0")
-        .select("k", "t", _runs(same, "w", min_words).alias("runs"))
-    )
-    # Pairs of lines that stand earlier in the same document, and the lines beside them.
-    own = texts.filter(F.size("h") > 2).select("k", "t", "h", "w", _pair_hashes("h").alias("f"))
-    own = own.filter(F.size(F.array_distinct("f")) < F.size("f"))
-    earlier = F.transform("f", lambda x, i: F.array_position("f", x) < i + 1)
-    own = own.select("k", "t", "w", "h", earlier.alias("e"))
-    covered = F.transform(
-        "h", lambda _, i: F.coalesce(F.get("e", i), F.lit(False)) | F.coalesce(F.get("e", i - 1), F.lit(False))
+        .select("k", "t", "w", equal.alias("places"))
+        .select("k", "t", _runs("places", "w", min_words, 1).alias("runs"))
     )
-    within = own.select("k", "t", _runs(covered, "w", min_words).alias("runs"))
-    numbers = F.flatten(F.transform("runs", lambda r: F.sequence(r.start, r.end - 1)))
-    found = across.unionByName(within).filter(F.size("runs") > 0).select("k", "t", numbers.alias("n"))
-    gone = found.groupBy("k", "t").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("n")))).alias("gone"))
+    # Pairs of lines that stand earlier in the same document.
+    own = texts.filter(F.size("h") > 2).select("k", "t", "w", _pair_hashes("h").alias("f"))
+    within = _repeats(own).select("k", "t", _runs("again", "w", min_words, 2).alias("runs"))
+    # An outer explode, as a filter on the runs would be pushed down and compute them anew.
+    found = across.unionByName(within).select("k", "t", F.explode_outer("runs").alias("run"))
+    found = found.filter("run.start IS NOT NULL").distinct()
+    numbers = F.flatten(F.transform(F.collect_list("run"), lambda r: F.sequence(r.start, r.end - 1)))
+    gone = found.groupBy("k", "t").agg(F.array_sort(F.array_distinct(numbers)).alias("gone"))
     sizes = texts.select("id", "k", "t", F.size("h").alias("n_lines"), F.col("w"))
     return sizes.join(gone, ["k", "t"], "left")
 

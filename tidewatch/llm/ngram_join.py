@@ -322,12 +322,13 @@ def jaccard_components(
     centre = members.groupBy("leaf").agg(F.max_by("id", "reach").alias("lo"))
     members = pin(members.drop("reach").join(centre, "leaf"))
 
-    ids = members.select("id").distinct()
+    # These ids grow with the corpus: the joins are never to broadcast them.
+    ids = members.select("id").distinct().hint("merge")
     chosen = entries.join(ids, "id", "left_semi").groupBy("id").agg(
         F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("point").alias("point")
     )
     chosen = pin(chosen)
-    texts = keyed.select("row_key", "text").join(chosen.select("row_key", "id"), "row_key")
+    texts = keyed.select("row_key", "text").join(chosen.select("row_key", "id").hint("merge"), "row_key")
     found = texts.select("id", "text").mapInArrow(_sets(words), "id long, own_id long, items array<long>")
     sets = pin(found.filter("id = own_id").select("id", "items").dropDuplicates(["id"]))
     points = chosen.select("id", "n", "point")

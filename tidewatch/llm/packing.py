@@ -13,6 +13,7 @@ which share one key, is spread over as many ranges as it needs.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import zlib
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import mix, row_blocks, span_hashes, table, text_bytes
+from tidewatch.llm.common import mix, row_blocks, table, text_bytes
 from tidewatch.session import pin
 
 SEQUENCE = 2048
@@ -32,79 +33,81 @@ END = 1
 DIMENSIONS, KEY_BITS = 3, 16
 #: Ids of one range; at most this many ranges, which are then larger.
 RANGE_IDS, MOST_RANGES = 8 << 20, 20_000
-#: Segments whose ids a task remembers; beyond, it starts anew.
-REMEMBERED = 1 << 20
+#: How byte-level pre-tokenizers cut a text (fixed value, part of the vocabulary's definition).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_byte = np.arange(256)
-IS_LETTER = ((_byte >= 65) & (_byte <= 90)) | ((_byte >= 97) & (_byte <= 122))
 
+def byte_signs() -> dict[str, int]:
+    """The characters that stand for bytes in byte-level vocabularies.
 
-class Segments:
-    """Ids of text segments; each different segment is tokenised once per task.
+    Printing bytes stand for themselves, the others follow from 256 on in order.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+class Encoder:
+    """Ids of texts by a tokenizer file of the tokenizers library.
 
-    Texts are cut before a space between two ASCII letters, where the byte-level
-    pre-tokenizer cuts too, so the ids of the segments are those of the text.
+    A plain byte-level BPE whose ids follow the order of its merges has the same
+    ids as ranked pairs, which tiktoken finds four times as fast; every other
+    file goes to the tokenizers library itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def learn(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes()
-        counts, flat = [], []
-        for k in range(0, len(hashes), 4096):
-            part = [raw[a:b].decode("utf-8") for a, b in zip(starts[k : k + 4096], ends[k : k + 4096])]
-            for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
-                ids = e.ids
-                counts.append(len(ids))
-                flat += ids
-        counts = np.array(counts, np.int64)
-        places = len(self.ids) + np.cumsum(counts) - counts
-        self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
-        every = np.concatenate([self.hashes, hashes])
-        order = np.argsort(every, kind="stable")
-        self.hashes = every[order]
-        self.starts = np.concatenate([self.starts, places])[order]
-        self.counts = np.concatenate([self.counts, counts])[order]
-
-    def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows, one after the other, and how many each row has."""
-        n = len(offsets) - 1
-        if not len(data):
-            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
-        cut = np.zeros(len(data), bool)
-        letter = IS_LETTER[data]
-        cut[1:-1] = (data[1:-1] == 32) & letter[:-2] & letter[2:]
-        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
-        starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], len(data))
-        row = np.searchsorted(offsets, starts, "right") - 1
-        hashes = span_hashes(data, starts, ends)
-        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > REMEMBERED:
-            self.clear()
-        at = np.searchsorted(self.hashes, unique)
-        known = np.zeros(len(unique), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == unique[inside]
-        if not known.all():
-            new = first[~known]
-            self.learn(data, unique[~known], starts[new], ends[new])
-            at = np.searchsorted(self.hashes, unique)
-        begin, counts = self.starts[at][inverse], self.counts[at][inverse]
-        before = np.cumsum(counts) - counts
-        index = np.repeat(begin - before, counts) + np.arange(int(counts.sum()))
-        return self.ids[index], np.bincount(row, counts, minlength=n).astype(np.int64)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        plain = not any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip"))
+        self.ranked = (
+            model.get("type") == "BPE"
+            and not spec.get("normalizer")
+            and cut.get("type") == "ByteLevel"
+            and not cut.get("add_prefix_space")
+            and cut.get("use_regex", True)
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and plain
+            and self._in_order(model)
+        )
+        self.size = len(model["vocab"]) + len(special)
+        if self.ranked:
+            import tiktoken
+
+            sign = byte_signs()
+            ranks = {bytes(sign[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+            self.ranks = tiktoken.Encoding("file", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special)
+        else:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(path)
+
+    @staticmethod
+    def _in_order(model: dict) -> bool:
+        made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        return all(a < b for a, b in zip(made, made[1:]))
+
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        if self.ranked:
+            return [self.ranks.encode_to_numpy(t or "", allowed_special="all") for t in texts]
+        out = []
+        for k in range(0, len(texts), 64):
+            part = [t or "" for t in texts[k : k + 64]]
+            out += [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(part, add_special_tokens=False)]
+        return out
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per worker process: reading the file is not repeated for every task."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -140,15 +143,20 @@ def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Hilbert key of the hashed id vector of each row; rows without ids are at 0."""
+def signs(size: int) -> np.ndarray:
+    """Random signs of each id, one column per dimension."""
+    ids = np.arange(size, dtype=np.uint64)
+    salts = [np.uint64((d + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for d in range(DIMENSIONS)]
+    return np.stack([np.where(mix(ids + s) >> np.uint64(63), 1.0, -1.0) for s in salts], axis=1)
+
+
+def curve_keys(ids: np.ndarray, counts: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """Hilbert key of the hashed id vector of each row; rows without ids are in the middle."""
     n = len(counts)
     row = np.repeat(np.arange(n), counts)
     point = np.zeros((n, DIMENSIONS), np.int64)
     for d in range(DIMENSIONS):
-        h = mix(ids.astype(np.uint64) + np.uint64((d + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        sign = np.where(h >> np.uint64(63), 1.0, -1.0)
-        mean = np.bincount(row, sign, minlength=n) / np.maximum(counts, 1)
+        mean = np.bincount(row, sign[ids, d], minlength=n) / np.maximum(counts, 1)
         point[:, d] = ((mean + 1) / 2 * ((1 << KEY_BITS) - 1)).astype(np.int64)
     return hilbert_key(point, KEY_BITS)
 
@@ -160,14 +168,17 @@ def _tokenised(path: str | None, end: int):
             import public_tokenizers
 
             place = public_tokenizers.path("byte_bpe_50k.json")
-        segments = Segments(place)
+        words = encoder(place)
         # Two bytes an id where the vocabulary allows it.
-        kind = np.dtype("<u2" if segments.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        kind = np.dtype("<u2" if words.size <= 1 << 16 else "<u4")
+        sign = signs(words.size)
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
+            _, offsets = text_bytes(batch.column("text"))
             for a, b in row_blocks(offsets):
-                ids, counts = segments.of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                keys = curve_keys(ids, counts)
+                found = words.ids(batch.column("text").slice(a, b - a).to_pylist())
+                counts = np.array([len(x) for x in found], np.int64)
+                ids = np.concatenate(found)
+                keys = curve_keys(ids, counts, sign)
                 cuts = np.cumsum(counts)
                 full = np.insert(ids, cuts, end).astype(kind)
                 bounds = np.zeros(len(counts) + 1, np.int64)
