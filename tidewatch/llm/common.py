@@ -185,3 +185,37 @@ def list_array(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     cuts = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=cuts[1:])
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, and where each group begins and ends in them.
+
+    The batches must be sorted by ``keys`` (integers); a group may go on in the
+    next batch.
+    """
+
+    def cut(batches_: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        table_ = pa.Table.from_batches(batches_)
+        key = np.stack([table_.column(c).to_numpy() for c in keys], axis=1)
+        at = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        return table_, np.concatenate([[0], at, [len(key)]])
+
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(c).to_numpy() for c in keys], axis=1)
+        same = (key == key[-1]).all(axis=1)
+        begin = 0 if same.all() else batch.num_rows - int(np.argmin(same[::-1]))
+        if begin:
+            yield cut([*waiting, batch.slice(0, begin)])
+            waiting = [batch.slice(begin)]
+        elif last is not None and (key[0] != last).any():
+            yield cut(waiting)
+            waiting = [batch]
+        else:
+            waiting.append(batch)
+        last = key[-1]
+    if waiting:
+        yield cut(waiting)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import IS_DARK, list_array, mix, shingle_hashes, sums_by_row, table, word_blocks
+from tidewatch.llm.common import IS_DARK, list_array, mix, shingle_hashes, sums_by_row, table, whole_groups, word_blocks
 from tidewatch.llm.components import components
 from tidewatch.session import pin
 
@@ -237,42 +237,16 @@ def tile_pairs(ids, roots, sizes, points, right, numerator: int, denominator: in
 
 
 def _tiles(numerator: int, denominator: int):
-    """Batches sorted by (leaf, part1, part2), which may go on in the next batch."""
-
-    def solve(part: pa.Table) -> pa.RecordBatch | None:
-        key = np.stack([part.column(c).to_numpy() for c in ("leaf", "part1", "part2")], axis=1)
-        cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        bounds = np.concatenate([[0], cut, [len(key)]])
-        ids, roots, sizes = (part.column(c).to_numpy() for c in ("id", "root", "n"))
-        right, points = part.column("right").to_numpy(), _matrix(part.column("point"))
-        out = [
-            tile_pairs(ids[a:b], roots[a:b], sizes[a:b], points[a:b], right[a:b], numerator, denominator)
-            for a, b in zip(bounds[:-1], bounds[1:])
-        ]
-        found = np.unique(np.concatenate(out), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, k].copy()) for k in range(4)], ["a", "b", "na", "nb"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.stack([batch.column(c).to_numpy() for c in ("leaf", "part1", "part2")], axis=1)
-            same = (key == key[-1]).all(axis=1)
-            begin = int(np.argmin(same[::-1])) if not same.all() else batch.num_rows
-            begin = batch.num_rows - begin
-            # ``begin``: where the last tile of the batch starts.
-            if begin or (last is not None and (key[0] != last).any()):
-                ready = [*open_, batch.slice(0, begin)] if begin else open_
-                if ready:
-                    yield solve(pa.Table.from_batches(ready))
-                open_ = [batch.slice(begin)]
-            else:
-                open_.append(batch)
-            last = key[-1]
-        if open_:
-            yield solve(pa.Table.from_batches(open_))
+        for part, bounds in whole_groups(batches, ("leaf", "part1", "part2")):
+            ids, roots, sizes = (part.column(c).to_numpy() for c in ("id", "root", "n"))
+            right, points = part.column("right").to_numpy(), _matrix(part.column("point"))
+            out = [
+                tile_pairs(ids[a:b], roots[a:b], sizes[a:b], points[a:b], right[a:b], numerator, denominator)
+                for a, b in zip(bounds[:-1], bounds[1:])
+            ]
+            found = np.unique(np.concatenate(out), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, k].copy()) for k in range(4)], ["a", "b", "na", "nb"])
 
     return run
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import decontamination, language, licenses, line_dedup, ngram_join, packing, sharding, toxicity
+from tidewatch.llm import decontamination, embedding_dedup, language, licenses, line_dedup, ngram_join, packing, sharding, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_kd_sharding": sharding.op3_kd_sharding,
     "op4_language_id": language.op4_language_id,
+    "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
     "op8_line_dedup": line_dedup.op8_line_dedup,
@@ -16,5 +17,6 @@ QUERIES = {
 }
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
+    "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op7_ngram_jaccard_join": ngram_join.ORACLE,
 }
