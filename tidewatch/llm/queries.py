@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import decontamination, embedding_dedup, language, licenses, line_dedup, ngram_join, packing, sharding, toxicity
+from tidewatch.llm import decontamination, embedding_dedup, language, licenses, line_dedup, ngram_join, packing, quality, sharding, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_packing": packing.op9_packing,
+    "op10_quality": quality.op10_quality,
 }
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
