@@ -65,7 +65,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE**i`` and ``BASE**-i`` modulo 2**64, for i below ``n``."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = max(n, (1 << 20) + 1)
         both = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             steps = np.full(size, base, np.uint64)

@@ -43,7 +43,7 @@ SWITCH = 6.0
 SCRIPT_SHARE = 0.02
 UNKNOWN = "und"
 #: Word bytes whose scores are held at once; documents of one Viterbi pass.
-SCORED_BYTES, PASS_BYTES = 1 << 20, 24 << 20
+SCORED_BYTES, PASS_BYTES = 1 << 20, 8 << 20
 
 _byte = np.arange(256)
 IS_LETTER = ((LOWER >= 97) & (LOWER <= 122)) | (_byte >= 128)
@@ -115,7 +115,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column("text"))
         names = np.array(batch.column("lang").to_pylist(), object)
         langs, lang_of = np.unique(names.astype(str), return_inverse=True)
-        for a, b in row_blocks(offsets):
+        for a, b in row_blocks(offsets, SCORED_BYTES):
             low, starts, ends, number, row, _ = unique_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             if not len(number):
                 continue
@@ -183,7 +183,7 @@ def scored_words(model: Model, data: np.ndarray, offsets: np.ndarray):
     scores, number, sizes = [], [], []
     counts = np.zeros(len(offsets) - 1, np.int64)
     seen = 0
-    for a, b in row_blocks(offsets):
+    for a, b in row_blocks(offsets, SCORED_BYTES):
         low, starts, ends, words, row, lengths = unique_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         scores.append(model.scores(low, starts, ends))
         number.append((words + seen).astype(np.int32))
