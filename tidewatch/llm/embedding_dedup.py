@@ -120,7 +120,7 @@ def _tiles(dim: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, bounds in whole_groups(batches, ("group", "pivot", "part1", "part2")):
             ids, copies, pivots = (part.column(c).to_numpy() for c in ("cid", "copies", "pivot"))
-            right = part.column("right").to_numpy()
+            right, alone = part.column("right").to_numpy(), part.column("part1").to_numpy() == part.column("part2").to_numpy()
             vectors = unit(_matrix(part.column("vector"), dim))
             width = len(part.column("near")[0].as_py())
             near = part.column("near").combine_chunks().flatten().to_numpy().reshape(-1, width)
@@ -128,8 +128,11 @@ def _tiles(dim: int, threshold: float):
             for a, b in zip(bounds[:-1], bounds[1:]):
                 one = np.flatnonzero(~right[a:b]) + a
                 two = np.flatnonzero(right[a:b]) + a
-                same = not len(two)
+                # A tile of a part with itself; one whose other side is empty has no pairs.
+                same = bool(alone[a])
                 two = one if same else two
+                if not len(one) or not len(two):
+                    continue
                 links = tile_links(vectors[one], vectors[two], near[one], near[two], int(pivots[a]), threshold, same)
                 if not links.any():
                     continue
