@@ -180,6 +180,17 @@ def sums_by_row(values: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray
     return sums[cuts[1:]] - sums[cuts[:-1]]
 
 
+def row_counts(member: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many bytes of each row belong to ``member`` (a table of 256 flags)."""
+    out = np.zeros(len(offsets) - 1, np.int64)
+    for a, b in row_blocks(offsets, 1 << 20):
+        sums = np.zeros(int(offsets[b] - offsets[a]) + 1, np.int64)
+        np.cumsum(member[data[offsets[a] : offsets[b]]], out=sums[1:])
+        cuts = offsets[a : b + 1] - offsets[a]
+        out[a:b] = sums[cuts[1:]] - sums[cuts[:-1]]
+    return out
+
+
 def list_array(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     """Lists of consecutive runs of ``values``, ``counts`` long."""
     cuts = np.zeros(len(counts) + 1, np.int32)

@@ -26,6 +26,7 @@ from tidewatch.llm.common import (
     list_array,
     mix,
     row_blocks,
+    row_counts,
     span_hashes,
     table,
     text_bytes,
@@ -268,10 +269,8 @@ def _label(shared, text: str, names: list[str], switch: float):
                 place = at - (np.cumsum(counts) - counts)[row[at]]
                 parts.append((langs[labels[at]], place, np.diff(np.append(at, len(labels)))))
             # Signs beyond ASCII that are no letters (dashes, pictures) make no language.
-            dark = IS_LETTER[data].astype(np.int64)
-            plain = np.concatenate([[0], np.cumsum(dark & (data < 128))])
-            every = np.concatenate([[0], np.cumsum(dark)])
-            odd = (plain[offsets[1:]] == plain[offsets[:-1]]) & (every[offsets[1:]] > every[offsets[:-1]])
+            plain = row_counts(IS_LETTER & (_byte < 128), data, offsets)
+            odd = (plain == 0) & (row_counts(IS_LETTER, data, offsets) > 0)
             for i in np.flatnonzero(odd):
                 if not any(c.isalpha() for c in batch.column(text)[i].as_py()):
                     pred[i], score[i] = len(model.langs), 0.0
