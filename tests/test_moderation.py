@@ -179,3 +179,15 @@ def test_roadmap_columns(spark):
     assert [r.prob_violation for r in moderation.uncertain(df).collect()] == [0.5, 0.41]
     record = df.select(moderation.prediction_record().alias("r")).first().r
     assert record == '{"violation_predicted":true,"rule":"r1","confidence_score":0.96}'
+
+
+def test_split_of_thousands_of_classes_and_null_labels(spark):
+    df = spark.range(9000).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 3000).alias("y"))
+    split = moderation.stratified_split(df, "id", "y", test_size=0.25)
+    counts = {r.split: r["count"] for r in split.groupBy("split").count().collect()}
+    assert counts == {None: 900, "val": 2025, "train": 6075}
+
+
+def test_auc_leaves_out_nulls(spark):
+    rows = [(1, 0.9), (0, 0.2), (1, 0.1), (0, 0.05), (None, 0.7), (1, None)]
+    assert moderation.auc(spark.createDataFrame(rows, "true_label int, prob_violation double")).first()[0] == 0.75

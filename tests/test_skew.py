@@ -130,17 +130,17 @@ def test_top_per_key(spark):
     assert hot == sorted((r[3] for r in rows if r[0] == "hot"), reverse=True)[:5]
 
 
-def test_lookup_join_broadcasts_only_within_bounds(spark):
-    big = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
-    small = spark.range(4).select(F.col("id").alias("k"), F.repeat(F.lit("x"), F.lit(100)).alias("v"))
-    want = sorted(map(tuple, big.join(small, "k").collect()))
-    inside = lookups.lookup_join(big, small, ["k"])
-    assert sorted(map(tuple, inside.collect())) == want
-    assert lookups.local_rows(small, max_rows=3) is None
-    assert lookups.local_rows(small, max_chars=50) is None
-    assert len(lookups.local_rows(small, max_rows=4)) == 4
-    for bounds in ({"max_rows": 3}, {"max_chars": 50}):
-        assert sorted(map(tuple, lookups.lookup_join(big, small, ["k"], **bounds).collect())) == want
+def test_null_keys_survive_the_split(spark):
+    df, rows = offences(spark)
+    orphan = [(None, "nobody", i, 1000 + i, 0, "x", 2 - i, "c") for i in range(9)]
+    both = df.union(spark.createDataFrame(orphan, df.schema))
+    for make in (behavior.behavior_score, behavior.history_pages):
+        whole, split = (sorted(map(str, make(both, max_rows_per_key=n).collect())) for n in (10**6, 20))
+        assert whole == split and any("None" in r for r in whole)
+    bars = both.select(F.col("user_id").alias("symbol"), "ts", F.col("message_id").alias("bar_id"), F.col("points").cast("double").alias("close"))
+    for make in (timeseries.daily_return, lambda b, max_rows_per_key: timeseries.moving_average(b, 3, max_rows_per_key=max_rows_per_key)):
+        whole, split = (sorted(map(str, make(bars, max_rows_per_key=n).collect())) for n in (10**6, 40))
+        assert whole == split and len(whole) == 409
 
 
 def test_hot_step_is_split_by_adaptive_execution(spark):

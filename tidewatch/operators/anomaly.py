@@ -48,20 +48,14 @@ def _grow(points: np.ndarray, tree: int, seed: int, depth_limit: int) -> pd.Data
     return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "size"])
 
 
-def _sample(df: DataFrame, key: str, trees: int, sample: int, seed: int) -> DataFrame:
+def _sample(df: DataFrame, key: str, trees: int, sample: int, seed: int, total: int) -> DataFrame:
     """``sample`` hash-chosen rows for each tree (subsampling is the method)."""
-    total = max(df.count(), 1)
-    scale = 1_000_003
-    if total > 2 * trees * sample:
-        # Many rows: each is a candidate of one tree at most.
-        draw = F.xxhash64(F.col(key), F.lit(seed))
-        likely = df.filter(F.pmod(draw, F.lit(scale)) <= scale * 1.5 * trees * sample / total)
-        chosen = likely.withColumn("tree", F.pmod(F.xxhash64(draw), F.lit(trees)).cast("int"))
-    else:
-        every = F.sequence(F.lit(0), F.lit(trees - 1))
-        share = scale * 1.5 * sample / total
-        mine = F.filter(every, lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(scale)) <= share)
-        chosen = df.withColumn("tree", F.explode(mine))
+    # One rule for every size: a row may be in any tree, by a draw of its own.
+    scale = 1_000_000_007
+    share = scale * min(1.0, (1.5 * sample + 50) / max(total, 1))
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    mine = F.filter(every, lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(scale)) <= share)
+    chosen = df.withColumn("tree", F.explode(mine))
     order = Window.partitionBy("tree").orderBy(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), key)
     return chosen.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample)
 
@@ -142,13 +136,16 @@ def fit_isolation_forest(
     """
     points = df.select(F.col(key), *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
     names = list(features)
+    # A table of fewer rows is its own sample; depth and norm follow from it.
+    total = points.count()
+    sample = min(sample, max(total, 1))
     depth_limit = math.ceil(math.log2(max(sample, 2)))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         ordered = group.sort_values("_r")
         return _grow(ordered[names].to_numpy(dtype=float), int(group["tree"].iloc[0]), seed, depth_limit)
 
-    nodes = _sample(points, key, trees, sample, seed).groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    nodes = _sample(points, key, trees, sample, seed, total).groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
     if nodes.empty:
         raise ValueError("no rows to train on")
     rank = F.percentile_approx("anomaly_score", 1.0 - contamination, 10_000)

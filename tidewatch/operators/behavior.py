@@ -67,7 +67,7 @@ def behavior_score(
                 (F.col("_start_sum") - F.least(F.lit(0), F.coalesce("_lowest", F.lit(0)))).alias("_start"),
             )
         )
-        sums = sums.join(starts, [*USER, ordered.CHUNK])
+        sums = ordered.join_on_keys(sums, starts, [*USER, ordered.CHUNK])
         start = F.col("_start")
     score = F.greatest(start + F.col("_sum"), F.col("_sum") - F.col("_low"))
     # A lowest sum above 0 never clamps: the start (0 or more) decides then.

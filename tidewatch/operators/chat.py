@@ -25,7 +25,6 @@ from tidewatch.functions.text import (
     token_hit,
     url_host,
 )
-from tidewatch.operators.lookups import lookup_join
 from tidewatch.operators.scoring import Scorer, lexicon_toxicity
 
 CODE_ORDER = (V.MALICIOUS_LINK, V.ZERO_TOLERANCE, V.SPAM, V.TOXICITY)
@@ -53,7 +52,7 @@ def untrusted_urls(urls: DataFrame, url: str = "url", domains: DataFrame | None
         return urls.filter(~is_trusted(url))
     hosted = urls.withColumn("_host", url_host(url))
     allowed = domains.select(F.col("domain").alias("_host")).distinct()
-    return lookup_join(hosted, allowed, ["_host"], "left_anti").drop("_host")
+    return hosted.join(allowed, "_host", "left_anti").drop("_host")
 
 
 def add_domain(domains: DataFrame, entries: DataFrame) -> DataFrame:
@@ -81,7 +80,7 @@ def malicious_links(
     suspicious = untrusted_urls(urls, "url", domains)
     kinds = F.array_sort(F.array_distinct(F.flatten(F.collect_set("threats"))))
     return (
-        lookup_join(suspicious, bad, ["url"])
+        suspicious.join(bad, "url")
         .groupBy("message_id")
         .agg(F.count_distinct("url").alias("n_malicious"), F.array_join(kinds, ", ").alias("threats"))
     )

@@ -45,8 +45,4 @@ def latest_hype(hype: DataFrame, n: int = 100) -> DataFrame:
 
 def current_metric(hype: DataFrame) -> DataFrame:
     """Values of the newest bucket."""
-    return hype.agg(
-        F.max("time").alias("time"),
-        F.max_by("avg_price", "time").alias("avg_price"),
-        F.max_by("hype_score", "time").alias("hype_score"),
-    )
+    return hype.select("time", "avg_price", "hype_score").orderBy(F.desc("time")).limit(1)

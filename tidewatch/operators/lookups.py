@@ -1,4 +1,4 @@
-"""Joins with a lookup side, and top-n per key, safe under skewed keys."""
+"""Top-n per key, safe under skewed keys."""
 
 from __future__ import annotations
 
@@ -7,44 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LOOKUP_ROWS = 2_000
-MAX_LOOKUP_ROW_CHARS = 64_000
-
-
-def local_rows(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS, max_chars: int = MAX_LOOKUP_ROW_CHARS):
-    """The rows of a frame if there are few and small ones, else ``None``.
-
-    Never more than ``max_rows + 1`` rows of at most ``max_chars`` characters
-    reach the driver: longer rows are replaced by null on the executors.
-    """
-    row = F.struct(*df.columns)
-    fits = F.coalesce(F.length(F.to_json(row)), F.lit(0)) <= max_chars
-    head = df.select(F.when(fits, row).alias("r")).limit(max_rows + 1).collect()
-    if len(head) > max_rows or any(h.r is None for h in head):
-        return None
-    return [h.r for h in head]
-
-
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = MAX_LOOKUP_ROWS,
-    max_chars: int = MAX_LOOKUP_ROW_CHARS,
-) -> DataFrame:
-    """Join with a lookup that holds each key once.
-
-    A lookup within the bounds is broadcast, so the big side does not move at
-    all. Beyond them this is an ordinary shuffle join without a hint: each key
-    has one lookup row, and AQE splits a hot key on the big side.
-    """
-    rows = local_rows(lookup, max_rows, max_chars)
-    if rows is not None:
-        lookup = F.broadcast(big.sparkSession.createDataFrame(rows, lookup.schema))
-    return big.join(lookup, list(on), how)
-
-
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence, n: int, spread: Sequence[str], slices: int = 64
 ) -> DataFrame:

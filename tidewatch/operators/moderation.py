@@ -6,7 +6,6 @@ optionally positive_example_1/2 and negative_example_1/2.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 from tidewatch import fixed_values as V
 from tidewatch.functions.numeric import positive_probability
 from tidewatch.functions.text import clean_text, has_link, redact_links, word_count
-from tidewatch.operators.lookups import local_rows, lookup_join
 
 EXAMPLES = ("positive_example_1", "positive_example_2", "negative_example_1", "negative_example_2")
 
@@ -31,22 +29,24 @@ def with_examples(comments: DataFrame, labelled: DataFrame) -> DataFrame:
     """Give every comment two positive and two negative examples of its rule.
 
     The examples are the first and last labelled comment of the rule and label
-    by row id, found with combinable aggregates. They are cleaned here, once
-    per rule and not once per comment.
+    by row id. Their ids are found first, by combinable aggregates over ids
+    alone; only these texts are then fetched, and cleaned once per rule.
     """
     violating = F.col("rule_violation") == 1
-
-    def pick(choose, wanted: Column) -> Column:
-        return choose("body", F.when(wanted, F.col("row_id")))
-
-    examples = labelled.groupBy("rule").agg(
-        pick(F.min_by, violating).alias("positive_example_1"),
-        pick(F.max_by, violating).alias("positive_example_2"),
-        pick(F.min_by, ~violating).alias("negative_example_1"),
-        pick(F.max_by, ~violating).alias("negative_example_2"),
+    wanted = {
+        "positive_example_1": F.min(F.when(violating, F.col("row_id"))),
+        "positive_example_2": F.max(F.when(violating, F.col("row_id"))),
+        "negative_example_1": F.min(F.when(~violating, F.col("row_id"))),
+        "negative_example_2": F.max(F.when(~violating, F.col("row_id"))),
+    }
+    ids = labelled.groupBy("rule").agg(*[c.alias(name) for name, c in wanted.items()])
+    slots = F.explode(F.array(*[F.struct(F.lit(n).alias("slot"), F.col(n).alias("row_id")) for n in EXAMPLES]))
+    chosen = ids.select("rule", slots.alias("s")).select("rule", "s.slot", "s.row_id").filter("row_id IS NOT NULL")
+    texts = labelled.select("rule", "row_id", clean_text("body").alias("said")).join(chosen, ["rule", "row_id"])
+    examples = texts.groupBy("rule").agg(
+        *[F.max(F.when(F.col("slot") == name, F.col("said"))).alias(name) for name in EXAMPLES]
     )
-    cleaned = examples.withColumns({name: clean_text(name) for name in EXAMPLES})
-    return lookup_join(comments, cleaned, ["rule"], "left", max_rows=200, max_chars=200_000)
+    return comments.join(examples, "rule", "left")
 
 
 def fewshot_prompt(
@@ -76,61 +76,64 @@ def fewshot_prompt(
     return F.replace(prompt, F.lit(V.SEPARATOR_PLACEHOLDER), F.lit(separator))
 
 
-def _validation_counts(sizes: dict, test_size: float) -> dict:
-    """Validation rows per class: shares of ``ceil(test_size * total)``, largest remainder first."""
-    total = sum(sizes.values())
-    wanted = math.ceil(test_size * total)
-    shares = {c: wanted * n / total for c, n in sizes.items()}
-    counts = {c: math.floor(s) for c, s in shares.items()}
-    by_remainder = sorted(sizes, key=lambda c: (counts[c] - shares[c], str(c)))
-    for c in by_remainder[: wanted - sum(counts.values())]:
-        counts[c] += 1
-    return counts
+def _validation_counts(sizes: DataFrame, test_size: float) -> DataFrame:
+    """Adds ``need``: shares of ``ceil(test_size * total)``, largest remainder first.
+
+    ``sizes`` has one row (_label, n) per class.
+    """
+    every = Window.partitionBy(F.lit(0))
+    total = F.sum("n").over(every)
+    wanted = F.ceil(F.lit(test_size) * total)
+    share = wanted * F.col("n") / total
+    shares = sizes.select("_label", "n", wanted.alias("_wanted"), share.alias("_share")).withColumn(
+        "_floor", F.floor("_share")
+    )
+    order = every.orderBy(F.col("_floor") - F.col("_share"), F.col("_label").cast("string"))
+    spare = F.col("_wanted") - F.sum("_floor").over(every)
+    one_more = (F.row_number().over(order) <= spare).cast("bigint")
+    return shares.select("_label", (F.col("_floor") + one_more).cast("bigint").alias("need"))
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42, prefix_len: int = 4
+    df: DataFrame,
+    key: str,
+    label: str,
+    test_size: float = 0.2,
+    seed: int = 42,
+    prefix_len: int = 4,
+    levels: int = 2,
 ) -> DataFrame:
-    """Add ``split`` ("train" / "val") with exact class shares, reproducible by seed.
+    """Add ``split`` ("train" / "val", null for a null label) with exact class shares.
 
     Rows of a class are ordered by ``md5(key:seed)`` and the first ones become
-    the validation set. The cut hash of each class is found in two steps, so a
-    class with most of the rows is never sorted: a histogram over hash prefixes
-    (at most 16^prefix_len per class) names the prefix in which the cut lies,
-    then only the rows of that prefix are ranked. The split itself is a
-    projection against one cut per class; the table does not move.
+    the validation set. The cut hash of each class is found by histograms over
+    hash prefixes: each level narrows the cut to one of 16^prefix_len parts of
+    the part before, so a class with most of the rows is never sorted; only the
+    rows of the last part are ranked. Any number of classes; nothing runs
+    before the result is used.
     """
     code = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    prefix = F.substring(code, 1, prefix_len)
-    hashed = df.filter(F.col(label).isNotNull()).select(
-        F.col(label).alias("_label"), code.alias("_code"), prefix.alias("_prefix")
-    )
-    histogram = hashed.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("n")).persist()
-    try:
-        classes = local_rows(histogram.groupBy("_label").agg(F.sum("n").alias("n")))
-        if classes is None:
-            raise ValueError("a label with thousands of classes cannot be stratified")
-        if not classes:
-            return df.withColumn("split", F.lit("train"))
-        counts = _validation_counts({c._label: c.n for c in classes}, test_size)
-        wanted = F.create_map(*[F.lit(v) for pair in counts.items() for v in pair])
-        upto = Window.partitionBy("_label").orderBy("_prefix")
+    rows = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("_label"), code.alias("_code"))
+    need = _validation_counts(rows.groupBy("_label").agg(F.count(F.lit(1)).alias("n")), test_size)
+    for level in range(1, levels + 1):
+        prefix = F.substring("_code", 1, prefix_len * level)
+        histogram = rows.groupBy("_label", prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("_label").orderBy("_prefix"))
         edge = (
-            histogram.withColumn("upto", F.sum("n").over(upto))
-            .withColumn("need", wanted[F.col("_label")] - (F.col("upto") - F.col("n")))
+            histogram.withColumn("upto", upto)
+            .join(need, "_label")
+            .withColumn("need", F.col("need") - (F.col("upto") - F.col("n")))
             .filter((F.col("need") > 0) & (F.col("need") <= F.col("n")))
-            .select("_label", "_prefix", "need")
         )
-        edges = df.sparkSession.createDataFrame(local_rows(edge), edge.schema)
-    finally:
-        histogram.unpersist()
-    ranked = hashed.join(F.broadcast(edges), ["_label", "_prefix"]).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_label").orderBy("_code"))
-    )
-    cuts = ranked.filter(F.col("_rank") == F.col("need")).select("_label", "_code")
-    cut = {r._label: r._code for r in local_rows(cuts)}
-    cut_of = F.create_map(*[F.lit(v) for pair in cut.items() for v in pair])[F.col(label)]
-    return df.withColumn("split", F.when(code <= cut_of, "val").otherwise("train"))
+        need = edge.select("_label", "need")
+        parts = edge.select("_label", "_prefix")
+        rows = rows.withColumn("_prefix", prefix).join(parts, ["_label", "_prefix"], "left_semi").drop("_prefix")
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_label").orderBy("_code")))
+    cuts = ranked.join(need, "_label").filter(F.col("_rank") == F.col("need"))
+    cuts = cuts.select(F.col("_label").alias("_class"), F.col("_code").alias("_cut"))
+    joined = df.join(cuts, F.col(label) == F.col("_class"), "left")
+    split = F.when(code <= F.col("_cut"), "val").when(F.col(label).isNotNull(), "train")
+    return joined.withColumn("split", split).drop("_class", "_cut")
 
 
 def split_summary(split: DataFrame, label: str) -> DataFrame:
@@ -178,9 +181,11 @@ def auc(df: DataFrame, label: str = "true_label", score: str = "prob_violation")
     """Area under the ROC curve over all thresholds, ties averaged; one row.
 
     Null unless both classes are present. Rows are combined per score before
-    they are sorted, so many equal scores cost nothing.
+    they are sorted, so many equal scores cost nothing. Rows without a label or
+    a score do not count.
     """
     rows = df.select(F.col(label).cast("double").alias(label), F.col(score).cast("double").alias(score))
+    rows = rows.dropna()
     present = rows.groupBy(label).count().limit(3).collect()
     value = None
     if len(present) > 1:

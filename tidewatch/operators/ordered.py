@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -65,6 +66,14 @@ def before_chunk(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Equi join in which null keys equal each other, as they do in a window."""
+    other = [f"_on_{k}" for k in keys]
+    named = right.withColumnsRenamed(dict(zip(keys, other)))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, other)]
+    return left.join(named, reduce(lambda a, b: a & b, same)).drop(*other)
+
+
 def with_position(df: DataFrame, split: bool, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add the 1-based ``_position`` within the key to a chunked frame."""
     local = df.withColumn(POSITION, F.row_number().over(in_chunk(keys, order)).cast("bigint"))
@@ -75,7 +84,7 @@ def with_position(df: DataFrame, split: bool, keys: Sequence[str], order: Sequen
         *keys, CHUNK, F.coalesce(F.sum("_n").over(before_chunk(keys)), F.lit(0)).alias("_offset")
     )
     return (
-        local.join(offsets, [*keys, CHUNK])
+        join_on_keys(local, offsets, [*keys, CHUNK])
         .withColumn(POSITION, F.col(POSITION) + F.col("_offset"))
         .drop("_offset")
     )

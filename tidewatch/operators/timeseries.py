@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.numeric import nan_to_null
 from tidewatch.operators import ordered
-from tidewatch.operators.lookups import lookup_join, top_per_key
+from tidewatch.operators.lookups import top_per_key
 
 KEYS = ("symbol",)
 ORDER = ("ts", "bar_id")
@@ -56,7 +56,7 @@ def daily_return(
             ordered.CHUNK,
             F.last("_end", ignorenulls=True).over(ordered.before_chunk(keys)).alias("_carry"),
         )
-        filled = filled.join(carried, [*keys, ordered.CHUNK])
+        filled = ordered.join_on_keys(filled, carried, [*keys, ordered.CHUNK])
     else:
         filled = filled.withColumn("_carry", F.lit(None).cast("double"))
     current = F.coalesce("_filled", "_carry")
@@ -108,4 +108,4 @@ def unknown_symbols(requested: DataFrame, bars: DataFrame) -> DataFrame:
 def bars_for(bars: DataFrame, requested: DataFrame) -> DataFrame:
     """Bars of the requested symbols only."""
     wanted = requested.select(F.upper("symbol").alias("symbol")).filter("symbol <> ''").distinct()
-    return lookup_join(bars, wanted, ["symbol"], "left_semi")
+    return bars.join(wanted, "symbol", "left_semi")

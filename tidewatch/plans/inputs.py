@@ -15,6 +15,8 @@ from tidewatch.sources.readers import read_table
 WINDOW_S, SLIDE_S = 2 * 86_400, 86_400
 HIGH_AMOUNT, HIGH_COUNT = 200.0, 5
 BUCKET_S = 3_600
+# Rows per key beyond which the *_split queries cut a key into chunks.
+SPLIT_OFFENCES, SPLIT_BARS = 8, 200
 ZERO_TOLERANCE = ("scum", "pathetic")
 PHRASES = V.SPAM_PHRASES + ("for the the", "license", "subscribe")
 POSITIVE = ("the", "with", "les", "und")
@@ -53,16 +55,18 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, d: str) -> DataFrame:
-    """Click and error events, scored by the document of their number.
+    """Click and error events, scored by the document of their number modulo their count.
 
     Texts are scored before the join, so only the score moves.
     """
     score = scoring.lexicon_sentiment(POSITIVE, NEGATIVE)(F.col("text"))
     scores = table(spark, d, "documents").select(
-        F.col("doc_id").alias("event_id"), score.alias("sentiment_score")
+        "doc_id", score.alias("sentiment_score")
     )
+    count = table(spark, d, "documents").select(F.count(F.lit(1)).alias("n")).scalar()
     said = table(spark, d, "events").filter(F.col("event_type").isin("click", "error"))
-    return said.join(scores, "event_id").select(
+    said = said.withColumn("doc_id", F.pmod(F.col("event_id"), count))
+    return said.join(scores, "doc_id").select(
         "event_id", F.col("ts").alias("event_time"), "sentiment_score"
     )
 

@@ -105,7 +105,7 @@ alerts AS (SELECT * REPLACE (round(avg_amount, 6) AS avg_amount),
   txn_count / 10.0::DOUBLE AS fraud_score FROM feat)"""
 
 POSTS = """posts AS (SELECT e.event_id, e.ts AS event_time, d.text FROM events e JOIN documents d
-  ON d.doc_id = e.event_id WHERE e.event_type IN ('click', 'error'))"""
+  ON d.doc_id = e.event_id % (SELECT count(*) FROM documents) WHERE e.event_type IN ('click', 'error'))"""
 SENTIMENT = (
     f"CASE WHEN {hits('w', I.POSITIVE)} > {hits('w', I.NEGATIVE)} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 )
@@ -390,3 +390,4 @@ UNION ALL SELECT 'outlier', max(o_totalprice), CAST(count(*) AS DOUBLE), round(a
     "stream_behavior_score": USER_STATS,
     "stream_latest_alerts": LATEST_ALERTS,
 }
+ORACLES.update({f"{name}_split": ORACLES[name] for name in ("behavior_score", "sma_20", "daily_return", "history_pages")})

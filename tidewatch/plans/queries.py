@@ -168,9 +168,9 @@ def current_metric(spark, d):
 # --- bars --------------------------------------------------------------------
 
 
-def _sma(n: int) -> Query:
+def _sma(n: int, **bounds: int) -> Query:
     def run(spark, d):
-        return rounded(timeseries.moving_average(I.bars(spark, d), n), f"sma_{n}")
+        return rounded(timeseries.moving_average(I.bars(spark, d), n, **bounds), f"sma_{n}")
 
     return run
 
@@ -516,8 +516,8 @@ def offender_ledger(spark, d):
 
 
 @query
-def history_pages(spark, d):
-    pages = behavior.history_pages(I.offence_log(spark, d), page_rows=10)
+def history_pages(spark, d, **bounds):
+    pages = behavior.history_pages(I.offence_log(spark, d), page_rows=10, **bounds)
     return pages.select(
         "user_id",
         "page",
@@ -526,6 +526,17 @@ def history_pages(spark, d):
     )
 
 
+# The same with keys that are cut into chunks: no size may change a result.
+QUERIES["behavior_score_split"] = lambda spark, d: behavior.behavior_score(
+    I.offence_log(spark, d).drop("content"), max_rows_per_key=I.SPLIT_OFFENCES
+).select("user_id", "message_id", "seq", "points", "score")
+QUERIES["sma_20_split"] = _sma(20, max_rows_per_key=I.SPLIT_BARS)
+QUERIES["daily_return_split"] = lambda spark, d: rounded(
+    timeseries.daily_return(I.bars(spark, d), max_rows_per_key=I.SPLIT_BARS), "daily_return"
+)
+QUERIES["history_pages_split"] = lambda spark, d: history_pages(spark, d, max_rows_per_key=I.SPLIT_OFFENCES)
+
+
 # --- models ------------------------------------------------------------------
 
 

@@ -38,6 +38,7 @@ def score_writer(path: str, max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY):
     write = epoch_writer(path)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
+        # End markers of a stream carry no user.
         real = batch.filter(F.col("user_id").isNotNull())
         write(score_steps(real, max_rows_per_key=max_rows_per_key), epoch)
 

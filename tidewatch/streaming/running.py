@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import timedelta
@@ -35,15 +36,22 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
 
 
 def drain_until(
-    writer: DataStreamWriter, seen: Callable[[], bool], interval: str = "1 second", timeout: int = 3600
+    writer: DataStreamWriter, seen: Callable[[], bool], interval: str = "1 second", timeout: float | None = None
 ) -> None:
-    """Keep a query running until ``seen()``: the end marker has reached the sink."""
+    """Keep a query running until ``seen()``: the end marker has reached the sink.
+
+    Raises what made the query fail, and TimeoutError beyond ``timeout`` seconds
+    (no limit by default): it never returns with a part of the rows.
+    """
     query = writer.trigger(processingTime=interval).start()
+    began = time.monotonic()
     try:
-        waited = 0
-        while query.isActive and not seen() and waited < timeout:
+        while not seen():
+            if not query.isActive:
+                raise query.exception() or RuntimeError("the query ended before its end marker was seen")
+            if timeout is not None and time.monotonic() - began > timeout:
+                raise TimeoutError(f"the end marker was not seen within {timeout} s")
             query.awaitTermination(1)
-            waited += 1
     finally:
         query.stop()
 
