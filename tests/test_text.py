@@ -120,6 +120,13 @@ def test_extract_urls(spark):
     ]
 
 
+def test_links_by_their_ending(spark):
+    text = "see spam.xyz/a and b.app or x.ai; at.Home end.Next"
+    assert values(spark, T.extract_urls, [text]) == [["spam.xyz/a", "b.app", "x.ai"]]
+    every = values(spark, lambda t: T.extract_urls(t, T.ANY_ENDING), [text])
+    assert every == [["spam.xyz/a", "b.app", "x.ai", "at.Home", "end.Next"]]
+
+
 def test_domains(spark):
     typed = [" HTTPS://www.GitHub.com/x/y ", "http://a.b", "c.d/e", "\twww.f.g\n"]
     assert values(spark, T.normalize_domain, typed) == ["github.com", "a.b", "c.d", "f.g"]

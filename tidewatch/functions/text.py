@@ -126,13 +126,25 @@ def phrase_hit(text, phrases: Sequence[str] = V.SPAM_PHRASES) -> Column:
     return let(F.lower(_col(text)), lambda t: contains_any(t, phrases))
 
 
-# Top-level domains a link without scheme must end in.
-LINK_TLDS = ("com", "org", "net", "gov", "edu", "co", "io", "de", "fr", "es", "uk", "be", "gg", "ru", "info", "test")
-URL_PATTERN = (
-    r"(?i)(?:^|[^A-Za-z0-9.@/_-])"
-    r"((?:https?://|www\.)[^\s<>\"']+"
-    r"|(?:[A-Za-z0-9-]+\.)+(?:" + "|".join(LINK_TLDS) + r")\b(?:[/?#:][^\s<>\"']*)?)"
+# A link without scheme ends its host in a country's two letters or one of these.
+LINK_TLDS = tuple(
+    "com org net edu gov mil int info biz name pro mobi aero coop museum jobs travel asia app dev xyz online site shop"
+    " store tech club top live link click icu vip blog news cloud space fun art design agency email world today life"
+    " media social network digital work games chat wiki page zone host press win bid loan download stream review date"
+    " men party trade science cam bar bet casino porn xxx adult sexy dating test".split()
 )
+ANY_ENDING = ("[a-z]{2,24}",)
+
+
+def url_pattern(endings: Sequence[str] = LINK_TLDS) -> str:
+    """``endings``: patterns of top-level domains beside those of two letters."""
+    return (
+        r"(?i)(?:^|[^A-Za-z0-9.@/_-])"
+        r"((?:https?://|www\.)[^\s<>\"']+"
+        r"|(?:[A-Za-z0-9-]+\.)+(?:[a-z]{2}|" + "|".join(endings) + r")\b(?:[/?#:][^\s<>\"']*)?)"
+    )
+
+
 URL_TAIL = r"[\s.,;:!?()\[\]{}<>\"'|]+$"
 
 
@@ -141,13 +153,15 @@ def possible_urls(text) -> Column:
     return _col(text).rlike(r"\.[^\s.]|://")
 
 
-def extract_urls(text) -> Column:
-    """Links of a text in order: with scheme, ``www.`` or a known ending.
+def extract_urls(text, endings: Sequence[str] = LINK_TLDS) -> Column:
+    """Links of a text in order: with scheme, ``www.`` or an ending.
+
+    Two letters are always an ending; ``ANY_ENDING`` takes every word for one.
 
     Texts that cannot hold a link skip the pattern.
     """
     text = _col(text)
-    found = F.regexp_extract_all(text, F.lit(URL_PATTERN), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(url_pattern(endings)), F.lit(1))
     links = F.transform(found, lambda u: F.regexp_replace(u, URL_TAIL, ""))
     return F.when(possible_urls(text), links).when(text.isNotNull(), F.array().cast("array<string>"))
 

@@ -8,7 +8,7 @@ minimum, the split by a rank per class, and so on.
 from __future__ import annotations
 
 from tidewatch import fixed_values as V
-from tidewatch.functions.text import URL_PATTERN, URL_TAIL
+from tidewatch.functions.text import LINK_TLDS
 from tidewatch.plans import inputs as I
 
 SPACE = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
@@ -80,8 +80,14 @@ def category(t: str, items) -> str:
 
 
 def urls(x: str) -> str:
-    found = f"regexp_extract_all({x}, {lit(URL_PATTERN)}, 1)"
-    return f"list_transform({found}, lambda u: regexp_replace(u, {lit(URL_TAIL)}, ''))"
+    # Said anew: something with a scheme or www, or a host by its ending, not inside another word or address.
+    begins = r"(?:^|[^[:alnum:].@/_-])"
+    marked = r"(?:http://|https://|www\.)[^\s<>\"']+"
+    host = rf"[[:alnum:]-]+(?:\.[[:alnum:]-]+)*\.(?:[[:alpha:]][[:alpha:]]|{'|'.join(LINK_TLDS)})\b"
+    path = r"(?:[/?#:][^\s<>\"']*)?"
+    found = f"regexp_extract_all({x}, {lit(f'(?i){begins}({marked}|{host}{path})')}, 1)"
+    ends = r" .,;:!?()[]{}<>\"'|" + "\t\n\r\f\v"
+    return f"list_transform({found}, lambda u: rtrim(u, {lit(ends)}))"
 
 
 HASH = "CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
