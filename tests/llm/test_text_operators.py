@@ -187,3 +187,23 @@ def test_lines_are_the_text(spark):
     got = docs.select("text", line_dedup.lines_of(F.col("text")).alias("l"), F.split("text", line_dedup.LINE_END).alias("s")).collect()
     for r in got:
         assert "".join(r.l) == r.text and r.l == [x for x in r.s if x]
+
+
+def test_license_sql_on_every_notice(spark, tmp_path):
+    """Documents with each notice, whole, edited within and beyond the drift, and cut."""
+    import duckdb
+    from compare import difference, rows_of, spark_rows
+
+    rng = random.Random(11)
+    texts = []
+    for t in licenses.TEMPLATES:
+        w = t.text.split()
+        more = [*w[: len(w) // 2], *["extra"] * rng.randrange(1, 6), *w[len(w) // 2 :]]
+        texts += [f"aa {t.text} bb", " ".join(more), " ".join(w[:-1]), f"{t.text} {t.text}", " ".join(w[2:])]
+    docs = plain_docs(spark, texts + [sentence(rng, 40) for _ in range(40)] + ["", None])
+    docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    cur = con.execute(licenses.ORACLE)
+    want = rows_of([c[0] for c in cur.description], cur.fetchall())
+    assert difference(spark_rows(licenses.license_labels(docs)), want) is None

@@ -230,3 +230,64 @@ def license_labels(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
     return license_labels(table(spark, sf_dir, "documents"))
+
+
+def _list(words: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _starts(words: tuple[str, ...]) -> str:
+    """SQL: where these words stand one after the other, from 0."""
+    n = len(words)
+    found = f"list_filter(range(0, len(w) - {n - 1}), lambda i: w[i + 1 : i + {n}] = {_list(words)})"
+    return f"CASE WHEN list_has_all(w, {_list(words)}) THEN {found} ELSE [] END"
+
+
+def _oracle() -> str:
+    """The same results from whole phrases, which need no index, and keys for notices of several phrases."""
+    base = [t for t in TEMPLATES if t.base]
+    single = [t for t in TEMPLATES if not t.base and not t.phrases]
+    several = [(k, t) for k, t in enumerate(TEMPLATES) if t.phrases]
+    columns = [f"{_starts(t.words)} AS b{k}" for k, t in enumerate(base)]
+    columns += [f"len({_starts(t.words)}) > 0 AS s{k}" for k, t in enumerate(single)]
+    rows = [f"({k}, {i}, '{w}')" for k, t in several for i, w in enumerate(t.words)]
+    checks = []
+    for k, t in several:
+        near = [
+            f"len(list_filter(range(s + {at - DRIFT}, s + {at + DRIFT + 1}), lambda i: i >= 0"
+            f" AND w[i + 1 : i + {len(words)}] = {_list(words)})) > 0"
+            for at, words in t.places()
+        ]
+        checks.append(f"(t = {k} AND {' AND '.join(near)})")
+    names = " ".join(f"WHEN {k} THEN '{t.label}'" for k, t in several)
+    every = "list_concat(" + ", ".join(f"b{k}" for k in range(len(base))) + ")"
+    base_labels = ", ".join(f"CASE WHEN len(b{k}) > 0 THEN '{t.label}' END" for k, t in enumerate(base))
+    labels = ", ".join(f"CASE WHEN s{k} THEN '{t.label}' END" for k, t in enumerate(single))
+    joined = "array_to_string(list_sort(list_distinct(list_filter({}, lambda x: x IS NOT NULL))), ',')".format
+    return rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+    lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, {', '.join(columns)} FROM d),
+template(t, pos, word) AS (VALUES {', '.join(rows)}),
+seen AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM d),
+df AS (SELECT word, count(DISTINCT doc_id) AS n FROM seen WHERE word IN (SELECT word FROM template) GROUP BY word),
+keys AS (SELECT t, pos, word FROM template LEFT JOIN df USING (word)
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY coalesce(n, 0), pos) <= {KEYS}),
+posting AS (SELECT doc_id, t, i - pos AS s FROM seen JOIN keys USING (word)),
+agreed AS (SELECT a.doc_id, a.t, a.s, count(*) AS n FROM (SELECT DISTINCT * FROM posting) a JOIN posting b
+  ON a.doc_id = b.doc_id AND a.t = b.t AND abs(a.s - b.s) <= {DRIFT} GROUP BY 1, 2, 3 HAVING count(*) >= 2),
+more AS (SELECT doc_id, list(DISTINCT CASE t {names} END) AS found, max(least(n / {float(KEYS)}, 1.0)) AS best
+  FROM agreed JOIN d USING (doc_id) WHERE {' OR '.join(checks)} GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len({every})::BIGINT AS n_base,
+  list_min({every})::BIGINT AS first_word, list_max({every})::BIGINT AS last_word,
+  {joined(f'[{base_labels}]')} AS base_labels,
+  {joined(f"list_concat([{base_labels}, {labels}], coalesce(found, []))")} AS labels,
+  CASE WHEN len({every}) > 0 OR {' OR '.join(f's{k}' for k in range(len(single)))} THEN 1.0::DOUBLE
+    ELSE coalesce(best, 0.0)::DOUBLE END AS score
+FROM p LEFT JOIN more USING (doc_id)
+"""
+
+
+ORACLE = _oracle()

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 ORACLES = {
+    "op1_license_scan": licenses.ORACLE,
     "op2_decontamination": decontamination.ORACLE,
     "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op7_ngram_jaccard_join": ngram_join.ORACLE,
