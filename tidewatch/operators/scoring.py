@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -76,6 +78,26 @@ def model_sentiment(load: Callable[[], Callable[[list[str]], list[float]]]) -> S
     return F.pandas_udf(run, T.DoubleType())
 
 
+@dataclass(frozen=True)
+class WordListModel:
+    """A model in Python for ``model_sentiment``: 1.0 when positive words outnumber negative ones.
+
+    The instance itself is the ``load`` of the scorer.
+    """
+
+    positive: tuple[str, ...]
+    negative: tuple[str, ...]
+
+    def __call__(self) -> Callable[[list[str]], list[float]]:
+        good, bad = set(self.positive), set(self.negative)
+
+        def predict(texts: list[str]) -> list[float]:
+            said = [re.findall(r"[^\W_]+", t.lower()) for t in texts]
+            return [float(sum(w in good for w in s) > sum(w in bad for w in s)) for s in said]
+
+        return predict
+
+
 def model_toxicity(load: Callable[[], Callable[[list[str]], list[dict[str, float]]]]) -> Scorer:
     """Category scores from a model, as a map; same contract as ``model_sentiment``."""
 

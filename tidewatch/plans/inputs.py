@@ -39,6 +39,17 @@ def transactions(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def coarse_transactions(spark: SparkSession, d: str) -> DataFrame:
+    """A few users with all transactions, every seventh on a boundary of five minutes."""
+    at = F.when(F.col("event_id") % 7 == 0, F.window("ts", "5 minutes").start).otherwise(F.col("ts"))
+    return table(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.pmod("user_id", F.lit(3)).alias("user_id"),
+        F.col("value").alias("amount"),
+        at.alias("event_time"),
+    )
+
+
 def features(spark: SparkSession, d: str) -> DataFrame:
     return fraud.fraud_features(transactions(spark, d), WINDOW_S, SLIDE_S)
 
@@ -54,12 +65,12 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def posts(spark: SparkSession, d: str) -> DataFrame:
+def posts(spark: SparkSession, d: str, scorer=None) -> DataFrame:
     """Click and error events, scored by the document of their number modulo their count.
 
     Texts are scored before the join, so only the score moves.
     """
-    score = scoring.lexicon_sentiment(POSITIVE, NEGATIVE)(F.col("text"))
+    score = (scorer or scoring.lexicon_sentiment(POSITIVE, NEGATIVE))(F.col("text"))
     scores = table(spark, d, "documents").select(
         "doc_id", score.alias("sentiment_score")
     )

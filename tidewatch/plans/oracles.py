@@ -333,6 +333,19 @@ t AS (SELECT row_id, list_slice({tokens('body')}, 1, {_MAX_BODY}) AS t FROM comm
 SELECT row_id, array_to_string(list_concat(list_concat([0],
   list_transform(t, lambda w: CAST('0x' || substr(md5(w), 1, 4) AS INTEGER) + 3)), list_concat([2],
   list_transform(range({_MAX_BODY} - len(t)), lambda i: 1))), ' ') AS input_ids, CAST(len(t) + 2 AS INTEGER) AS n_used FROM t""",
+    "sentiment_model_score": f"""WITH {POSTS} SELECT event_id, {SENTIMENT} AS sentiment_score
+  FROM (SELECT event_id, {tokens('text')} AS w FROM posts)""",
+    "requested_bars": """SELECT upper(event_type) AS symbol, event_id AS bar_id, value AS close FROM events
+  WHERE event_type IN ('view', 'purchase')""",
+    "fraud_features_default": """WITH txn AS (SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id % 3 AS user_id,
+  value AS amount, CASE WHEN event_id % 7 = 0 THEN time_bucket(INTERVAL 5 MINUTE, ts) ELSE ts END AS event_time FROM events),
+placed AS (SELECT *, unnest([time_bucket(INTERVAL 5 MINUTE, event_time),
+  time_bucket(INTERVAL 5 MINUTE, event_time) - INTERVAL 5 MINUTE]) AS window_start FROM txn),
+win AS (SELECT user_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
+  count(transaction_id) AS txn_count, avg(amount) AS avg_amount FROM placed GROUP BY 1, 2)
+SELECT t.transaction_id, t.user_id, t.amount, t.event_time, w.window_start, w.window_end, w.txn_count,
+  round(w.avg_amount, 6) AS avg_amount FROM txn t JOIN win w ON t.user_id = w.user_id
+  AND t.event_time >= w.window_start AND t.event_time <= w.window_end""",
     "sentiment_score": f"""WITH {POSTS} SELECT event_id, {SENTIMENT} AS sentiment_score
   FROM (SELECT event_id, {tokens('text')} AS w FROM posts)""",
     "toxicity_scores": f"""WITH t AS (SELECT doc_id, {tokens('text')} AS w FROM documents),

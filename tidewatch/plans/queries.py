@@ -110,6 +110,12 @@ def user_window_features(spark, d):
     )
 
 
+@query
+def fraud_features_default(spark, d):
+    """Ten-minute windows every five minutes: on a boundary the window that ends there counts too."""
+    return rounded(fraud.fraud_features(I.coarse_transactions(spark, d)), "avg_amount")
+
+
 @query
 def fraud_features(spark, d):
     return rounded(I.features(spark, d), "avg_amount")
@@ -206,6 +212,17 @@ def _numbers(column: str, pattern: str) -> Column:
     return F.array_join(shown, ",").alias(column)
 
 
+@query
+def requested_bars(spark, d):
+    """Symbols as a user types them; regions have no bars."""
+    bars = I.bars(spark, d).withColumn("symbol", F.upper("symbol"))
+    typed = I.table(spark, d, "events").filter(F.col("event_type").isin("view", "purchase"))
+    asked = typed.select(F.col("event_type").alias("symbol")).distinct().unionByName(
+        I.table(spark, d, "region").select(F.lower("r_name").alias("symbol"))
+    ).unionByName(I.table(spark, d, "region").select(F.lit("").alias("symbol")))
+    return timeseries.bars_for(bars, asked).select("symbol", "bar_id", "close")
+
+
 @query
 def unknown_symbols(spark, d):
     """Regions are asked for besides the real symbols; they have no bars."""
@@ -362,6 +379,13 @@ def encode_tokens(spark, d):
     )
 
 
+@query
+def sentiment_model_score(spark, d):
+    """The same posts scored by a Python model over Arrow batches."""
+    model = scoring.model_sentiment(scoring.WordListModel(I.POSITIVE, I.NEGATIVE))
+    return I.posts(spark, d, model).select("event_id", "sentiment_score")
+
+
 @query
 def sentiment_score(spark, d):
     return I.posts(spark, d).select("event_id", "sentiment_score")
