@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import fraud, hype
@@ -169,3 +170,38 @@ def test_hype_job_from_messages_to_keyed_table(spark):
     schema = "time timestamp, avg_price double, hype_score double, epoch bigint"
     table = sinks.latest_per_key(sinks.read_epochs(spark, out, schema), ["time"])
     assert [(r.avg_price, r.hype_score) for r in table.collect()] == [(101.0, 0.5)]
+
+
+def test_sinks_outlive_a_new_checkpoint(spark):
+    """A second run with a checkpoint of its own adds to what the first one stored."""
+    from tidewatch.session import scratch_path
+    from tidewatch.streaming import behavior as behavior_stream
+    from tidewatch.streaming.running import drain, to_batches
+
+    schema = "user_id string, name string, ts int, message_id int, seq int, offense string, points int, content string"
+    scores, best = scratch_path(spark, "scores"), scratch_path(spark, "alerts")
+    for run, points in enumerate((15, 1)):
+        inbox = scratch_path(spark, "inbox")
+        rows = [("u", "n", run, run, 0, "x", points, "c")]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(inbox)
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        drain(to_batches(stream, behavior_stream.score_writer(scores), scratch_path(spark, "c")))
+        alerts = stream.select("message_id", (F.col("points") > 0).alias("is_fraud_alert"))
+        drain(to_batches(alerts, fraud_stream.newest_alerts_writer(best, ("message_id",)), scratch_path(spark, "c")))
+    assert [tuple(r) for r in behavior_stream.current_scores(spark, scores).collect()] == [("u", 16)]
+    shown = fraud_stream.read_newest_alerts(spark, best, ("message_id",)).collect()
+    assert [r.message_id for r in shown] == [1, 0]
+
+
+def test_drain_until_raises(spark):
+    from tidewatch.session import scratch_path
+
+    stream = spark.readStream.format("rate").load()
+    with pytest.raises(TimeoutError):
+        drain_until(to_batches(stream, lambda b, e: None, scratch_path(spark, "c")), lambda: False, timeout=2)
+
+    def fails(batch, epoch):
+        raise ValueError("no")
+
+    with pytest.raises(Exception, match="no"):
+        drain_until(to_batches(stream, fails, scratch_path(spark, "c")), lambda: False)

@@ -13,11 +13,35 @@ from tidewatch.sources.readers import path_exists
 EPOCH = "epoch"
 
 
+RUN_SHIFT = 40
+
+
+def numbered_epoch(batch: DataFrame, epoch: int, path: str) -> int:
+    """A number of the batch that grows over all runs that write to ``path``.
+
+    A stream that goes on from its checkpoint keeps its query id, so a repeated
+    batch keeps its number. A new checkpoint counts its batches from 0 again;
+    it is a new run, and comes after those before it. The runs are listed in a
+    folder that readers of the path skip: one row per checkpoint.
+    """
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+    listed, schema = f"{path}/_runs", "run long, query string"
+    known = {}
+    if path_exists(spark, listed):
+        known = {r["query"]: r["run"] for r in spark.read.schema(schema).json(listed).collect()}
+    if query not in known:
+        known[query] = max(known.values(), default=-1) + 1
+        spark.createDataFrame([(known[query], query)], schema).coalesce(1).write.mode("append").json(listed)
+    return (known[query] << RUN_SHIFT) + epoch
+
+
 def epoch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Write each micro-batch to its own folder; a retry replaces that folder."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+        number = numbered_epoch(batch, epoch, path)
+        batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={number}")
 
     return write
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch import fixed_values as V
 from tidewatch.operators.fraud import user_window_features
-from tidewatch.sources.sinks import EPOCH
+from tidewatch.sources.sinks import EPOCH, numbered_epoch, read_epochs
 
 
 def stream_user_features(
@@ -63,10 +64,13 @@ def newest_alerts_writer(path: str, order: tuple[str, ...], n: int = 10):
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         kept = batch.filter("is_fraud_alert").orderBy(*newest).limit(n)
-        if epoch > 0:
-            stored = spark.read.schema(batch.schema).parquet(f"{path}/{EPOCH}={epoch - 1}")
+        version = numbered_epoch(batch, epoch, path)
+        stored = read_epochs(spark, path, StructType([*batch.schema.fields, StructField(EPOCH, LongType())])).filter(F.col(EPOCH) < version)
+        last = stored.agg(F.max(EPOCH)).first()[0]
+        if last is not None:
+            stored = stored.filter(F.col(EPOCH) == last).drop(EPOCH)
             kept = stored.unionByName(kept).orderBy(*newest).limit(n)
-        kept.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+        kept.write.mode("overwrite").parquet(f"{path}/{EPOCH}={version}")
 
     return write
 
