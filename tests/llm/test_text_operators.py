@@ -95,7 +95,7 @@ def test_longest_match_and_its_place(spark):
     assert [tuple(m) for m in found.select(matches).first()[0]] == [("q", 5, 2, 25)]
 
 
-def plain_components(docs, size=3):
+def plain_components(docs, size=5, least=80):
     sets = {}
     for i, (key, text) in enumerate(docs):
         w = (text or "").translate({k: k + 32 for k in range(65, 91)})
@@ -114,7 +114,7 @@ def plain_components(docs, size=3):
     for i in sets:
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 90 * len(sets[i] | sets[j]):
+            if both and 100 * both >= least * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     groups = {}
@@ -141,6 +141,9 @@ def test_jaccard_components_equal_all_pairs(spark):
     docs = awkward(spark, texts)
     got = sorted(str(tuple(r)) for r in ngram_join.jaccard_components(docs).collect())
     assert got == plain_components([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    strict = ngram_join.jaccard_components(docs, words=3, numerator=90)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(str(tuple(r)) for r in strict.collect()) == plain_components(rows, 3, 90)
     kept = ngram_join.one_per_component(docs)
     assert kept.columns == docs.columns
     assert ngram_join.jaccard_components(none(docs)).count() == 0

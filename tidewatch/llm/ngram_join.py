@@ -29,16 +29,16 @@ from tidewatch.llm.common import IS_DARK, list_array, mix, shingle_hashes, sums_
 from tidewatch.llm.components import components
 from tidewatch.session import pin
 
-WORDS = 3
+WORDS = 5
 #: Two sets link when DENOMINATOR * intersection >= NUMERATOR * union.
-NUMERATOR, DENOMINATOR = 90, 100
+NUMERATOR, DENOMINATOR = 80, 100
 COARSE = 256
 #: Largest count of a coordinate; a coordinate that reaches it bounds nothing.
 FULL = 65_535
 #: Members of one side of a tile of a leaf.
 TILE = 1024
-#: A block with fewer shingles is light.
-LIGHT = 3
+#: A block with fewer shingles is light; a class takes the largest number that its spare blocks cover.
+LIGHT = (3, 2, 1)
 GROWTH = 1.2
 
 
@@ -61,6 +61,10 @@ class Classes:
         most = 2 * (self.starts[1:] - 1) * (denominator - numerator) // (denominator + numerator)
         self.spare = np.where(most >= 4, 3 + most // 20, 0)
         self.blocks = most + 1 + self.spare
+        # Shingles in a block of the smallest sets of the class, and how many blocks then hold few.
+        mean = self.starts[:-1] * numerator / denominator / self.blocks
+        below = [np.exp(-mean), np.exp(-mean) * (1 + mean), np.exp(-mean) * (1 + mean + mean**2 / 2)]
+        self.light = np.select([self.blocks * below[k - 1] <= self.spare / 2 for k in LIGHT], LIGHT, 1)
 
     def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class of each size, and whether the next class is needed too."""
@@ -92,7 +96,7 @@ def leaf_keys(hashes, owner, sizes, classes: Classes):
     """Row and key of every leaf that the sets of a block of rows lie in."""
     own, also = classes.of(np.maximum(sizes, 1))
     rows_out, keys_out = [], []
-    group = hashes >> np.uint64(40)
+    group = hashes >> np.uint64(24)
     value = mix(group * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
     low = (value & np.uint64(0xFFFFFFFF)).astype(np.float64)
     high = (value >> np.uint64(32)).astype(np.float64)
@@ -108,7 +112,7 @@ def leaf_keys(hashes, owner, sizes, classes: Classes):
         b = np.bincount(slot, high[inside], minlength=total).astype(np.uint64)
         row = np.repeat(np.arange(len(sizes)), blocks)
         number = np.arange(total) - firsts[row]
-        light = filled < LIGHT
+        light = filled < classes.light[kind[row]]
         few = np.bincount(row[light], minlength=len(sizes)) <= classes.spare[kind]
         use = ~(light & few[row])
         place = mix(number[use].astype(np.uint64) + (kind[row[use]].astype(np.uint64) << np.uint64(40)))
@@ -353,7 +357,7 @@ def one_per_component(docs: DataFrame) -> DataFrame:
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, numerator=90, denominator=100)
 
 
 ORACLE = r"""
