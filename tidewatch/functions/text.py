@@ -37,6 +37,13 @@ def clean_text(text) -> Column:
     return F.trim(F.regexp_replace(no_tags, f"[{SPACE}]+", " "))
 
 
+_TOKEN = f"[^{SPACE}]"
+_REDACTED = (
+    rf"https?://{_TOKEN}+|www\.{_TOKEN}+|(?<!{_TOKEN}){_TOKEN}+\.(?:{'|'.join(V.REDACTED_TLDS)}){WORD_END}"
+)
+_REDACTED_MARKS = ("http", "www.", *[f".{tld}" for tld in V.REDACTED_TLDS])
+
+
 def redact_links(text) -> Column:
     """Replace links by a marker.
 
@@ -46,17 +53,14 @@ def redact_links(text) -> Column:
     linear.
     """
     text = _col(text)
-    tlds = "|".join(V.REDACTED_TLDS)
-    token = f"[^{SPACE}]"
-    pattern = rf"https?://{token}+|www\.{token}+|(?<!{token}){token}+\.(?:{tlds}){WORD_END}"
-    needed = ["http", "www."] + [f".{tld}" for tld in V.REDACTED_TLDS]
-    return F.when(contains_any(text, needed), F.regexp_replace(text, pattern, V.LINK_REMOVED)).otherwise(text)
+    redacted = F.regexp_replace(text, _REDACTED, V.LINK_REMOVED)
+    return F.when(contains_any(text, _REDACTED_MARKS), redacted).otherwise(text)
 
 
 def has_link(text) -> Column:
     """1 if the text holds anything that ``redact_links`` would replace."""
     text = _col(text)
-    return F.when(redact_links(text) != text, 1).otherwise(0)
+    return F.when(contains_any(text, _REDACTED_MARKS) & text.rlike(_REDACTED), 1).otherwise(0)
 
 
 def words(text) -> Column:
