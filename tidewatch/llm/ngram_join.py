@@ -39,7 +39,9 @@ FULL = 65_535
 TILE = 1024
 #: A block with fewer shingles is light; a class takes the largest number that its spare blocks cover.
 LIGHT = (3, 2, 1)
-GROWTH = 1.2
+GROWTH = 1.5
+#: Bits of the map that tells which leaves may be shared; its size is fixed, an exact join follows.
+MAP_BITS = 26
 
 
 class Classes:
@@ -54,9 +56,11 @@ class Classes:
 
     def __init__(self, numerator: int, denominator: int):
         self.numerator, self.denominator = numerator, denominator
-        starts = [1]
+        starts = [1, 2]
         while starts[-1] < 1 << 40:
-            starts.append(max(starts[-1] + 1, int(starts[-1] * GROWTH)))
+            # The partners of a class reach into the next one, never beyond it.
+            reach = (starts[-1] - 1) * denominator // numerator + 1
+            starts.append(max(starts[-1] + 1, reach, int(starts[-1] * GROWTH)))
         self.starts = np.array(starts, np.int64)
         most = 2 * (self.starts[1:] - 1) * (denominator - numerator) // (denominator + numerator)
         self.spare = np.where(most >= 4, 3 + most // 20, 0)
@@ -159,6 +163,33 @@ def _points(size: int, numerator: int, denominator: int):
     return run
 
 
+def _marked(leaves: DataFrame) -> np.ndarray:
+    """A bit for each value that the last MAP_BITS bits of some leaf take: 2**MAP_BITS bits."""
+    low = F.col("leaf").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    words = leaves.select(F.shiftright(low, 6).alias("w"), low.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def _maybe_shared(shared):
+    """(leaf, id) of the leaves whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: np.ndarray = shared.value
+        for batch in batches:
+            column = batch.column("leaves")
+            leaves = column.flatten().to_numpy(zero_copy_only=False)
+            counts = np.diff(column.offsets.to_numpy())
+            low = leaves.view(np.uint64) & np.uint64((1 << MAP_BITS) - 1)
+            found = ((bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
+            ids = np.repeat(batch.column("id").to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(leaves[found]), pa.array(ids[found])], ["leaf", "id"])
+
+    return run
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +318,11 @@ def jaccard_components(
     entries = pin(keyed.mapInArrow(_points(words, numerator, denominator), schema))
     leaves = entries.select("id", F.explode("leaves").alias("leaf"))
     shared = leaves.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    members = pin(leaves.join(shared.select("leaf"), "leaf", "left_semi").distinct())
+    shared = pin(shared.select("leaf"))
+    # Most leaves have one member; a map of fixed size spares moving them again.
+    bits = docs.sparkSession.sparkContext.broadcast(_marked(shared))
+    maybe = entries.select("id", "leaves").mapInArrow(_maybe_shared(bits), "leaf long, id long")
+    members = pin(maybe.join(shared.hint("merge"), "leaf", "left_semi").distinct())
     # Leaves with the same members tell the same: one of them stays.
     tops = members.groupBy("leaf").agg(
         F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo")
