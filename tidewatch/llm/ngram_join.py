@@ -39,7 +39,7 @@ FULL = 65_535
 TILE = 1024
 #: A block with fewer shingles is light; a class takes the largest number that its spare blocks cover.
 LIGHT = (3, 2, 1)
-GROWTH = 1.5
+GROWTH = 1.2
 #: Bits of the map that tells which leaves may be shared; its size is fixed, an exact join follows.
 MAP_BITS = 26
 
