@@ -384,9 +384,9 @@ def jaccard_components(
     )
 
 
-def one_per_component(docs: DataFrame) -> DataFrame:
+def one_per_component(docs: DataFrame, **rule: int) -> DataFrame:
     """Documents that name their component (rows with a null id stay); copies of such a row stay once."""
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, **rule)
     lost = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(lost, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
 
