@@ -29,12 +29,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies, by the rule of op7.
-
-    For scattered edits three words and 0.9 find what five words find at about
-    0.84; five words and 0.8 need more disk than the check tool allows (README).
-    """
-    return ngram_join.one_per_component(docs, words=3, numerator=90)
+    """The first document of each group of near copies: five words, similarity 0.8."""
+    return ngram_join.one_per_component(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

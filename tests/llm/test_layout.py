@@ -138,3 +138,14 @@ def test_pipeline_stages(spark):
     pieces = corpus_pipeline.run(spark, SF)
     assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_pipeline_drops_near_copies_of_five_words(spark):
+    """A block of 20 replaced words and 45 appended ones: 0.85 and 0.87 with five words, below 0.9 with three."""
+    base = [f"w{i}" for i in range(300)]
+    block = [*base[:100], *(f"x{i}" for i in range(20)), *base[120:]]
+    longer = [*base, *(f"y{i}" for i in range(45))]
+    other = [*base[:100], *(f"z{i}" for i in range(60)), *base[160:]]
+    docs = plain_docs(spark, [" ".join(w) for w in (base, block, longer, other)])
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    assert sorted(r.doc_id for r in stage(spark, docs, SF).collect()) == [0, 3]

@@ -157,6 +157,23 @@ def test_jaccard_tiles_give_the_same(spark, monkeypatch):
     assert sorted(str(tuple(r)) for r in ngram_join.jaccard_components(docs).collect()) == want
 
 
+def test_packed_leaves_tell_all_shared_ones():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    values = rng.integers(-(2**63), 2**63 - 1, 300)
+    leaf, ids = rng.choice(values, 900), rng.integers(-50, 50, 900)
+    batches = [ngram_join.pack_leaves(leaf[k : k + 300], ids[k : k + 300], 7).to_pylist() for k in (0, 300, 600)]
+    got = {}
+    for part in range(7):
+        rows = [r for batch in batches for r in batch if r["part"] == part]
+        for a, b in zip(*ngram_join.shared_leaves(part, *([r[c] for r in rows] for c in ("ids", "counts", "keys")))):
+            assert b not in got.setdefault(a, set())
+            got[a].add(b)
+    want = [set(ids[leaf == x]) for x in set(leaf)]
+    assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want if len(x) > 1)
+
+
 def test_line_dedup_deletes_later_runs(spark):
     rng = random.Random(6)
     lines = [sentence(rng, 9, 10_000).replace(".", "") + ". " for _ in range(12)]

@@ -18,6 +18,7 @@ bound lets through become rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +41,10 @@ TILE = 1024
 #: A block with fewer shingles is light; a class takes the largest number that its spare blocks cover.
 LIGHT = (3, 2, 1)
 GROWTH = 1.2
-#: Bits of the map that tells which leaves may be shared; its size is fixed, an exact join follows.
-MAP_BITS = 26
+#: Leaves a task packs into rows at a time, and leaves of a part of the key space.
+PACKED, PART_LEAVES = 2_000_000, 4_000_000
+#: Bytes of a leaf's key within its part. Leaves that fall together only add pairs to verify.
+KEY_BYTES = 6
 
 
 class Classes:
@@ -127,27 +130,25 @@ def leaf_keys(hashes, owner, sizes, classes: Classes):
     return rows[order], np.concatenate(keys_out)[order]
 
 
-def _points(size: int, numerator: int, denominator: int):
+def _ids(hashes, owner, sizes, row_key) -> np.ndarray:
+    """Id of each row's set; rows without shingles are sets of their own."""
+    lone = mix(row_key.astype(np.int64).view(np.uint64) + np.uint64(0xABCD)).view(np.int64)
+    return np.where(sizes > 0, set_id(hashes, owner, len(sizes)), lone)
+
+
+def _points(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(numerator, denominator)
         for batch in batches:
             text, row_key = batch.column("text"), batch.column("row_key").to_numpy()
             for a, b, words, rows in word_blocks(text, IS_DARK):
                 n = b - a
                 hashes, owner = distinct_shingles(words, rows, n, size)
                 sizes = np.bincount(owner, minlength=n)
-                ids = set_id(hashes, owner, n)
-                lone = mix(row_key[a:b].astype(np.int64).view(np.uint64) + np.uint64(0xABCD)).view(np.int64)
-                ids = np.where(sizes > 0, ids, lone)
+                ids = _ids(hashes, owner, sizes, row_key[a:b])
                 coarse = (owner * COARSE + (hashes & np.uint64(COARSE - 1)).astype(np.int64)) if len(owner) else owner
                 point = np.minimum(np.bincount(coarse, minlength=n * COARSE), FULL).astype("<u2")
                 cuts = np.arange(n + 1, dtype=np.int32) * (2 * COARSE)
                 points = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(cuts), pa.py_buffer(point)])
-                # Copies within the block have the same leaves: listed once.
-                first = np.zeros(n, bool)
-                first[np.unique(ids, return_index=True)[1]] = True
-                mine = first[owner]
-                leaf_row, leaf = leaf_keys(hashes[mine], owner[mine], np.where(first, sizes, 0), classes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, n),
@@ -155,41 +156,110 @@ def _points(size: int, numerator: int, denominator: int):
                         pa.array(sizes.astype(np.int64)),
                         pa.array(ids),
                         points,
-                        list_array(pa.array(leaf), np.bincount(leaf_row, minlength=n)),
                     ],
-                    ["doc_id", "row_key", "n", "id", "point", "leaves"],
+                    ["doc_id", "row_key", "n", "id", "point"],
                 )
 
     return run
 
 
-def _marked(leaves: DataFrame) -> np.ndarray:
-    """A bit for each value that the last MAP_BITS bits of some leaf take: 2**MAP_BITS bits."""
-    low = F.col("leaf").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    words = leaves.select(F.shiftright(low, 6).alias("w"), low.bitwiseAND(F.lit(63)).cast("int").alias("b"))
-    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-    return out.view(np.uint64)
-
+def pack_leaves(leaf: np.ndarray, ids: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row per part: the ids that have leaves there, how many, and the keys of these leaves."""
+    value = leaf.view(np.uint64)
+    part = ((value >> np.uint64(8 * KEY_BYTES)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((ids, part))
+    part, ids, value = part[order], ids[order], value[order]
+    new = np.ones(len(part), bool)
+    new[1:] = (part[1:] != part[:-1]) | (ids[1:] != ids[:-1])
+    heads = np.flatnonzero(new)
+    counts = np.diff(np.append(heads, len(part))).astype("<i4")
+    keys = value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    names, sizes = np.unique(part, return_index=True)
+    sizes = np.diff(np.append(sizes, len(part)))
+    runs = np.bincount(np.searchsorted(names, part[heads]), minlength=len(names))
+
+    def packed(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        cuts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        return pa.BinaryArray.from_buffers(
+            pa.binary(), len(lengths), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(values))]
+        )
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(names),
+            packed(ids[heads].astype("<i8"), runs * 8),
+            packed(counts, runs * 4),
+            packed(keys, sizes * KEY_BYTES),
+        ],
+        ["part", "ids", "counts", "keys"],
+    )
 
-def _maybe_shared(shared):
-    """(leaf, id) of the leaves whose bit is set."""
 
+def shared_leaves(part: int, ids: list[bytes], counts: list[bytes], keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(leaf, id) of the leaves of a part that two ids or more have, each once."""
+    who = np.repeat(np.frombuffer(b"".join(ids), "<i8"), np.frombuffer(b"".join(counts), "<i4"))
+    wide = np.zeros((len(who), 8), np.uint8)
+    wide[:, :KEY_BYTES] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES)
+    leaf = wide.view("<i8").ravel()
+    order = np.argsort(leaf, kind="stable")
+    leaf = leaf[order]
+    same = leaf[1:] == leaf[:-1]
+    several = np.zeros(len(leaf), bool)
+    several[1:] = same
+    several[:-1] |= same
+    leaf, who = leaf[several], who[order[several]]
+    order = np.lexsort((who, leaf))
+    leaf, who = leaf[order], who[order]
+    new = np.ones(len(leaf), bool)
+    new[1:] = (leaf[1:] != leaf[:-1]) | (who[1:] != who[:-1])
+    leaf, who = leaf[new], who[new]
+    # Leaves that only copies of one set have are not shared.
+    _, at, times = np.unique(leaf, return_inverse=True, return_counts=True)
+    some = times[at] > 1
+    return leaf[some] | (np.int64(part) << np.int64(8 * KEY_BYTES)), who[some]
+
+
+def _packed(size: int, numerator: int, denominator: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: np.ndarray = shared.value
+        classes = Classes(numerator, denominator)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        n_waiting = 0
         for batch in batches:
-            column = batch.column("leaves")
-            leaves = column.flatten().to_numpy(zero_copy_only=False)
-            counts = np.diff(column.offsets.to_numpy())
-            low = leaves.view(np.uint64) & np.uint64((1 << MAP_BITS) - 1)
-            found = ((bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
-            ids = np.repeat(batch.column("id").to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(leaves[found]), pa.array(ids[found])], ["leaf", "id"])
+            row_key = batch.column("row_key").to_numpy()
+            for a, b, words, rows in word_blocks(batch.column("text"), IS_DARK):
+                n = b - a
+                hashes, owner = distinct_shingles(words, rows, n, size)
+                sizes = np.bincount(owner, minlength=n)
+                ids = _ids(hashes, owner, sizes, row_key[a:b])
+                # Copies within the block have the same leaves: listed once.
+                first = np.zeros(n, bool)
+                first[np.unique(ids, return_index=True)[1]] = True
+                mine = first[owner]
+                leaf_row, leaf = leaf_keys(hashes[mine], owner[mine], np.where(first, sizes, 0), classes)
+                waiting.append((leaf, ids[leaf_row]))
+                n_waiting += len(leaf)
+                if n_waiting >= PACKED:
+                    yield pack_leaves(*(np.concatenate(x) for x in zip(*waiting)), parts)
+                    waiting, n_waiting = [], 0
+        if n_waiting:
+            yield pack_leaves(*(np.concatenate(x) for x in zip(*waiting)), parts)
 
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(leaf, id) of shared leaves; the batches are sorted by part."""
+    for table_, bounds in whole_groups(batches, ("part",)):
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            group = table_.slice(a, b - a)
+            columns = (group.column(c).to_pylist() for c in ("ids", "counts", "keys"))
+            leaf, who = shared_leaves(group.column("part")[0].as_py(), *columns)
+            for k in range(0, len(leaf), 1 << 16):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf[k : k + (1 << 16)]), pa.array(who[k : k + (1 << 16)])], ["leaf", "id"]
+                )
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,15 +384,17 @@ def jaccard_components(
         F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.col(text))).alias("row_key"),
         F.col(text).cast("string").alias("text"),
     )
-    schema = "doc_id long, row_key long, n long, id long, point binary, leaves array<long>"
-    entries = pin(keyed.mapInArrow(_points(words, numerator, denominator), schema))
-    leaves = entries.select("id", F.explode("leaves").alias("leaf"))
-    shared = leaves.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    shared = pin(shared.select("leaf"))
-    # Most leaves have one member; a map of fixed size spares moving them again.
-    bits = docs.sparkSession.sparkContext.broadcast(_marked(shared))
-    maybe = entries.select("id", "leaves").mapInArrow(_maybe_shared(bits), "leaf long, id long")
-    members = pin(maybe.join(shared.hint("merge"), "leaf", "left_semi").distinct())
+    entries = pin(keyed.mapInArrow(_points(words), "doc_id long, row_key long, n long, id long, point binary"))
+    # Leaves are about (1 - t) / (1 + t) * 2 of the shingles, in one class or two.
+    total = entries.agg(F.sum("n")).first()[0] or 0
+    share = 4 * (denominator - numerator) / (denominator + numerator)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(max(math.ceil(total * share / PART_LEAVES), 2 * tasks), 1 << 15)
+    packed = keyed.select("row_key", "text").mapInArrow(
+        _packed(words, numerator, denominator, parts), "part long, ids binary, counts binary, keys binary"
+    )
+    packed = packed.repartition("part").sortWithinPartitions("part")
+    members = pin(packed.mapInArrow(_shared, "leaf long, id long"))
     # Leaves with the same members tell the same: one of them stays.
     tops = members.groupBy("leaf").agg(
         F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo")
