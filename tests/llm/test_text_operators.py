@@ -189,6 +189,51 @@ def test_line_dedup_deletes_later_runs(spark):
     assert out[5] is None and out[6] == ""
 
 
+def plain_repeats(texts, least=25):
+    """Lines of each text inside a run of ``least`` words that stands in an earlier text or earlier in its own."""
+    import re
+
+    seen, out = set(), []
+    for text in texts:
+        lines = [x for x in re.split(line_dedup.LINE_END, text) if x]
+        said = [x.rstrip(" ") for x in lines]
+        mine, gone = set(), set()
+        for i in range(len(said)):
+            for j in range(i + 1, len(said) + 1):
+                run = tuple(said[i:j])
+                if sum(x.count(" ") + 1 for x in run) >= least:
+                    if run in seen or run in mine:
+                        gone |= set(range(i, j))
+                    mine.add(run)
+        seen |= mine
+        out.append(sorted(gone))
+    return out
+
+
+def line(rng, n):
+    return " ".join(f"v{rng.randrange(10**6)}" for _ in range(n)) + ". "
+
+
+def test_line_dedup_finds_every_passage(spark):
+    """Passages of 1 to 8 lines of any length in other surroundings, against the plain definition."""
+    rng = random.Random(12)
+    texts = []
+    passages = ["".join(line(rng, rng.randrange(1, 32)) for _ in range(rng.randrange(1, 9))) for _ in range(40)]
+    for _ in range(120):
+        parts = [line(rng, rng.randrange(1, 32)) for _ in range(rng.randrange(1, 9))]
+        parts.insert(rng.randrange(len(parts) + 1), rng.choice(passages))
+        texts.append("".join(parts))
+    got = {r.id: r.gone or [] for r in line_dedup.repeated_lines(plain_docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_repeats(texts)
+
+
+def test_line_dedup_counts_letters_of_scripts_without_spaces(spark):
+    passage = "".join(chr(0x4E00 + 37 * i) + ("。" if i % 10 == 9 else "") for i in range(40))
+    texts = ["一乙丁。" + passage + "七万丈。", "三上下。" + passage + "不与丐。"]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(plain_docs(spark, texts)).collect()}
+    assert out == {0: texts[0], 1: "三上下。不与丐。"}
+
+
 def test_line_dedup_keeps_clean_text_and_awkward_rows(spark):
     rng = random.Random(7)
     texts = [sentence(rng, 120, 10**6) for _ in range(30)]
@@ -209,6 +254,16 @@ def test_lines_are_the_text(spark):
         assert "".join(r.l) == r.text and r.l == [x for x in r.s if x]
 
 
+def test_line_dedup_joins_a_pair_in_each_context(spark):
+    """The pairs of a passage stand in earlier texts too, each alone."""
+    rng = random.Random(13)
+    passage = [line(rng, 6) for _ in range(5)]
+    early = [line(rng, 9) + "".join(passage[k : k + 2]) + line(rng, 9) for k in range(4)]
+    texts = [*early, line(rng, 7) + "".join(passage) + line(rng, 7), line(rng, 8) + "".join(passage) + line(rng, 8)]
+    got = {r.id: r.gone for r in line_dedup.repeated_lines(plain_docs(spark, texts)).collect()}
+    assert [got[i] for i in range(6)] == [None] * 5 + [[1, 2, 3, 4, 5]]
+
+
 def test_license_sql_on_every_notice(spark, tmp_path):
     """Documents with each notice, whole, edited within and beyond the drift, and cut."""
     import duckdb

@@ -1,17 +1,19 @@
 """Line dedup by winnowing, with native columns only.
 
-A line ends at a line break or after a punctuation mark and a space. Of the
-hashes of all pairs of neighbouring lines, a window of WINDOW pairs selects its
-smallest, so two texts that share WINDOW + 1 lines in a row share a selected
-fingerprint. Each fingerprint is joined to its first position in the corpus;
-the two documents are laid on each other there, and the match grows both ways
-as far as the lines agree. A run of at least MIN_WORDS words is deleted in the
-later document; the first copy stays. A run that repeats earlier lines of its
-own document is deleted too.
-
-Only numbers move: line hashes as one array per document, and fingerprints. A
-fingerprint that a third of all documents hold is one row after combining, and
-one side of a join whose other side is split.
+A line ends at a line break, after a punctuation mark and a space, or after a
+mark of a script that puts no space there. A passage is a run of whole lines of
+at least MIN_WORDS words. Winnowing selects a fingerprint in every passage: from
+each line on, the smallest hash of the pairs of neighbouring lines that lie in
+the shortest passage there, WINDOW pairs at most, or the line itself if it is
+one. Around the fingerprints that stand twice, every shortest passage (none of
+its ends can be left out) is hashed as a whole and joined to the first document
+that holds it, whatever else its lines or pairs occur in. A line is deleted if
+a shortest passage around it stands in an earlier document, or earlier in its
+own; as longer passages are made of shortest ones, no repeat is lost.
+
+Only numbers move: line hashes as one array per document, fingerprints, and the
+passages around shared ones. A passage that a third of all documents hold is one
+row after combining, and one side of a join whose other side is split.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ from tidewatch.session import pin
 WINDOW = 4
 MIN_WORDS = 25
 #: Between lines; nothing is lost, the marks stay with the line they end.
-LINE_END = r"(?<=\n)|(?<=[.!?,;:] )"
+LINE_END = r"(?<=[\n。！？，、；：｡､।۔؟،។။])|(?<=[.!?,;:] )"
 #: The same cuts found faster: a mark is put after each line end, then split at.
-CUT_AFTER, MARK = r"\n|[.!?,;:] ", "\x01"
+CUT_AFTER, MARK = r"[\n。！？，、；：｡､।۔؟،។။]|[.!?,;:] ", "\x01"
+#: Letters that count as words, as their scripts put no spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: A document has fewer lines than 2 to this power.
 POSITION_BITS = 28
-RUN = "array<struct<start:int,end:int>>"
 
 
 def lines_of(text: Column) -> Column:
@@ -52,7 +55,9 @@ def _hashed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     def numbers(x: Column) -> Column:
         said = F.rtrim(x)
         spaces = F.octet_length(said) - F.octet_length(F.replace(said, F.lit(" "), F.lit("")))
-        return F.struct(F.xxhash64(said).alias("h"), (spaces + 1).cast("int").alias("w"))
+        letters = F.char_length(said) - F.char_length(F.regexp_replace(said, UNSPACED, ""))
+        alone = F.when(F.octet_length(said) == F.char_length(said), F.lit(1)).otherwise(F.greatest(letters, F.lit(1)))
+        return F.struct(F.xxhash64(said).alias("h"), (spaces + alone).cast("int").alias("w"))
 
     line = F.transform(lines_of(F.col(text)), numbers)
     return (
@@ -68,75 +73,79 @@ def _shifted(x: str | Column, by: int) -> tuple[Column, Column]:
     return F.slice(x, 1, n), F.slice(x, by + 1, n)
 
 
-def _pair_hashes(h: str) -> Column:
-    """Hash of each line with the next; a single line is hashed alone."""
-    pairs = F.zip_with(*_shifted(h, 1), lambda a, b: F.xxhash64(a, b))
-    return F.when(F.size(h) == 1, F.transform(h, lambda a: F.xxhash64(a))).otherwise(pairs)
+def _sums(x: str | Column, y: str | Column, by: int) -> Column:
+    """Each element of ``x`` plus that of ``y`` ``by`` places on."""
+    there = _shifted(y, by)[1]
+    return F.zip_with(F.slice(x, 1, F.size(there)), there, lambda a, b: a + b)
 
 
-def _sorted_pairs(f: str) -> Column:
-    return F.array_sort(F.transform(f, lambda x, i: F.struct(x.alias("f"), i.alias("p"))))
+def _least(x: str | Column, by: int) -> Column:
+    return F.zip_with(*_shifted(x, by), lambda a, b: F.least(a, b))
 
 
-def _prints(pairs: DataFrame) -> DataFrame:
-    """k, p, f: the smallest pair of each window of WINDOW pairs, each hash once per document.
+def _prints(texts: DataFrame, min_words: int) -> DataFrame:
+    """k, p, f: the fingerprints of each document and the lines they begin at.
 
     Pairs are compared by the top bits of their hash and then by position, as
     one number. Each step is a column of its own, as a column is computed once
     where a nested expression is computed wherever it is named.
     """
+    pairs = F.zip_with(*_shifted("h", 1), lambda a, b: F.xxhash64(a, b))
     top = F.transform(
-        "f", lambda x, i: F.shiftleft(F.shiftrightunsigned(x, POSITION_BITS), POSITION_BITS).bitwiseOR(i.cast("long"))
+        pairs, lambda x, i: F.shiftleft(F.shiftrightunsigned(x, POSITION_BITS), POSITION_BITS).bitwiseOR(i.cast("long"))
     )
-    steps = pairs.select("k", "f", top.alias("top")).select("k", "f", "top", F.col("top").alias("least"))
-    width = 1
-    while width < WINDOW:
-        by = min(width, WINDOW - width)
-        narrower = F.zip_with(*_shifted("least", by), lambda a, b: F.least(a, b))
-        steps = steps.select("k", "f", "top", narrower.alias("least"))
-        width += by
-    few = F.array_compact(F.array(F.array_min("top")))
-    least = F.array_distinct(F.when(F.size("f") < WINDOW, few).otherwise(F.col("least")))
-    place = F.lit((1 << POSITION_BITS) - 1).cast("long")
-
-    def found(v: Column) -> Column:
-        p = v.bitwiseAND(place).cast("int")
-        return F.struct(F.get("f", p).alias("f"), p.alias("p"))
-
-    again = F.size(F.array_distinct("f")) < F.size("f")
-    steps = steps.select("k", again.alias("again"), F.transform(least, found).alias("chosen"))
-    # A pair that stands several times in a document counts where it stands first.
-    steps = steps.select("k", "again", "chosen", F.when(F.col("again"), F.array_sort("chosen")).alias("order"))
-    one, two = _shifted("order", 1)
-    firsts = F.concat(F.slice("order", 1, 1), F.zip_with(one, two, lambda a, b: F.when(a.f != b.f, b)))
-    chosen = F.when(F.col("again"), F.array_compact(firsts)).otherwise(F.col("chosen"))
-    return steps.select("k", F.explode(chosen).alias("s")).select("k", "s.p", "s.f")
-
-
-def _repeats(own: DataFrame) -> DataFrame:
-    """Adds ``again``: positions of pairs that stand earlier in the same document, in order."""
-    some = F.size(F.array_distinct("f")) < F.size("f")
-    order = F.when(some, _sorted_pairs("f")).otherwise(F.array().cast("array<struct<f:bigint,p:int>>"))
-    again = F.zip_with(*_shifted("order", 1), lambda a, b: F.when(a.f == b.f, b.p))
-    return own.withColumn("order", order).select("k", "t", "w", F.array_sort(F.array_compact(again)).alias("again"))
-
-
-def _runs(places: str, words: str, least: int, cover: int) -> Column:
-    """Runs (start, end) of lines with at least ``least`` words.
-
-    Each of the ascending ``places`` covers ``cover`` lines from its own on.
-    """
-    one, two = _shifted(places, 1)
-    head, tail = F.slice(places, 1, 1), F.slice(F.reverse(F.col(places)), 1, 1)
-    starts = F.concat(head, F.zip_with(one, two, lambda a, b: F.when(b > a + cover, b)))
-    ends = F.concat(
-        F.zip_with(one, two, lambda a, b: F.when(b > a + cover, a + cover)), F.transform(tail, lambda x: x + cover)
+    steps = texts.select("k", "h", "w", top.alias("l1"), _sums("w", "w", 1).alias("s2"))
+    steps = steps.select("*", _sums("s2", "w", 2).alias("s3"), _sums("s2", "s2", 2).alias("s4"), _least("l1", 1).alias("l2"))
+    # l1 to l4: the smallest of 1 to 4 (WINDOW) pairs from a line on; s2 to s4: the words of 2 to 4 lines.
+    steps = steps.select("*", _least("l2", 1).alias("l3"), _least("l2", 2).alias("l4"))
+    steps = steps.select("k", "h", "w", F.arrays_zip("w", "s2", "s3", "s4", "l1", "l2", "l3", "l4").alias("z"))
+    fits = lambda x: F.coalesce(x >= min_words, F.lit(False))
+    chosen = F.transform(
+        "z",
+        lambda z: F.when(fits(z.w), F.lit(None))
+        .when(fits(z.s2), z.l1)
+        .when(fits(z.s3), z.l2)
+        .when(fits(z.s4), z.l3)
+        .otherwise(z.l4),
     )
-    runs = F.zip_with(
-        F.array_compact(starts), F.array_compact(ends), lambda a, b: F.struct(a.alias("start"), b.alias("end"))
-    )
-    said = lambda r: F.aggregate(F.slice(words, r.start + 1, r.end - r.start), F.lit(0), lambda s, x: s + x)
-    return F.filter(runs, lambda r: said(r) >= least)
+    place = F.lit((1 << POSITION_BITS) - 1).cast("long")
+    places = F.transform(F.array_distinct(F.array_compact(chosen)), lambda v: v.bitwiseAND(place).cast("int"))
+    # A line that is a passage is its own fingerprint; -1 - p tells it from the pair at p.
+    alone = F.array_compact(F.transform("w", lambda x, i: F.when(x >= min_words, -1 - i)))
+    found = steps.select("k", "h", F.explode(F.concat(places, alone)).alias("q"))
+    p = F.when(F.col("q") < 0, -1 - F.col("q")).otherwise(F.col("q"))
+    first, then = F.get("h", p), F.get("h", p + 1)
+    f = F.when(F.col("q") < 0, F.xxhash64(first)).otherwise(F.xxhash64(first, then))
+    return found.select("k", p.alias("p"), f.alias("f"))
+
+
+def _passages(texts: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
+    """k, t, ``runs`` (hash, start, end): the shortest passages around ``places`` (k, ps)."""
+    # Words and lines so far as one number; it stops growing when the words suffice.
+    unit = 1 << 32
+    enough = F.lit(min_words * unit).cast("long")
+    grow = lambda a, x: F.when(a >= enough, a).otherwise(a + x.cast("long") * unit + 1)
+    lines = lambda words: F.aggregate(words, F.lit(0).cast("long"), grow)
+    size = lambda a: F.when(a >= enough, (a % unit).cast("int"))
+    back = F.transform("ps", lambda p: F.sequence(F.greatest(p - (min_words - 1), F.lit(0)), p))
+    on = F.transform("ps", lambda p: F.sequence(p, p + (min_words - 1)))
+    near = texts.select("k", "t", "h", "w").join(places, "k")
+    near = near.select("k", "t", "h", "w", F.array_distinct(F.flatten(back)).alias("starts"), F.array_distinct(F.flatten(on)).alias("lasts"))
+
+    def from_start(i: Column) -> Column:
+        return F.struct(i.alias("start"), (i + size(lines(F.slice("w", i + 1, min_words)))).alias("end"))
+
+    def to_last(e: Column) -> Column:
+        first = F.greatest(e - (min_words - 1), F.lit(0))
+        before = F.reverse(F.slice("w", first + 1, e - first + 1))
+        end = F.when(e < F.size("w"), e + 1)
+        return F.struct((end - size(lines(before))).alias("start"), end.alias("end"))
+
+    runs = F.concat(F.transform("starts", from_start), F.transform("lasts", to_last))
+    runs = F.array_distinct(F.filter(runs, lambda r: r.start.isNotNull() & r.end.isNotNull()))
+    whole = lambda r: F.xxhash64(F.slice("h", r.start + 1, r.end - r.start))
+    hashed = F.transform(runs, lambda r: F.struct(whole(r).alias("g"), r.start.alias("start"), r.end.alias("end")))
+    return near.select("k", "t", F.array_sort(hashed).alias("runs"))
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS):
@@ -148,33 +157,18 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     an empty table gives no rows.
     """
     texts = pin(_hashed(docs, doc_id, text))
-    prints = pin(_prints(texts.select("k", _pair_hashes("h").alias("f"))))
-    firsts = (
-        prints.groupBy("f")
-        .agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min_by("p", "k").alias("p0"))
-        .filter("k0 < k1")
-    )
-    laid = (
-        prints.join(firsts.select("f", "k0", "p0"), "f")
-        .filter("k <> k0")
-        .select("k", "k0", (F.col("p") - F.col("p0")).alias("shift"))
-        .distinct()
-    )
-    first = texts.select(F.col("k").alias("k0"), F.col("h").alias("h0"))
-    # Lines that agree where the two documents are laid on each other.
-    equal = F.array_compact(F.transform("h", lambda x, i: F.when(x == F.get("h0", i - F.col("shift")), i)))
-    across = (
-        laid.join(texts.select("k", "t", "h", "w"), "k")
-        .join(first, "k0")
-        .select("k", "t", "w", equal.alias("places"))
-        .select("k", "t", _runs("places", "w", min_words, 1).alias("runs"))
-    )
-    # Pairs of lines that stand earlier in the same document.
-    own = texts.filter(F.size("h") > 2).select("k", "t", "w", _pair_hashes("h").alias("f"))
-    within = _repeats(own).select("k", "t", _runs("again", "w", min_words, 2).alias("runs"))
-    # An outer explode, as a filter on the runs would be pushed down and compute them anew.
-    found = across.unionByName(within).select("k", "t", F.explode_outer("runs").alias("run"))
-    found = found.filter("run.start IS NOT NULL").distinct()
+    prints = pin(_prints(texts, min_words))
+    shared = prints.groupBy("f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("f")
+    places = prints.join(shared, "f").groupBy("k").agg(F.collect_set("p").alias("ps"))
+    passages = pin(_passages(texts, places, min_words))
+    runs = passages.select("k", "t", F.explode("runs").alias("run")).select("k", "t", F.col("run.g").alias("g"), "run")
+    firsts = runs.groupBy("g").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).filter("k0 < k1")
+    across = runs.join(firsts.select("g", "k0"), "g").filter("k > k0").select("k", "t", "run.start", "run.end")
+    # Passages that stand earlier in the same document: the runs are sorted by (hash, start).
+    again = F.zip_with(*_shifted("runs", 1), lambda a, b: F.when(a.g == b.g, b))
+    within = passages.select("k", "t", F.explode(F.array_compact(again)).alias("run"))
+    found = across.unionByName(within.select("k", "t", "run.start", "run.end")).distinct()
+    found = found.select("k", "t", F.struct("start", "end").alias("run"))
     numbers = F.flatten(F.transform(F.collect_list("run"), lambda r: F.sequence(r.start, r.end - 1)))
     gone = found.groupBy("k", "t").agg(F.array_sort(F.array_distinct(numbers)).alias("gone"))
     sizes = texts.select("id", "k", "t", F.size("h").alias("n_lines"), F.col("w"))
