@@ -125,26 +125,29 @@ def _passages(texts: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
     unit = 1 << 32
     enough = F.lit(min_words * unit).cast("long")
     grow = lambda a, x: F.when(a >= enough, a).otherwise(a + x.cast("long") * unit + 1)
-    lines = lambda words: F.aggregate(words, F.lit(0).cast("long"), grow)
-    size = lambda a: F.when(a >= enough, (a % unit).cast("int"))
+    size = lambda a: F.when(a >= enough, a % unit)
+    lines = lambda words: F.aggregate(words, F.lit(0).cast("long"), grow, size)
     back = F.transform("ps", lambda p: F.sequence(F.greatest(p - (min_words - 1), F.lit(0)), p))
     on = F.transform("ps", lambda p: F.sequence(p, p + (min_words - 1)))
     near = texts.select("k", "t", "h", "w").join(places, "k")
     near = near.select("k", "t", "h", "w", F.array_distinct(F.flatten(back)).alias("starts"), F.array_distinct(F.flatten(on)).alias("lasts"))
 
+    # A run is one number, start and end, as distinct structs are found by comparing all with all.
     def from_start(i: Column) -> Column:
-        return F.struct(i.alias("start"), (i + size(lines(F.slice("w", i + 1, min_words)))).alias("end"))
+        return i.cast("long") * (unit + 1) + lines(F.slice("w", i + 1, min_words))
 
     def to_last(e: Column) -> Column:
         first = F.greatest(e - (min_words - 1), F.lit(0))
         before = F.reverse(F.slice("w", first + 1, e - first + 1))
-        end = F.when(e < F.size("w"), e + 1)
-        return F.struct((end - size(lines(before))).alias("start"), end.alias("end"))
+        return F.when(e < F.size("w"), (e + 1).cast("long") * (unit + 1) - lines(before) * unit)
 
-    runs = F.concat(F.transform("starts", from_start), F.transform("lasts", to_last))
-    runs = F.array_distinct(F.filter(runs, lambda r: r.start.isNotNull() & r.end.isNotNull()))
-    whole = lambda r: F.xxhash64(F.slice("h", r.start + 1, r.end - r.start))
-    hashed = F.transform(runs, lambda r: F.struct(whole(r).alias("g"), r.start.alias("start"), r.end.alias("end")))
+    runs = F.array_distinct(F.array_compact(F.concat(F.transform("starts", from_start), F.transform("lasts", to_last))))
+
+    def whole(r: Column) -> Column:
+        start, end = F.shiftright(r, 32).cast("int"), (r % unit).cast("int")
+        return F.struct(F.xxhash64(F.slice("h", start + 1, end - start)).alias("g"), start.alias("start"), end.alias("end"))
+
+    hashed = F.transform(runs, whole)
     return near.select("k", "t", F.array_sort(hashed).alias("runs"))
 
 
