@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import decontamination, embedding_dedup, language, licenses, line_dedup, ngram_join, packing, quality, sharding, toxicity
+from tidewatch.llm import (
+    decontamination,
+    embedding_dedup,
+    language,
+    licenses,
+    line_dedup,
+    manifest,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+)
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_packing": packing.op9_packing,
     "op10_quality": quality.op10_quality,
+    "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 ORACLES = {
     "op1_license_scan": licenses.ORACLE,
     "op2_decontamination": decontamination.ORACLE,
     "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op7_ngram_jaccard_join": ngram_join.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
 }
