@@ -13,7 +13,9 @@ from tidewatch.llm import (
     packing,
     quality,
     sharding,
+    substring_dedup,
     toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_packing": packing.op9_packing,
     "op10_quality": quality.op10_quality,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
     "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 ORACLES = {
@@ -34,5 +38,6 @@ ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
     "op5_embedding_dedup": embedding_dedup.ORACLE,
     "op7_ngram_jaccard_join": ngram_join.ORACLE,
+    "op12_substring_dedup": substring_dedup.ORACLE,
     "op13_merkle_manifest": manifest.ORACLE,
 }
