@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _scratch: list[str] = []
+_pinned: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,17 +64,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this process wrote to scratch paths.
 
     Frames that were pinned cannot be read any more afterwards.
     """
     while _scratch:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _scratch.pop())
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows.
 
     The files are written by the executors and read back through the normal
@@ -80,5 +86,18 @@ def pin(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "pinned")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _pinned[out] = path
+    return out
+
+
+def unpin(*pinned: DataFrame) -> None:
+    """Delete what ``pin`` wrote for frames that nothing reads any more.
+
+    What was computed from them must be pinned itself, or be thrown away.
+    """
+    for df in pinned:
+        path = _pinned.pop(df)
+        _delete(df.sparkSession, path)
+        _scratch.remove(path)
