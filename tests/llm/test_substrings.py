@@ -114,8 +114,9 @@ def test_first_windows_of_a_shard():
     segs = [rng.integers(1, 3, rng.integers(20, 31)).astype(np.uint64) for _ in range(200)]
     segs += segs[:20]
     at = rng.permutation(len(segs)) * 100
-    codes = pa.array([s.tobytes() for s in segs], pa.binary())
-    got = set(zip(*(x.tolist() for x in S.first_windows(codes, at))))
+    segs, at = zip(*{s.tobytes(): (s, int(a)) for s, a in zip(segs, at)}.values())
+    codes = pa.array([" ".join(map(str, s)) for s in segs])
+    got = set(zip(*(x.tolist() for x in S.first_windows(codes, np.array(at)))))
     least = {}
     for k, s in enumerate(segs):
         for i in range(len(s) - 19):

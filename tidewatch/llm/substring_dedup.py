@@ -1,16 +1,17 @@
 """Repeated passages, found by FM-indexes over shards of the corpus and removed.
 
 A window is a run of 20 words. Its anchor is the least hash among its runs of
-ten words, so equal windows have equal anchors wherever they stand, and windows
+six words, so equal windows have equal anchors wherever they stand, and windows
 that follow each other mostly share one: a segment is the stretch of windows, at
-most eleven, that share a standing anchor. Segments are the documents as the
+most fifteen, that share a standing anchor. Segments are the documents as the
 shards see them.
 
 1. Anchors are counted over all documents. A window whose anchor occurs once
    occurs once; all other segments are candidates.
-2. Candidate segments are combined (equal ones keep their first place) and dealt
-   to shards by anchor. Anchors of many segments are dealt window by window, by
-   the content of the window, so no anchor makes a shard large.
+2. Candidate segments are combined (a task hands on equal ones once, with their
+   first place) and dealt to shards by anchor. Anchors of many segments are dealt
+   window by window, by the content of the window, so no anchor makes a shard
+   large.
 3. Each shard builds an FM-index of its segments: suffix array, Burrows-Wheeler
    transform, wavelet matrix of packed bits with counts. Every segment is
    streamed through it: backward search from the end of each window, one word
@@ -34,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import IS_DARK, mix, powers, row_blocks, span_hashes, table, text_bytes, word_spans
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
-WINDOW, ANCHOR = 20, 10
+WINDOW, ANCHOR = 20, 6
 MOST_WINDOWS = WINDOW - ANCHOR + 1
 #: Segments of one anchor from which its windows are dealt one by one.
 HOT = 4096
@@ -51,20 +52,19 @@ PLACE_BITS = 40
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at = TaskContext.get().partitionId() << PLACE_BITS
     for batch in batches:
-        _, offsets = text_bytes(batch.column(1))
-        steps = np.diff(offsets) + 1
+        steps = batch.column(1).to_numpy()
         ends = at + np.cumsum(steps)
-        yield pa.RecordBatch.from_arrays([pa.array(ends - steps), *batch.columns], names=["place", "doc_id", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - steps)], names=["row", "place"])
         at = int(ends[-1]) if len(ends) else at
 
 
-def in_order(docs: DataFrame) -> DataFrame:
-    """(place, doc_id, text): places rise with doc_id, and leave room for a number of each word."""
-    order = ["doc_id", "h", "tie"]
-    rows = docs.select("doc_id", "text").withColumns({"h": F.xxhash64("text"), "tie": F.monotonically_increasing_id()})
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    kind = dict(docs.dtypes)["doc_id"]
-    return pin(ranged.mapInArrow(_placed, f"place long, doc_id {kind}, text string"))
+def places(base: DataFrame) -> DataFrame:
+    """(row, place): places rise with doc_id, and leave room for a number of each word. No text moves."""
+    order = ["doc_id", "h", "row"]
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    narrow = base.select("row", size.alias("size"), "doc_id", F.xxhash64("text").alias("h"))
+    ranged = narrow.repartitionByRange(*order).sortWithinPartitions(*order).select("row", "size")
+    return pin(ranged.mapInArrow(_placed, "row long, place long"))
 
 
 # --- windows and their anchors -----------------------------------------------
@@ -117,66 +117,113 @@ def _first_words(rows: np.ndarray, n_rows: int) -> np.ndarray:
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        place = batch.column(0).to_numpy()
+        key = batch.column(0).to_numpy()
         for a, b, data, _, starts, ends, rows in words_of(batch.column(1)):
             anchors, first, n = segments(span_hashes(data, starts, ends), rows)
             row = rows[first]
             span = (first - _first_words(rows, b - a)[row]) * 16 + n
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchors.view(np.int64)), pa.array(place[a:b][row]), pa.array(span)], names=["anchor", "place", "span"]
+                [pa.array(anchors.view(np.int64)), pa.array(key[a:b][row]), pa.array(span)], names=["anchor", "row", "span"]
             )
 
 
-# --- candidate segments with their words -------------------------------------
+def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, kept: np.ndarray, n_rows: int):
+    """The kept words, one space between those of a row; and for each byte of ``data`` how many come before it."""
+    n_kept = np.bincount(rows[kept], minlength=n_rows)
+    last = np.zeros(len(starts), bool)
+    last[np.flatnonzero(kept)[np.cumsum(n_kept)[n_kept > 0] - 1]] = True
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[kept]] += 1
+    edge[ends[kept]] -= 1
+    stay = np.cumsum(edge[: len(data)], dtype=np.int8).astype(bool)
+    # The byte after a word, where another follows in its row, becomes the space.
+    gaps = ends[kept & ~last]
+    stay[gaps] = True
+    out = data.copy()
+    out[gaps] = 32
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(stay, out=before[1:])
+    return out[stay], before
 
 
-def _codes(words: np.ndarray, first: np.ndarray, length: np.ndarray, hashes: np.ndarray, at: np.ndarray):
-    """Distinct runs of words as bytes, the one with the least place of each; all arrays by run."""
-    order = np.argsort(at, kind="stable")
-    _, keep = np.unique(hashes[order], return_index=True)
-    keep = order[keep]
-    cuts = np.zeros(len(keep) + 1, np.int64)
-    np.cumsum(length[keep], out=cuts[1:])
-    index = np.arange(cuts[-1]) - np.repeat(cuts[:-1] - first[keep], length[keep])
-    flat = words[index].view(np.uint8)
-    codes = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keep), [None, pa.py_buffer(cuts * 8), pa.py_buffer(flat)])
-    return keep, codes.cast(pa.binary())
+# --- candidate segments with their words -------------------------------------
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        place, marks = batch.column(0).to_numpy(), batch.column(2)
-        cuts, flat = marks.offsets.to_numpy(), marks.flatten().to_numpy()
-        cuts = cuts - cuts[0]
-        for a, b, data, _, starts, ends, rows in words_of(batch.column(1)):
-            words = span_hashes(data, starts, ends)
-            own = flat[cuts[a] : cuts[b]]
-            row = np.repeat(np.arange(b - a), np.diff(cuts[a : b + 1]))
-            hot, n, begin = own & 1, (own >> 1) & 15, own >> 5
-            first = begin + _first_words(rows, b - a)[row]
-            at = place[a:b][row] + begin
-            # Windows of hot anchors one by one, other segments whole.
-            each = np.where(hot == 1, n, 1)
-            inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            first, at, row = np.repeat(first, each) + inner, np.repeat(at, each) + inner, np.repeat(row, each)
-            hot = np.repeat(hot, each)
-            length = np.where(hot == 1, WINDOW, np.repeat(n, each) + WINDOW - 1)
-            up, down = powers(len(words) + 1)
-            sums = np.zeros(len(words) + 1, np.uint64)
-            np.cumsum(words * up[: len(words)], out=sums[1:])
-            hashes = mix((sums[first + length] - sums[first]) * down[first] + length.astype(np.uint64))
-            if not len(first):
-                continue
-            anchor = np.zeros(len(first), np.uint64)
-            runs = run_hashes(words, ANCHOR)
-            for k in range(MOST_WINDOWS):  # the least of any window of the segment is its anchor
-                anchor = runs[first] if k == 0 else np.minimum(anchor, runs[first + k])
-            deal = np.where(hot == 1, hashes, mix(anchor))
-            keep, codes = _codes(words, first, length, hashes, at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(deal[keep].view(np.int64)), codes, pa.array(at[keep]), pa.array(place[a:b][row[keep]])],
-                names=["deal", "code", "at", "place"],
-            )
+class _Seen:
+    """Hashes that a task has handed on, with the least place of each."""
+
+    def __init__(self):
+        self.hashes, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def fresh(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which of these are new or stand earlier than before, one for each hash."""
+        order = np.lexsort((at, hashes))
+        first = np.ones(len(order), bool)
+        first[1:] = hashes[order][1:] != hashes[order][:-1]
+        keep = order[first]
+        found = np.searchsorted(self.hashes, hashes[keep])
+        known = found < len(self.hashes)
+        known[known] = self.hashes[found[known]] == hashes[keep][known]
+        known[known] = self.at[found[known]] <= at[keep][known]
+        keep = keep[~known]
+        all_hashes, all_at = np.concatenate([self.hashes, hashes[keep]]), np.concatenate([self.at, at[keep]])
+        order = np.lexsort((all_at, all_hashes))
+        first = np.ones(len(order), bool)
+        first[1:] = all_hashes[order][1:] != all_hashes[order][:-1]
+        self.hashes, self.at = all_hashes[order][first], all_at[order][first]
+        return keep
+
+
+def _candidates(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in batches:
+            place, marks = batch.column(0).to_numpy(), batch.column(2)
+            cuts, flat = marks.offsets.to_numpy(), marks.flatten().to_numpy()
+            cuts = cuts - cuts[0]
+            for a, b, data, _, starts, ends, rows in words_of(batch.column(1)):
+                own = flat[cuts[a] : cuts[b]]
+                if not len(own):
+                    continue
+                words = span_hashes(data, starts, ends)
+                row = np.repeat(np.arange(b - a), np.diff(cuts[a : b + 1]))
+                hot, n, begin = own & 1, (own >> 1) & 15, own >> 5
+                first = begin + _first_words(rows, b - a)[row]
+                at = place[a:b][row] + begin
+                # Windows of hot anchors one by one, other segments whole.
+                each = np.where(hot == 1, n, 1)
+                inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                first, at, row = np.repeat(first, each) + inner, np.repeat(at, each) + inner, np.repeat(row, each)
+                hot = np.repeat(hot, each)
+                length = np.where(hot == 1, WINDOW, np.repeat(n, each) + WINDOW - 1)
+                up, down = powers(len(words) + 1)
+                sums = np.zeros(len(words) + 1, np.uint64)
+                np.cumsum(words * up[: len(words)], out=sums[1:])
+                hashes = mix((sums[first + length] - sums[first]) * down[first] + length.astype(np.uint64))
+                runs = run_hashes(words, ANCHOR)
+                anchor = runs[first]
+                for k in range(1, MOST_WINDOWS):  # the least of any window of the segment is its anchor
+                    anchor = np.minimum(anchor, runs[first + k])
+                shard = np.where(hot == 1, hashes, mix(anchor)) % np.uint64(shards)
+                keep = seen.fresh(hashes, at)
+                text, before = spaced(data, starts, ends, rows, np.ones(len(starts), bool), b - a)
+                left, right = before[starts[first[keep]]], before[ends[first[keep] + length[keep] - 1]]
+                offsets = np.zeros(len(keep) + 1, np.int64)
+                np.cumsum(right - left, out=offsets[1:])
+                index = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - left, right - left)
+                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(text[index])]
+                codes = pa.LargeStringArray.from_buffers(len(keep), buffers[1], buffers[2])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(shard[keep].astype(np.int64)),
+                        codes.cast(pa.string()),
+                        pa.array(at[keep]),
+                        pa.array(place[a:b][row[keep]]),
+                    ],
+                    names=["shard", "code", "at", "place"],
+                )
+
+    return run
 
 
 # --- the index of a shard ----------------------------------------------------
@@ -271,12 +318,14 @@ class FMIndex:
 
 
 def first_windows(codes: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, window in it) of every window that occurs nowhere earlier in the shard."""
-    codes = codes.cast(pa.large_binary())
-    _, offsets, data = codes.buffers()
-    cuts = np.frombuffer(offsets, np.int64)[codes.offset : codes.offset + len(codes) + 1]
-    lengths = np.diff(cuts) // 8
-    _, names = np.unique(np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]].view(np.uint64), return_inverse=True)
+    """(segment, window in it) of every window that occurs nowhere earlier in the shard.
+
+    ``codes`` are different texts of words with one space between them.
+    """
+    data, offsets = text_bytes(codes)
+    starts, ends, rows = word_spans(data, offsets, IS_DARK)
+    lengths = np.bincount(rows, minlength=len(at))
+    _, names = np.unique(span_hashes(data, starts, ends), return_inverse=True)
     index = FMIndex(names.astype(np.int64) + 1, lengths)
     windows = lengths - WINDOW + 1
     segment = np.repeat(np.arange(len(at)), windows)
@@ -298,8 +347,14 @@ def first_windows(codes: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _first_runs(shard: pa.Table) -> pa.Table:
-    at, place = shard.column("at").to_numpy(), shard.column("place").to_numpy()
-    segment, inner = first_windows(shard.column("code").combine_chunks(), at)
+    """The first windows of a shard, as runs in the documents they stand in."""
+    shard = shard.take(pa.compute.sort_indices(shard, [("at", "ascending")]))
+    codes = shard.column("code").combine_chunks().dictionary_encode()
+    if isinstance(codes, pa.ChunkedArray):
+        codes = codes.combine_chunks()
+    _, keep = np.unique(codes.indices.to_numpy(), return_index=True)  # the first of equal ones
+    at, place = shard.column("at").to_numpy()[keep], shard.column("place").to_numpy()[keep]
+    segment, inner = first_windows(codes.dictionary, at)
     new = np.ones(len(segment), bool)
     new[1:] = (segment[1:] != segment[:-1]) | (inner[1:] != inner[:-1] + 1)
     begun = np.flatnonzero(new)
@@ -334,25 +389,13 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = np.cumsum(covered)[: len(starts)] == 0
             n_words = np.bincount(rows, minlength=b - a)
             n_kept = np.bincount(rows[kept], minlength=b - a)
-            # Bytes of kept words, and the one byte after each but the last of its row, as a space.
-            last = np.zeros(len(starts), bool)
-            last[np.flatnonzero(kept)[np.cumsum(n_kept)[n_kept > 0] - 1]] = True
-            edge = np.zeros(len(data) + 1, np.int8)
-            edge[starts[kept]] += 1
-            edge[ends[kept]] -= 1
-            stay = np.cumsum(edge[: len(data)]).astype(bool)
-            gaps = ends[kept & ~last]
-            stay[gaps] = True
-            out = data.copy()
-            out[gaps] = 32
-            cuts = np.concatenate([[0], np.cumsum(stay)])[offsets]
-            out = out[stay].tobytes()
+            text, before = spaced(data, starts, ends, rows, kept, b - a)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(a, b - a),
                     pa.array(n_words),
                     pa.array(n_words - n_kept),
-                    pa.array([out[x:y].decode("utf-8", "surrogatepass") for x, y in zip(cuts[:-1], cuts[1:])]),
+                    pa.LargeStringArray.from_buffers(b - a, pa.py_buffer(before[offsets]), pa.py_buffer(text)).cast(pa.string()),
                 ],
                 names=["doc_id", "n_words", "n_removed", "kept"],
             )
@@ -369,26 +412,27 @@ def dedup_substrings(docs: DataFrame, hot: int = HOT, shard_words: int = SHARD_W
     any order, and count as different documents, so all but one of equal rows
     lose all words. Long texts are read whole. An empty table gives no rows.
     """
-    base = in_order(docs)
-    texts = base.select("place", "text")
-    anchors = pin(texts.mapInArrow(_anchors, "anchor long, place long, span long"))
+    # Rows get numbers that stay: the table is read again and again.
+    base = pin(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), compression="zstd")
+    texts = base.select("row", "text")
+    anchors = pin(texts.mapInArrow(_anchors, "anchor long, row long, span long"))
     counts = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    spans = anchors.join(counts, "anchor").select("place", "span", (F.col("c") > hot).cast("long").alias("hot"))
-    marks = pin(spans.groupBy("place").agg(F.collect_list(F.col("span") * 2 + F.col("hot")).alias("marks")))
-    found = texts.join(marks, "place").select("place", "text", "marks")
-    found = found.mapInArrow(_candidates, "deal long, code binary, at long, place long")
-    firsts = pin(found.groupBy("deal", "code").agg(F.min("at").alias("at"), F.min("place").alias("place")))
-    words = firsts.agg(F.sum(F.octet_length("code")) / 8).first()[0] or 0
-    shards = max(1, math.ceil(words / shard_words))
-    dealt = firsts.withColumn("shard", F.pmod("deal", F.lit(shards)))
-    kept = pin(dealt.groupBy("shard").applyInArrow(_first_runs, "place long, span long"))
+    spans = anchors.join(counts, "anchor").select("row", (F.col("span") * 2 + (F.col("c") > hot).cast("long")).alias("mark"))
+    marks = spans.groupBy("row").agg(F.collect_list("mark").alias("marks"))
+    marks = pin(marks.join(places(base), "row"))
+    unpin(anchors)
+    segments_ = marks.agg(F.sum(F.size("marks"))).first()[0] or 0
+    shards = max(1, math.ceil(segments_ * (WINDOW + MOST_WINDOWS // 2) / shard_words))
+    found = texts.join(marks, "row").select("place", "text", "marks")
+    found = found.mapInArrow(_candidates(shards), "shard long, code string, at long, place long")
+    kept = pin(found.groupBy("shard").applyInArrow(_first_runs, "place long, span long"))
     kept = kept.groupBy("place").agg(F.collect_list("span").alias("firsts"))
     none = F.array().cast("array<bigint>")
-    marked = base.join(marks, "place", "left").join(kept, "place", "left").select(
-        "doc_id",
-        "text",
-        F.coalesce(F.transform("marks", lambda m: F.shiftright(m, 1)), none).alias("marks"),
-        F.coalesce("firsts", none).alias("firsts"),
+    marks = marks.join(kept, "place", "left").select(
+        "row", F.transform("marks", lambda m: F.shiftright(m, 1)).alias("marks"), F.coalesce("firsts", none).alias("firsts")
+    )
+    marked = base.join(marks, "row", "left").select(
+        "doc_id", "text", F.coalesce("marks", none).alias("marks"), F.coalesce("firsts", none).alias("firsts")
     )
     kind = dict(docs.dtypes)["doc_id"]
     return marked.mapInArrow(_cleaned, f"doc_id {kind}, n_words long, n_removed long, kept string")
