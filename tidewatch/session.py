@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Shuffle files of a query are deleted when it ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -78,15 +82,30 @@ def release(spark: SparkSession) -> None:
         _delete(spark, _scratch.pop())
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def pin(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows.
 
     The files are written by the executors and read back through the normal
     parquet reader, so a lost executor costs a re-read, not a re-computation.
+    The shuffles behind ``df`` are gone afterwards.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "pinned")
-    df.write.options(**options).parquet(path)
+    with _shuffles_removed(spark):
+        df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _pinned[out] = path
     return out
