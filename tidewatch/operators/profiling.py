@@ -1,8 +1,7 @@
 """Profiles of a labelled table.
 
-Distributions of a whole number (a length) go through its histogram first: one
-row per distinct value, however many rows there are. Exact quantiles, bins and
-box statistics then come from that small table.
+Quantiles are exact and found by radix selection, so a continuous column is no
+harder than a length: no buffer ever holds its distinct values.
 """
 
 from __future__ import annotations
@@ -10,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ordered import join_on_keys
+from tidewatch.operators.quantiles import quantiles
+
+QUARTILES = (0.25, 0.5, 0.75)
+
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Column, type and non-null count, in one pass."""
@@ -60,33 +64,29 @@ def length_histogram_table(df: DataFrame, value: str, *by: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _numbers(df: DataFrame, value: str, *by: str) -> DataFrame:
+    """Rows with a value; NaN is none."""
+    rows = df.select(*by, value).filter(F.col(value).isNotNull())
+    return rows.filter(~F.isnan(value)) if dict(df.dtypes)[value] in ("float", "double") else rows
+
+
 def describe(df: DataFrame, value: str) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles (interpolated), max."""
-    x, n = F.col(value).cast("double"), F.col("n")
-    counts = length_histogram_table(df, value)
-    mean = counts.agg(F.sum(x * n) / F.sum(n)).scalar()
-    squares = F.sum(n * (x - F.col("mean")) * (x - F.col("mean")))
-    return (
-        counts.withColumn("mean", mean)
-        .agg(
-            F.sum(n).alias("count"),
-            F.max("mean").alias("mean"),
-            squares.alias("squares"),
-            F.min(value).alias("min"),
-            F.percentile(value, [0.25, 0.5, 0.75], n).alias("q"),
-            F.max(value).alias("max"),
-        )
-        .select(
-            "count",
-            "mean",
-            F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"),
-            "min",
-            F.col("q")[0].alias("p25"),
-            F.col("q")[1].alias("p50"),
-            F.col("q")[2].alias("p75"),
-            "max",
-        )
+    """count, mean, sample deviation, min, quartiles (interpolated), max of any numeric column.
+
+    Nulls and NaN do not count; all but the count are null if nothing is left.
+    """
+    rows = _numbers(df, value)
+    q = quantiles(rows, value, QUARTILES).select("q").scalar()
+    x = F.col(value).cast("double")
+    stats = rows.agg(
+        F.count(F.lit(1)).alias("count"),
+        F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
+    quartiles = [q[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return stats.select("count", "mean", "std", "min", *quartiles, "max")
 
 
 def histogram(df: DataFrame, value: str, label: str, bins: int = 50) -> DataFrame:
@@ -103,23 +103,21 @@ def histogram(df: DataFrame, value: str, label: str, bins: int = 50) -> DataFram
 
 
 def box_statistics(df: DataFrame, value: str, label: str) -> DataFrame:
-    """Quartiles, whiskers at 1.5 IQR and outlier count per label."""
-    counts = length_histogram_table(df, value, label)
-    quartiles = counts.groupBy(label).agg(
-        F.percentile(value, [0.25, 0.5, 0.75], F.col("n")).alias("q")
-    )
+    """Quartiles, whiskers at 1.5 IQR and outlier count per label, of any numeric column."""
+    rows = _numbers(df, value, label)
+    boxes = quantiles(rows, value, QUARTILES, by=(label,)).drop("n")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     reach = (q3 - q1) * 1.5
-    inside = F.col(value).between(q1 - reach, q3 + reach)
     return (
-        counts.join(quartiles, label)
+        join_on_keys(rows, boxes.withColumns({"_low": q1 - reach, "_high": q3 + reach}), [label])
+        .withColumn("_in", F.col(value).between(F.col("_low"), F.col("_high")))
         .groupBy(label)
         .agg(
-            F.first("q").alias("q"),
-            F.min(F.when(inside, F.col(value))).alias("whisker_low"),
-            F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.min(F.when(F.col("_in"), F.col(value))).alias("whisker_low"),
+            F.max(F.when(F.col("_in"), F.col(value))).alias("whisker_high"),
+            F.count_if(~F.col("_in")).alias("outliers"),
         )
+        .transform(lambda found: join_on_keys(found, boxes, [label]))
         .select(
             label,
             q1.alias("q1"),
