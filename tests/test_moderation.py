@@ -48,6 +48,22 @@ def test_without_model_nothing_is_toxic(spark):
     assert verdicts(spark, ["you idiot"], scorer=scoring.no_model) == [None]
 
 
+def test_a_model_is_loaded_once_per_worker(spark):
+    import os
+    import tempfile
+
+    folder = tempfile.mkdtemp(prefix="loads-")
+
+    def load():
+        tempfile.mkstemp(prefix=f"{os.getpid()}-", dir=folder)
+        return lambda texts: [float(os.getpid())] * len(texts)
+
+    scored = spark.range(64).repartition(32).select(scoring.model_sentiment(load)(F.col("id").cast("string")).alias("pid"))
+    workers = {r.pid for _ in range(3) for r in scored.collect()}
+    loads = [int(name.split("-")[0]) for name in os.listdir(folder)]
+    assert sorted(set(loads)) == sorted(loads) and set(loads) == workers and len(loads) <= 16
+
+
 def test_model_sentiment_skips_nulls(spark):
     load = lambda: lambda texts: [1.0 if "up" in t else 0.0 for t in texts]
     df = spark.createDataFrame([(0, "up"), (1, None), (2, "down")], "i int, t string").coalesce(1)

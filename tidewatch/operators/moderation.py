@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +41,9 @@ def with_examples(comments: DataFrame, labelled: DataFrame) -> DataFrame:
     ids = labelled.groupBy("rule").agg(*[c.alias(name) for name, c in wanted.items()])
     slots = F.explode(F.array(*[F.struct(F.lit(n).alias("slot"), F.col(n).alias("row_id")) for n in EXAMPLES]))
     chosen = ids.select("rule", slots.alias("s")).select("rule", "s.slot", "s.row_id").filter("row_id IS NOT NULL")
-    texts = labelled.select("rule", "row_id", clean_text("body").alias("said")).join(chosen, ["rule", "row_id"])
+    texts = labelled.select("rule", "row_id", "body").join(chosen, ["rule", "row_id"])
     examples = texts.groupBy("rule").agg(
-        *[F.max(F.when(F.col("slot") == name, F.col("said"))).alias(name) for name in EXAMPLES]
+        *[clean_text(F.max(F.when(F.col("slot") == name, F.col("body")))).alias(name) for name in EXAMPLES]
     )
     return comments.join(examples, "rule", "left")
 
@@ -180,20 +179,29 @@ def top_errors(errors: DataFrame, comments: DataFrame, error_type: str, k: int =
 def auc(df: DataFrame, label: str = "true_label", score: str = "prob_violation") -> DataFrame:
     """Area under the ROC curve over all thresholds, ties averaged; one row.
 
-    Null unless both classes are present. Rows are combined per score before
-    they are sorted, so many equal scores cost nothing. Rows without a label or
-    a score do not count.
+    Labels above 0.5 are positive. Null unless both classes are present. Rows
+    without a label or a score do not count. Nothing runs before the result is
+    used: rows are combined per score, the scores are range-partitioned, and
+    every range counts the pairs it wins by itself; what the ranges below add is
+    one number per range. Counts are whole numbers until the last division.
     """
-    rows = df.select(F.col(label).cast("double").alias(label), F.col(score).cast("double").alias(score))
-    rows = rows.dropna()
-    present = rows.groupBy(label).count().limit(3).collect()
-    value = None
-    if len(present) > 1:
-        evaluator = BinaryClassificationEvaluator(
-            rawPredictionCol=score, labelCol=label, metricName="areaUnderROC", numBins=0
-        )
-        value = float(evaluator.evaluate(rows))
-    return df.sparkSession.createDataFrame([(value,)], "auc double")
+    rows = df.select((F.col(label).cast("double") > 0.5).cast("long").alias("p"), F.col(score).cast("double").alias("s")).dropna()
+    whole = lambda c: F.col(c).cast("decimal(19,0)")
+    scores = rows.groupBy("s").agg(F.sum("p").alias("p"), (F.count(F.lit(1)) - F.sum("p")).alias("n"))
+    ranged = scores.repartitionByRange("s").withColumn("range", F.spark_partition_id())
+    below = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranged = ranged.withColumn("below", below)
+    # Twice the pairs that are won, a tie being half a pair.
+    ranges = ranged.groupBy("range").agg(
+        F.sum(whole("p") * (2 * F.col("below") + F.col("n")).cast("decimal(19,0)")).alias("twice"),
+        F.sum("p").alias("p"),
+        F.sum("n").alias("n"),
+    )
+    # One row per range: as many as there are partitions.
+    earlier = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.withColumn("twice", F.col("twice") + 2 * whole("p") * F.coalesce(earlier, F.lit(0)).cast("decimal(18,0)"))
+    won, pairs = F.sum("twice").cast("double"), 2.0 * F.sum("p").cast("double") * F.sum("n").cast("double")
+    return ranges.agg(F.when(pairs > 0, won / pairs).alias("auc"))
 
 
 def route_actions(df: DataFrame, auto_above: float = 0.95, threshold: float = 0.5) -> DataFrame:

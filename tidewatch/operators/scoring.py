@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -58,15 +59,31 @@ def lexicon_toxicity(lexicon: Mapping[str, Sequence[str]] = V.TOXICITY_LEXICON)
     return score
 
 
+_models: dict[str, object] = {}
+
+
+def loaded(name: str, load: Callable[[], object]):
+    """What ``load()`` returns, loaded once in each Python worker (workers outlive their tasks).
+
+    Must be a function of this module: what a task carries along is fresh in
+    every task, what the worker imported stays.
+    """
+    if name not in _models:
+        _models[name] = load()
+    return _models[name]
+
+
 def model_sentiment(load: Callable[[], Callable[[list[str]], list[float]]]) -> Scorer:
-    """Scores from a model: ``load()`` runs once per task, then per Arrow batch.
+    """Scores from a model: ``load()`` runs once per Python worker, then the model per Arrow batch.
 
     Null texts are not shown to the model, so a caller limits the work by
     passing null for the rows that need no score.
     """
 
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = load()
+        predict = loaded(name, load)
         for batch in batches:
             out = pd.Series([None] * len(batch), index=batch.index, dtype="float64")
             asked = batch.dropna()
@@ -101,8 +118,10 @@ class WordListModel:
 def model_toxicity(load: Callable[[], Callable[[list[str]], list[dict[str, float]]]]) -> Scorer:
     """Category scores from a model, as a map; same contract as ``model_sentiment``."""
 
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = load()
+        predict = loaded(name, load)
         for batch in batches:
             asked = batch.dropna()
             scores = dict(zip(asked.index, predict(asked.tolist()))) if len(asked) else {}
