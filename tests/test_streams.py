@@ -205,3 +205,49 @@ def test_drain_until_raises(spark):
 
     with pytest.raises(Exception, match="no"):
         drain_until(to_batches(stream, fails, scratch_path(spark, "c")), lambda: False)
+
+
+OFFENCES = "user_id string, ts int, message_id int, seq int, points int"
+
+
+def plain_scores(rows):
+    scores = {}
+    for user, *_, points in rows:
+        if user is not None:
+            score, n = scores.get(user, (0, 0))
+            scores[user] = (max(0, score + points), n + 1)
+    return {u: (u, *s) for u, s in scores.items()}
+
+
+def test_scores_in_the_state_go_on_after_restarts(spark):
+    """Every micro-batch is a new start from the checkpoint; the input of earlier ones is gone by then."""
+    import random
+    from pathlib import Path
+
+    from tidewatch.session import scratch_path
+    from tidewatch.streaming import behavior as behavior_stream
+
+    rng = random.Random(10)
+    rows = [(rng.choice(["a", "b", "c", None]), t, t, 0, rng.choice([-9, -2, 1, 4, 15])) for t in range(200)]
+    inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "c")
+    for k in range(4):
+        part = rows[50 * k : 50 * k + 50]
+        mixed = spark.createDataFrame(rng.sample(part, 50), OFFENCES).repartition(3)
+        mixed.write.mode("append").parquet(inbox)
+        stream = behavior_stream.stream_scores(spark.readStream.schema(OFFENCES).parquet(inbox))
+        query = stream.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+        drain(query)
+        got = behavior_stream.read_scores(spark, checkpoint).collect()
+        assert {r.user_id: tuple(r) for r in got} == plain_scores(rows[: 50 * k + 50])
+        for f in Path(inbox.removeprefix("file:")).glob("part-*"):
+            f.write_bytes(b"")  # an old file that is read again would fail the query
+    # A new checkpoint takes the scores over.
+    scores = behavior_stream.read_scores(spark, checkpoint)
+    again, other = scratch_path(spark, "inbox"), scratch_path(spark, "c")
+    more = [("a", 1, 1, 0, 7), ("new", 1, 2, 0, -3), ("new", 2, 3, 0, 2)]
+    spark.createDataFrame(more, OFFENCES).write.parquet(again)
+    stream = behavior_stream.stream_scores(spark.readStream.schema(OFFENCES).parquet(again), initial=scores)
+    drain(stream.writeStream.format("noop").outputMode("update").option("checkpointLocation", other))
+    want = plain_scores(rows)
+    want = {u: (u, s + 7 if u == "a" else s, n + (u == "a")) for u, (_, s, n) in want.items()} | {"new": ("new", 2, 2)}
+    assert {r.user_id: tuple(r) for r in behavior_stream.read_scores(spark, other).collect()} == want

@@ -125,3 +125,36 @@ def history_pages(
     return pages.withColumn(
         "history", F.transform("history", lambda e: e.dropFields(ordered.POSITION))
     )
+
+
+def history_pages_by_bytes(
+    offences: DataFrame,
+    page_bytes: int = 1 << 20,
+    order: Sequence[str] = ORDER,
+    max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY,
+) -> DataFrame:
+    """The whole history of each user as pages of at most ``page_bytes`` bytes of content.
+
+    One row per page: user_id, first_position (of its first entry, from 1),
+    n_bytes, history. Only an entry that is larger than half a page gets a page
+    of its own, and only such an entry can exceed the bound. The others are cut
+    where the running sum of their bytes passes a multiple of half a page: what
+    starts within half a page, and is at most half a page long, fits into one.
+    """
+    size = F.coalesce(F.octet_length("content"), F.lit(0)).cast("bigint")
+    parts, split = ordered.chunked(offences, USER, order, max_rows_per_key)
+    big = F.col("_size") * 2 > page_bytes
+    parts = parts.withColumn("_size", size)
+    sums = {"_bigs": big.cast("bigint"), "_small": F.when(big, 0).otherwise(F.col("_size"))}
+    placed = ordered.with_position(
+        ordered.with_sums_before(parts, split, USER, order, sums), split, USER, order
+    )
+    half = F.floor(F.col("_small") * 2 / page_bytes)
+    entry = F.struct(ordered.POSITION, "offense", "points", "content", "ts")
+    pages = placed.groupBy("user_id", "_bigs", half.alias("_half"), big.alias("_own")).agg(
+        F.min(ordered.POSITION).alias("first_position"),
+        F.sum("_size").alias("n_bytes"),
+        F.array_sort(F.collect_list(entry)).alias("history"),
+    )
+    without = F.transform("history", lambda e: e.dropFields(ordered.POSITION))
+    return pages.select("user_id", "first_position", "n_bytes", without.alias("history"))

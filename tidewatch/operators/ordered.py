@@ -90,6 +90,23 @@ def with_position(df: DataFrame, split: bool, keys: Sequence[str], order: Sequen
     )
 
 
+def with_sums_before(
+    df: DataFrame, split: bool, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column]
+) -> DataFrame:
+    """Add sums over all earlier rows of the key to a chunked frame."""
+    earlier = in_chunk(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    local = df.withColumns({name: F.coalesce(F.sum(x).over(earlier), F.lit(0)) for name, x in sums.items()})
+    if not split:
+        return local
+    totals = df.groupBy(*keys, CHUNK).agg(*[F.sum(x).alias(f"_t_{name}") for name, x in sums.items()])
+    before = before_chunk(keys)
+    starts = totals.select(
+        *keys, CHUNK, *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_s_{name}") for name in sums]
+    )
+    joined = join_on_keys(local, starts, [*keys, CHUNK])
+    return joined.withColumns({name: F.col(name) + F.col(f"_s_{name}") for name in sums}).drop(*[f"_s_{n}" for n in sums])
+
+
 def rolling(
     df: DataFrame,
     keys: Sequence[str],

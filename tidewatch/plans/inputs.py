@@ -15,6 +15,10 @@ from tidewatch.sources.readers import read_table
 WINDOW_S, SLIDE_S = 2 * 86_400, 86_400
 HIGH_AMOUNT, HIGH_COUNT = 200.0, 5
 BUCKET_S = 3_600
+# Prices and posts meet within these bounds, whatever bucket they are in.
+BEFORE_S, AFTER_S = 90, 120
+PAGE_BYTES = 6_000
+END_ID = -1  # the id of a message that ends a log
 # Rows per key beyond which the *_split queries cut a key into chunks.
 SPLIT_OFFENCES, SPLIT_BARS = 8, 200
 ZERO_TOLERANCE = ("scum", "pathetic")
@@ -86,6 +90,18 @@ def social(spark: SparkSession, d: str) -> DataFrame:
     return posts(spark, d).select("event_time", "sentiment_score")
 
 
+def interval_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Prices and posts with their ids."""
+    bought = F.col("event_type").isin("view", "purchase")
+    price = table(spark, d, "events").filter(bought).select(
+        F.col("event_id").alias("price_id"), F.col("value").alias("price"), F.col("ts").alias("price_time")
+    )
+    said = posts(spark, d).select(
+        F.col("event_id").alias("post_id"), F.col("event_time").alias("post_time"), "sentiment_score"
+    )
+    return price, said
+
+
 def comments(spark: SparkSession, d: str) -> DataFrame:
     labels = table(spark, d, "labels").select("doc_id", F.col("toxic").alias("rule_violation"))
     return table(spark, d, "documents").join(labels, "doc_id").select(

@@ -124,6 +124,9 @@ pairs AS (SELECT time_bucket(INTERVAL {I.BUCKET_S} SECOND, p.event_time) AS time
   ON time_bucket(INTERVAL {I.BUCKET_S} SECOND, p.event_time) = time_bucket(INTERVAL {I.BUCKET_S} SECOND, s.event_time)
   AND p.event_time BETWEEN s.event_time - INTERVAL {I.BUCKET_S} SECOND AND s.event_time + INTERVAL {I.BUCKET_S} SECOND),
 hype AS (SELECT time, avg(price) AS avg_price, avg(score) AS hype_score FROM pairs GROUP BY 1)"""
+INTERVALS = f"""WITH {HYPE} SELECT p.event_id AS price_id, s.event_id AS post_id, price, round(score, 6) AS sentiment_score
+  FROM price p JOIN social s ON s.event_time >= p.event_time - INTERVAL {I.BEFORE_S} SECOND
+  AND s.event_time <= p.event_time + INTERVAL {I.AFTER_S} SECOND"""
 HYPE_ROUND = "time, round(avg_price, 6) AS avg_price, round(hype_score, 6) AS hype_score"
 
 BARS = "bars AS (SELECT event_type AS symbol, ts, event_id AS bar_id, value AS close FROM events)"
@@ -206,6 +209,62 @@ sums AS (SELECT *, sum(points) OVER (PARTITION BY user_id ORDER BY ts, message_i
 scored AS (SELECT *, CAST(cs - least(0, min(cs) OVER (PARTITION BY user_id ORDER BY ts, message_id, seq)) AS BIGINT)
   AS score FROM sums)"""
 
+
+
+def _draw(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) AS BIGINT)"
+
+
+def _taken(wanted: str, rows: str) -> str:
+    return f"floor(least(1.0::DOUBLE, ({wanted})::DOUBLE / (SELECT count(*) FROM {rows})) * 4294967296.0::DOUBLE)"
+
+
+_AXES = "[a, c, b]"
+_SPANS = "list_filter([{'i': 0, 'lo': min(x[1]), 'hi': max(x[1])}, {'i': 1, 'lo': min(x[2]), 'hi': max(x[2])}, {'i': 2, 'lo': min(x[3]), 'hi': max(x[3])}], lambda s: s.hi > s.lo)"
+
+
+def _level(k: int) -> str:
+    """Nodes of level k from the rows in them, and the rows of the next level."""
+    inner = f"(len(spans) > 0 AND {k} < (SELECT depth FROM fit))"
+    pick = f"spans[1 + {_draw('42', 'tree', 'node', chr(39) + 'feature' + chr(39))} % len(spans)]"
+    width = f"{_draw('42', 'tree', 'node', chr(39) + 'cut' + chr(39))} / 4294967296.0::DOUBLE"
+    return f"""
+n{k} AS MATERIALIZED (SELECT tree, node, size, CASE WHEN {inner} THEN {pick} END AS s, {width} AS w
+  FROM (SELECT tree, node, count(*) AS size, {_SPANS} AS spans FROM r{k} GROUP BY tree, node)),
+r{k + 1} AS MATERIALIZED (SELECT r.tree, 2 * r.node + CASE WHEN x[s.i + 1] >= s.lo + w * (s.hi - s.lo) THEN 2 ELSE 1 END AS node, x
+  FROM r{k} r JOIN n{k} n ON r.tree = n.tree AND r.node = n.node WHERE s IS NOT NULL)"""
+
+
+def _route(k: int) -> str:
+    """Rows to score, one level further down each tree."""
+    return f"""
+q{k + 1} AS MATERIALIZED (SELECT id, x, q.tree, node, length + CASE WHEN s IS NULL THEN 0 ELSE 1 END AS length,
+  CASE WHEN s IS NULL THEN NULL WHEN x[s.i + 1] >= s.lo + w * (s.hi - s.lo) THEN 2 * node + 2 ELSE 2 * node + 1 END AS next,
+  size, s IS NULL AS done FROM (SELECT id, x, tree, next AS at, length FROM q{k} WHERE NOT done) q
+  LEFT JOIN n{k} n ON q.tree = n.tree AND q.at = n.node)"""
+
+
+#: Depth of the trees: log2 of the sample of 256, rounded up; fewer rows make the lower levels empty.
+_DEPTH = 8
+_PATH = """CASE WHEN size > 2 THEN 2 * (ln(size - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * (size - 1.0::DOUBLE) / size
+  WHEN size = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"""
+FOREST = f"""WITH {FEATURES},
+pts AS MATERIALIZED (SELECT transaction_id || '@' || CAST(window_start AS VARCHAR) AS id, coalesce(amount, 0) AS a, txn_count, CAST(txn_count AS DOUBLE) AS c,
+  round(avg_amount, 6) AS avg_amount, coalesce(round(avg_amount, 6), 0) AS b, amount FROM feat),
+fit AS (SELECT least(256, count(*)) AS sample, ceil(log2(greatest(2, least(256, count(*))))) AS depth FROM pts),
+pool AS MATERIALIZED (SELECT id, {_AXES} AS x FROM pts WHERE {_draw("42", "'pool'", "id")} < {_taken("1.5::DOUBLE * 100 * 256", "pts")}),
+r0 AS MATERIALIZED (SELECT tree, 0 AS node, x FROM (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY d, id) AS k FROM (
+  SELECT id, x, tree, {_draw("42", "'tree'", "tree", "id")} AS d FROM pool, range(100) t(tree))
+  WHERE d < {_taken("1.5::DOUBLE * 256 + 50", "pool")}) WHERE k <= 256),
+{",".join(_level(k) for k in range(_DEPTH + 1))},
+q0 AS (SELECT id, {_AXES} AS x, tree, 0 AS next, 0 AS length, false AS done FROM pts, range(100) t(tree)),
+{",".join(_route(k) for k in range(_DEPTH + 1))},
+ends AS ({" UNION ALL ".join(f"SELECT id, length, size FROM q{k} WHERE done" for k in range(1, _DEPTH + 2))}),
+mean AS (SELECT id, sum(length + {_PATH}) AS total FROM ends GROUP BY id),
+norm AS (SELECT {_PATH} AS c FROM (SELECT sample AS size FROM fit)),
+scored AS (SELECT id, round(pow(2.0::DOUBLE, -total / (100 * CASE WHEN c = 0 THEN 1 ELSE c END)), 6) AS s FROM mean, norm)
+SELECT r.id AS row_key, r.amount, r.txn_count, r.avg_amount, s AS anomaly_score,
+  s > (SELECT quantile_cont(s, 0.9) FROM scored) AS is_anomaly FROM pts r JOIN scored ON r.id = scored.id"""
 USER_FEATURES = f"WITH {WINDOWS} SELECT * REPLACE (round(avg_amount, 6) AS avg_amount) FROM win"
 LATEST_ALERTS = f"""WITH {ALERTS} SELECT * FROM alerts WHERE is_fraud_alert
   ORDER BY event_time DESC, transaction_id DESC, window_start DESC LIMIT 10"""
@@ -260,6 +319,7 @@ ORACLES: dict[str, str] = {
     "time_bucket": "SELECT event_id, CAST(floor(epoch(ts) / 10) * 10 AS BIGINT) AS bucket FROM events",
     "hype_pairs": f"""WITH {HYPE} SELECT time, round(avg(price), 6) AS avg_price, round(avg(score), 6) AS hype_score,
   count(DISTINCT pid) AS n_price, count(DISTINCT sid) AS n_social, count(*) AS n_pairs FROM pairs GROUP BY 1""",
+    "hype_interval_join": INTERVALS,
     "hype_meter": f"WITH {HYPE} SELECT {HYPE_ROUND} FROM hype",
     "latest_hype": f"""WITH {HYPE} SELECT * FROM (SELECT {HYPE_ROUND} FROM hype ORDER BY time DESC LIMIT 100)
   ORDER BY time""",
@@ -299,6 +359,18 @@ UNION ALL SELECT 'rule_violation', 'int', count(rule_violation) FROM comments"""
     "length_describe": f"""WITH {LENGTHS} SELECT count(*) AS count, round(avg(body_length), 6) AS mean,
   round(stddev_samp(body_length), 6) AS std, min(body_length) AS min, {quantile(0.25)} AS p25, {quantile(0.5)} AS p50,
   {quantile(0.75)} AS p75, max(body_length) AS max FROM len""",
+    "price_describe": """SELECT count(*) AS count, round(avg(o_totalprice), 6) AS mean, round(stddev_samp(o_totalprice), 6) AS std,
+  min(o_totalprice) AS min, round(quantile_cont(o_totalprice, 0.25), 6) AS p25, round(quantile_cont(o_totalprice, 0.5), 6) AS p50,
+  round(quantile_cont(o_totalprice, 0.75), 6) AS p75, max(o_totalprice) AS max FROM orders""",
+    "value_box": """WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS m,
+  quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1),
+j AS (SELECT *, value BETWEEN q1 - 1.5::DOUBLE * (q3 - q1) AND q3 + 1.5::DOUBLE * (q3 - q1) AS inside FROM events JOIN q USING (event_type))
+SELECT event_type, round(any_value(q1), 6) AS q1, round(any_value(m), 6) AS median, round(any_value(q3), 6) AS q3,
+  min(value) FILTER (inside) AS whisker_low, max(value) FILTER (inside) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
+  FROM j GROUP BY 1""",
+    "value_quantiles": """SELECT user_id, count(value) AS n, round(min(value), 6) AS low, round(quantile_cont(value, 0.01), 6) AS p1,
+  round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90,
+  round(quantile_cont(value, 0.99), 6) AS p99, round(max(value), 6) AS high FROM events GROUP BY 1""",
     "length_histogram": f"""WITH {LENGTHS}, b AS (SELECT min(body_length) AS lo, max(body_length) AS hi FROM len)
 SELECT rule_violation, CAST(least(49, floor((body_length - lo) * 50 / (hi - lo)::DOUBLE)) AS INTEGER) AS bin,
   count(*) AS n FROM len, b GROUP BY 1, 2""",
@@ -309,6 +381,12 @@ j AS (SELECT *, body_length BETWEEN q1 - 1.5::DOUBLE * (q3 - q1) AND q3 + 1.5::D
 SELECT rule_violation, round(any_value(q1), 6) AS q1, round(any_value(m), 6) AS median, round(any_value(q3), 6) AS q3,
   min(body_length) FILTER (inside) AS whisker_low, max(body_length) FILTER (inside) AS whisker_high,
   count(*) FILTER (NOT inside) AS outliers FROM j GROUP BY 1""",
+    "phrase_table_hits": """WITH b AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark),
+p AS (SELECT DISTINCT array_to_string(w[i:i + 2], ' ') AS phrase FROM (SELECT w, unnest(range(1, len(w) - 1)) AS i FROM b))
+SELECT doc_id, count(*) AS n_found, min(phrase) AS first_found FROM documents d JOIN p ON contains(lower(d.text), phrase) GROUP BY 1""",
+    "word_table_hits": """WITH b AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM benchmark),
+t AS (SELECT DISTINCT doc_id, unnest(string_split(lower(text), ' ')) AS word FROM documents)
+SELECT doc_id, count(*) AS n_found, min(word) AS first_found FROM t JOIN b USING (word) GROUP BY 1""",
     "clean_html": f"SELECT page_id, {clean('html')} AS cleaned FROM pages",
     "redact_links": f"SELECT doc_id, {redact('text')} AS redacted FROM documents",
     "leet_normalize": f"""SELECT doc_id, {norm('text')} AS normalized, {squeezed(norm('text'))} AS squeezed
@@ -399,14 +477,25 @@ SELECT user_id, CAST(rank AS INTEGER) AS rank, first_value(score) OVER (PARTITIO
   ORDER BY ts, message_id, seq) - 1) // 10 AS page FROM offences)
 SELECT user_id, page, CAST(count(*) AS INTEGER) AS n_entries, string_agg(offense, ',' ORDER BY ts, message_id, seq) AS offenses
   FROM p GROUP BY 1, 2""",
+    "history_pages_bytes": f"""WITH {OFFENCES}, b AS (SELECT *, coalesce(strlen(content), 0) AS size, size * 2 > {I.PAGE_BYTES} AS big,
+  row_number() OVER u AS pos FROM offences WINDOW u AS (PARTITION BY user_id ORDER BY ts, message_id, seq)),
+p AS (SELECT *, sum(big::INT) OVER u - big::INT AS bigs, (sum(CASE WHEN big THEN 0 ELSE size END) OVER u
+  - CASE WHEN big THEN 0 ELSE size END) * 2 // {I.PAGE_BYTES} AS half FROM b
+  WINDOW u AS (PARTITION BY user_id ORDER BY pos))
+SELECT user_id, min(pos) AS first_position, CAST(sum(size) AS BIGINT) AS n_bytes, CAST(count(*) AS INTEGER) AS n_entries,
+  string_agg(offense, ',' ORDER BY pos) AS offenses FROM p GROUP BY user_id, bigs, half, big""",
     "training_union": f"""WITH {FEATURES} SELECT 'normal' AS kind, amount, CAST(txn_count AS DOUBLE) AS txn_count,
   round(avg_amount, 6) AS avg_amount FROM feat
 UNION ALL SELECT 'outlier', max(o_totalprice), CAST(count(*) AS DOUBLE), round(avg(o_totalprice), 6)
   FROM orders GROUP BY o_custkey""",
+    "isolation_forest_scores": FOREST,
     "stream_user_features": USER_FEATURES,
     "stream_fraud_alerts": f"WITH {ALERTS} SELECT * FROM alerts",
+    "stream_hype_interval_join": INTERVALS,
+    "stream_until_marker": """SELECT event_id, event_type, value FROM events
+  WHERE event_id <= (SELECT floor(max(event_id) * 0.8) FROM events)""",
     "stream_hype_meter": f"WITH {HYPE} SELECT {HYPE_ROUND} FROM hype",
     "stream_behavior_score": USER_STATS,
     "stream_latest_alerts": LATEST_ALERTS,
 }
-ORACLES.update({f"{name}_split": ORACLES[name] for name in ("behavior_score", "sma_20", "daily_return", "history_pages")})
+ORACLES.update({f"{name}_split": ORACLES[name] for name in ("behavior_score", "sma_20", "daily_return", "history_pages", "history_pages_bytes")})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,11 @@ from tidewatch.operators import (
     encoding,
     fraud,
     hype,
+    intervals,
     moderation,
+    phrases,
     profiling,
+    quantiles,
     scoring,
     timeseries,
 )
@@ -160,6 +164,14 @@ def hype_meter(spark, d):
     return rounded(_hype(spark, d), "avg_price", "hype_score")
 
 
+@query
+def hype_interval_join(spark, d):
+    """Each price with the posts shortly before and after it: the interval alone is the condition."""
+    bounds = [timedelta(seconds=x) for x in (I.BEFORE_S, I.AFTER_S)]
+    pairs = intervals.interval_join(*I.interval_sides(spark, d), "price_time", "post_time", *bounds)
+    return pairs.select("price_id", "post_id", "price", r6("sentiment_score"))
+
+
 @query
 def latest_hype(spark, d):
     return rounded(hype.latest_hype(_hype(spark, d)), "avg_price", "hype_score")
@@ -287,6 +299,27 @@ def length_describe(spark, d):
     return rounded(stats, "mean", "std", "p25", "p50", "p75")
 
 
+@query
+def price_describe(spark, d):
+    """A continuous column: nearly as many distinct values as rows."""
+    stats = profiling.describe(I.table(spark, d, "orders"), "o_totalprice")
+    return rounded(stats, "mean", "std", "p25", "p50", "p75")
+
+
+@query
+def value_box(spark, d):
+    box = profiling.box_statistics(I.table(spark, d, "events"), "value", "event_type")
+    return rounded(box, "q1", "median", "q3")
+
+
+@query
+def value_quantiles(spark, d):
+    """Many ranks at once, per user."""
+    q = quantiles.quantiles(I.table(spark, d, "events"), "value", (0.0, 0.01, 0.5, 0.9, 0.99, 1.0), by=("user_id",))
+    named = [F.round(F.col("q")[i], 6).alias(name) for i, name in enumerate(("low", "p1", "p50", "p90", "p99", "high"))]
+    return q.select("user_id", "n", *named)
+
+
 @query
 def length_histogram(spark, d):
     return profiling.histogram(_lengths(spark, d), "body_length", "rule_violation")
@@ -328,6 +361,26 @@ def spam_hits(spark, d):
     return I.table(spark, d, "documents").select("doc_id", text.phrase_hit("text", I.PHRASES).alias("spam"))
 
 
+@query
+def phrase_table_hits(spark, d):
+    """Phrases from a table, all runs of three words of the benchmark, anywhere in the documents."""
+    said = F.split(F.lower("text"), " ")
+    runs = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, 3), " "))
+    items = I.table(spark, d, "benchmark").select(said.alias("w")).filter(F.size("w") >= 3)
+    docs = I.table(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
+    found = phrases.find_phrases(docs, "doc_id", "text", items.select(F.explode(runs).alias("phrase")))
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_found"), F.min("phrase").alias("first_found"))
+
+
+@query
+def word_table_hits(spark, d):
+    """Tokens on a list that is a table: all words of the benchmark."""
+    listed = I.table(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word"))
+    docs = I.table(spark, d, "documents")
+    found = phrases.with_listed_words(docs, "doc_id", F.split(F.lower("text"), " "), listed)
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_found"), F.min("word").alias("first_found"))
+
+
 @query
 def extract_urls(spark, d):
     both = F.concat_ws(" ", "url", "html")
@@ -550,6 +603,18 @@ def history_pages(spark, d, **bounds):
     )
 
 
+@query
+def history_pages_bytes(spark, d, **bounds):
+    pages = behavior.history_pages_by_bytes(I.offence_log(spark, d), page_bytes=I.PAGE_BYTES, **bounds)
+    return pages.select(
+        "user_id",
+        "first_position",
+        "n_bytes",
+        F.size("history").alias("n_entries"),
+        F.array_join(F.col("history.offense"), ",").alias("offenses"),
+    )
+
+
 # The same with keys that are cut into chunks: no size may change a result.
 QUERIES["behavior_score_split"] = lambda spark, d: behavior.behavior_score(
     I.offence_log(spark, d).drop("content"), max_rows_per_key=I.SPLIT_OFFENCES
@@ -558,6 +623,7 @@ QUERIES["sma_20_split"] = _sma(20, max_rows_per_key=I.SPLIT_BARS)
 QUERIES["daily_return_split"] = lambda spark, d: rounded(
     timeseries.daily_return(I.bars(spark, d), max_rows_per_key=I.SPLIT_BARS), "daily_return"
 )
+QUERIES["history_pages_bytes_split"] = lambda spark, d: history_pages_bytes(spark, d, max_rows_per_key=I.SPLIT_OFFENCES)
 QUERIES["history_pages_split"] = lambda spark, d: history_pages(spark, d, max_rows_per_key=I.SPLIT_OFFENCES)
 
 
@@ -586,9 +652,8 @@ def training_union(spark, d):
 @query
 def isolation_forest_scores(spark, d):
     key = F.concat_ws("@", "transaction_id", "window_start").alias("row_key")
-    rows = pin(I.features(spark, d).select(key, "amount", "txn_count", "avg_amount"))
-    forest = anomaly.fit_isolation_forest(rows, "row_key")
-    return forest.score(rows)
+    rows = pin(I.features(spark, d).select(key, "amount", "txn_count", r6("avg_amount")))
+    return anomaly.fit_and_score(rows, "row_key")[1]
 
 
 @query

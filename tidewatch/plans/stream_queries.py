@@ -6,16 +6,20 @@ and returns the sink's table, which must equal the batch result.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators import fraud
+from tidewatch.operators import fraud, intervals
 from tidewatch.plans import inputs as I
 from tidewatch.session import scratch_path
+from tidewatch.sources import messages
+from tidewatch.sources.streams import decode_json
 from tidewatch.streaming import behavior as behavior_stream
 from tidewatch.streaming import fraud as fraud_stream
 from tidewatch.streaming import hype as hype_stream
-from tidewatch.streaming.running import replay, to_batches, to_files
+from tidewatch.streaming.running import drain, replay, to_batches, to_files
 
 
 SLICES = 2
@@ -75,11 +79,67 @@ def stream_hype_meter(spark, d):
     return _ntz(rows, "time").withColumns({c: F.round(c, 6) for c in ("avg_price", "hype_score")})
 
 
+def stream_hype_interval_join(spark, d):
+    """Both kinds of rows are replayed as one table; the closing row reaches both sides and meets itself."""
+    price, said = I.interval_sides(spark, d)
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    both = price.select("price_id", "price", none("post_id", "bigint"), none("sentiment_score", "double"), F.col("price_time").alias("t"))
+    both = both.unionByName(
+        said.select(none("price_id", "bigint"), none("price", "double"), "post_id", "sentiment_score", F.col("post_time").alias("t"))
+    )
+
+    def build(stream):
+        left = stream.filter("post_id IS NULL").select("price_id", "price", F.col("t").alias("price_time"))
+        right = stream.filter("price_id IS NULL").select("post_id", "sentiment_score", F.col("t").alias("post_time"))
+        bounds = [timedelta(seconds=x) for x in (I.BEFORE_S, I.AFTER_S)]
+        return intervals.interval_join(left, right, "price_time", "post_time", *bounds, delay="10 minutes")
+
+    rows = _through_files(spark, _with_timestamp(both, "t"), build, time="t").filter("price_id IS NOT NULL")
+    return rows.select("price_id", "post_id", "price", F.round("sentiment_score", 6).alias("sentiment_score"))
+
+
+def stream_until_marker(spark, d):
+    """Events as a log of messages in three partitions, each cut off by an end marker, read over a restart.
+
+    The marker of a partition stands behind its events up to a certain id; what follows it must not be read.
+    """
+    end = I.table(spark, d, "events").agg(F.floor(F.max("event_id") * 0.8).cast("bigint")).first()[0]
+    events = I.table(spark, d, "events").select(
+        F.pmod("event_id", F.lit(3)).alias("part"), F.col("event_id").cast("double").alias("at"), "event_id", "event_type", "value"
+    )
+    markers = spark.range(3).select(
+        F.col("id").alias("part"), F.lit(end + 0.5).alias("at"), F.lit(I.END_ID).cast("bigint").alias("event_id"),
+        F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("value"),
+    )
+    log = events.unionByName(markers)
+    message = F.to_json(F.struct(F.col("event_id").alias("id"), "event_type", "value")).alias("value")
+    path, ends, out, checkpoint = (scratch_path(spark, n) for n in ("log", "ends", "sink", "checkpoint"))
+
+    # Files sort by name: those of the second delivery come after those of the first.
+    log = log.select("part", (F.col("at") > end // 2).cast("int").alias("step"), "at", message)
+    for step in range(2):
+        ranged = log.filter(F.col("step") == step).repartitionByRange("part", "step", "at")
+        ranged.sortWithinPartitions("part", "step", "at").drop("at").write.partitionBy("part", "step").mode("append").text(path)
+        stream, reached = messages.log_until(spark, path, ends, I.END_ID)
+        decoded = decode_json(stream, "id bigint, event_type string, value double")
+        drain(to_files(decoded, out, checkpoint))
+    if not reached():
+        raise RuntimeError("an end marker was not read")
+    rows = spark.read.parquet(out).filter(F.col("id") != I.END_ID)
+    return rows.select(F.col("id").alias("event_id"), "event_type", "value")
+
+
 def stream_behavior_score(spark, d):
+    """Each slice resumes from the state that the slices before left in the checkpoint."""
     offences = _with_timestamp(I.offences(spark, d).drop("content", "colour"), "ts")
-    path, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "checkpoint")
-    replay(offences, "ts", lambda s: to_batches(s, behavior_stream.score_writer(path), checkpoint), SLICES)
-    return behavior_stream.current_scores(spark, path)
+    checkpoint = scratch_path(spark, "checkpoint")
+
+    def writer(stream):
+        scores = behavior_stream.stream_scores(stream)
+        return scores.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+
+    replay(offences, "ts", writer, SLICES)
+    return behavior_stream.read_scores(spark, checkpoint).select("user_id", "behavior_score")
 
 
 NEWEST = ("event_time", "transaction_id", "window_start")
@@ -104,6 +164,8 @@ QUERIES = {
         stream_user_features,
         stream_fraud_alerts,
         stream_hype_meter,
+        stream_hype_interval_join,
+        stream_until_marker,
         stream_behavior_score,
         stream_latest_alerts,
     )

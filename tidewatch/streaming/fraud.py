@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch import fixed_values as V
 from tidewatch.operators.fraud import user_window_features
-from tidewatch.sources.sinks import EPOCH, numbered_epoch, read_epochs
+from tidewatch.sources.sinks import numbered_epoch
+from tidewatch.sources.versioned import read_version, replace_version
 
 
 def stream_user_features(
@@ -55,27 +55,23 @@ def stream_fraud_features(
 
 def newest_alerts_writer(path: str, order: tuple[str, ...], n: int = 10):
     """Keep the newest ``n`` flagged alerts: per micro-batch, re-rank them with
-    the stored ones and write them as the next version.
+    the stored ones and commit them as the next version.
 
-    Reads only versions of earlier batches, so a repeated batch gives the same.
+    A repeated batch changes nothing, and old versions are removed.
     """
     newest = [F.desc(c) for c in order]
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        kept = batch.filter("is_fraud_alert").orderBy(*newest).limit(n)
-        version = numbered_epoch(batch, epoch, path)
-        stored = read_epochs(spark, path, StructType([*batch.schema.fields, StructField(EPOCH, LongType())])).filter(F.col(EPOCH) < version)
-        last = stored.agg(F.max(EPOCH)).first()[0]
-        if last is not None:
-            stored = stored.filter(F.col(EPOCH) == last).drop(EPOCH)
-            kept = stored.unionByName(kept).orderBy(*newest).limit(n)
-        kept.write.mode("overwrite").parquet(f"{path}/{EPOCH}={version}")
+        fresh = batch.filter("is_fraud_alert")
+
+        def ranked(stored: DataFrame | None) -> DataFrame:
+            rows = fresh if stored is None else stored.unionByName(fresh)
+            return rows.orderBy(*newest).limit(n)
+
+        replace_version(batch.sparkSession, path, numbered_epoch(batch, epoch, path), ranked, batch.schema)
 
     return write
 
 
 def read_newest_alerts(spark, path: str, order: tuple[str, ...]) -> DataFrame:
-    rows = spark.read.option("basePath", path).parquet(path)
-    newest = rows.agg(F.max(EPOCH)).scalar()
-    return rows.filter(F.col(EPOCH) == newest).drop(EPOCH).orderBy(*[F.desc(c) for c in order])
+    return read_version(spark, path).orderBy(*[F.desc(c) for c in order])
