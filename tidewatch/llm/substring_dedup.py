@@ -416,11 +416,12 @@ def dedup_substrings(docs: DataFrame, hot: int = HOT, shard_words: int = SHARD_W
     base = pin(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), compression="zstd")
     texts = base.select("row", "text")
     anchors = pin(texts.mapInArrow(_anchors, "anchor long, row long, span long"))
-    counts = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # Stored, so that the join is one of two plain sides and the rows of an anchor that many share are split.
+    counts = pin(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
     spans = anchors.join(counts, "anchor").select("row", (F.col("span") * 2 + (F.col("c") > hot).cast("long")).alias("mark"))
     marks = spans.groupBy("row").agg(F.collect_list("mark").alias("marks"))
     marks = pin(marks.join(places(base), "row"))
-    unpin(anchors)
+    unpin(anchors, counts)
     segments_ = marks.agg(F.sum(F.size("marks"))).first()[0] or 0
     shards = max(1, math.ceil(segments_ * (WINDOW + MOST_WINDOWS // 2) / shard_words))
     found = texts.join(marks, "row").select("place", "text", "marks")
