@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
         larger = larger.distinct()
         lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(lowest, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = pin(smaller.union(lowest.select("a", F.col("m").alias("b"))).distinct())
+        older, edges = edges, pin(smaller.union(lowest.select("a", F.col("m").alias("b"))).distinct())
+        unpin(older)
         after = _state(edges)
         if after == before:
             break

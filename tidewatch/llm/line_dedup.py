@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import fresh, table
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
 WINDOW = 4
 MIN_WORDS = 25
@@ -47,7 +47,8 @@ def lines_of(text: Column) -> Column:
 def _with_keys(docs: DataFrame, doc_id: str, text: str, key: str, mark: str) -> DataFrame:
     """``key`` orders documents; rows of one key are told apart by ``mark``."""
     mark_of = F.xxhash64(F.col(text))
-    return docs.withColumns({key: F.coalesce(F.col(doc_id).cast("long"), mark_of), mark: mark_of})
+    number = F.coalesce(F.col(doc_id).try_cast("long"), F.when(F.col(doc_id).isNotNull(), F.xxhash64(F.col(doc_id))), mark_of)
+    return docs.withColumns({key: number, mark: mark_of})
 
 
 def _hashed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -151,19 +152,25 @@ def _passages(texts: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
     return near.select("k", "t", F.array_sort(hashed).alias("runs"))
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS):
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Per row of ``docs``: id, k, t, n_lines and ``gone``, the sorted numbers of its repeated lines.
 
     Documents come in the order of their id; rows of one id count as one place
     in that order, and rows equal in id and text have the same result. A null
-    id is replaced by a hash of the text. Null and empty texts have no lines;
+    id is replaced by a hash of the text, one that is no whole number by a hash of it. Null and empty texts have no lines;
     an empty table gives no rows.
     """
+    return _repeated(docs, doc_id, text, min_words)[0]
+
+
+def _repeated(docs: DataFrame, doc_id: str, text: str, min_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``repeated_lines``, and the pinned tables behind them: lines, and what is gone (k, t, gone)."""
     texts = pin(_hashed(docs, doc_id, text))
     prints = pin(_prints(texts, min_words))
     shared = prints.groupBy("f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("f")
     places = prints.join(shared, "f").groupBy("k").agg(F.collect_set("p").alias("ps"))
     passages = pin(_passages(texts, places, min_words))
+    unpin(prints)
     runs = passages.select("k", "t", F.explode("runs").alias("run")).select("k", "t", F.col("run.g").alias("g"), "run")
     firsts = runs.groupBy("g").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).filter("k0 < k1")
     across = runs.join(firsts.select("g", "k0"), "g").filter("k > k0").select("k", "t", "run.start", "run.end")
@@ -173,9 +180,10 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = across.unionByName(within.select("k", "t", "run.start", "run.end")).distinct()
     found = found.select("k", "t", F.struct("start", "end").alias("run"))
     numbers = F.flatten(F.transform(F.collect_list("run"), lambda r: F.sequence(r.start, r.end - 1)))
-    gone = found.groupBy("k", "t").agg(F.array_sort(F.array_distinct(numbers)).alias("gone"))
+    gone = pin(found.groupBy("k", "t").agg(F.array_sort(F.array_distinct(numbers)).alias("gone")))
+    unpin(passages)
     sizes = texts.select("id", "k", "t", F.size("h").alias("n_lines"), F.col("w"))
-    return sizes.join(gone, ["k", "t"], "left")
+    return sizes.join(gone, ["k", "t"], "left"), texts, gone
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -185,8 +193,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     line to begin with stays.
     """
     key, mark, lost = fresh(docs.columns, "k", "t", "gone")
-    gone = repeated_lines(docs, doc_id, text, min_words).filter("gone IS NOT NULL")
-    gone = gone.select(F.col("k").alias(key), F.col("t").alias(mark), F.col("gone").alias(lost)).dropDuplicates([key, mark])
+    _, texts, gone = _repeated(docs, doc_id, text, min_words)
+    unpin(texts)
+    gone = gone.select(F.col("k").alias(key), F.col("t").alias(mark), F.col("gone").alias(lost))
     joined = _with_keys(docs, doc_id, text, key, mark).join(gone, [key, mark], "left")
     numbered = F.transform(lines_of(F.col(text)), lambda x, i: F.when(~F.array_contains(lost, i), x))
     kept = F.array_join(F.filter(numbered, lambda x: x.isNotNull()), "")

@@ -23,19 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import IS_DARK, list_array, mix, shingle_hashes, sums_by_row, table, whole_groups, word_blocks
 from tidewatch.llm.components import components
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
 WORDS = 5
 #: Two sets link when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 80, 100
 COARSE = 256
 #: Largest count of a coordinate; a coordinate that reaches it bounds nothing.
-FULL = 65_535
+FULL = 255
 #: Members of one side of a tile of a leaf.
 TILE = 1024
 #: A block with fewer shingles is light; a class takes the largest number that its spare blocks cover.
@@ -146,8 +146,8 @@ def _points(size: int):
                 sizes = np.bincount(owner, minlength=n)
                 ids = _ids(hashes, owner, sizes, row_key[a:b])
                 coarse = (owner * COARSE + (hashes & np.uint64(COARSE - 1)).astype(np.int64)) if len(owner) else owner
-                point = np.minimum(np.bincount(coarse, minlength=n * COARSE), FULL).astype("<u2")
-                cuts = np.arange(n + 1, dtype=np.int32) * (2 * COARSE)
+                point = np.minimum(np.bincount(coarse, minlength=n * COARSE), FULL).astype(np.uint8)
+                cuts = np.arange(n + 1, dtype=np.int32) * COARSE
                 points = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(cuts), pa.py_buffer(point)])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -279,7 +279,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     blob = b"".join(column.to_pylist())
-    return np.frombuffer(blob, "<u2").reshape(-1, COARSE)
+    return np.frombuffer(blob, np.uint8).reshape(-1, COARSE)
 
 
 def may_link(na, nb, pa_, pb, numerator: int, denominator: int) -> np.ndarray:
@@ -363,25 +363,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: in
     return pairs.filter(both * denominator >= (F.col("na") + F.col("nb") - both) * numerator).select("a", "b")
 
 
-def jaccard_components(
+def _number(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.try_cast("long"), F.when(doc_id.isNotNull(), F.xxhash64(doc_id)))
+
+
+def _components(
     docs: DataFrame,
     words: int = WORDS,
     numerator: int = NUMERATOR,
     denominator: int = DENOMINATOR,
     doc_id: str = "doc_id",
     text: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
-
-    Words are separated by white space, A-Z lower-cased. Rows with fewer words
-    than a shingle are one shingle; null, empty and blank texts have none and
-    are components of their own. ``component_id`` is the smallest doc_id that
-    links reach; rows with a null id link like others but give no name unless
-    the whole component has none (null then). Repeated rows are in one component.
-    """
+) -> tuple[DataFrame, list[DataFrame]]:
+    """What ``jaccard_components`` returns, and the pinned tables it is read from."""
     keyed = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.col(text))).alias("row_key"),
+        _number(F.col(doc_id)).alias("doc_id"),
+        F.coalesce(_number(F.col(doc_id)), F.xxhash64(F.col(text))).alias("row_key"),
         F.col(text).cast("string").alias("text"),
     )
     entries = pin(keyed.mapInArrow(_points(words), "doc_id long, row_key long, n long, id long, point binary"))
@@ -394,18 +391,20 @@ def jaccard_components(
         _packed(words, numerator, denominator, parts), "part long, ids binary, counts binary, keys binary"
     )
     packed = packed.repartition("part").sortWithinPartitions("part")
-    members = pin(packed.mapInArrow(_shared, "leaf long, id long"))
+    shared = pin(packed.mapInArrow(_shared, "leaf long, id long"))
     # Leaves with the same members tell the same: one of them stays.
-    tops = members.groupBy("leaf").agg(
+    tops = shared.groupBy("leaf").agg(
         F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.min("id").alias("lo")
     )
     kept = tops.groupBy("c", "x", "lo").agg(F.min("leaf").alias("leaf"))
-    members = members.join(kept.select("leaf", "c"), "leaf")
+    members = shared.join(kept.select("leaf", "c"), "leaf")
     # The member that meets most others, over all its leaves, is a leaf's centre.
     reach = members.groupBy("id").agg(F.sum("c").alias("reach"))
-    members = pin(members.join(reach, "id"))
-    centre = members.groupBy("leaf").agg(F.max_by("id", "reach").alias("lo"))
-    members = pin(members.drop("reach").join(centre, "leaf"))
+    ranked = pin(members.join(reach, "id"))
+    unpin(shared)
+    centre = ranked.groupBy("leaf").agg(F.max_by("id", "reach").alias("lo"))
+    members = pin(ranked.drop("reach").join(centre, "leaf"))
+    unpin(ranked)
 
     # These ids grow with the corpus: the joins are never to broadcast them.
     ids = members.select("id").distinct().hint("merge")
@@ -441,8 +440,10 @@ def jaccard_components(
     tiles = tiles.repartition("leaf", "part1", "part2").sortWithinPartitions("leaf", "part1", "part2")
     across = tiles.mapInArrow(_tiles(numerator, denominator), "a long, b long, na long, nb long").distinct()
     second = pin(_verified(across, sets, numerator, denominator))
+    unpin(members, sets, chosen)
     if not second.isEmpty():
         roots = components(first.union(second))
+    unpin(first, second)
     roots = roots.withColumnRenamed("node", "id")
 
     # The smallest doc_id of each set, then of each component.
@@ -451,16 +452,30 @@ def jaccard_components(
     best = linked.groupBy("root").agg(F.min("name").alias("best"))
     renamed = linked.join(best, "root").select("id", "best")
     names = names.join(renamed, "id", "left").select("id", F.coalesce("best", "name").alias("component_id"))
-    return entries.select("doc_id", F.col("n").alias("n_shingles"), "id").join(names, "id").select(
-        "doc_id", "n_shingles", "component_id"
-    )
+    found = entries.select("doc_id", F.col("n").alias("n_shingles"), "id").join(names, "id")
+    return found.select("doc_id", "n_shingles", "component_id"), [entries]
+
+
+def jaccard_components(docs: DataFrame, **rule) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+
+    Words are separated by white space, A-Z lower-cased. Rows with fewer words
+    than a shingle are one shingle; null, empty and blank texts have none and
+    are components of their own. ``component_id`` is the smallest doc_id that
+    links reach; rows with a null id link like others but give no name unless
+    the whole component has none (null then). Repeated rows are in one component.
+    Ids that are no whole numbers are replaced by a hash of them. ``rule``:
+    words, numerator, denominator, and the names doc_id and text.
+    """
+    return _components(docs, **rule)[0]
 
 
 def one_per_component(docs: DataFrame, **rule: int) -> DataFrame:
     """Documents that name their component (rows with a null id stay); copies of such a row stay once."""
-    found = jaccard_components(docs, **rule)
-    lost = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    found, pinned = _components(docs, **rule)
+    lost = pin(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_lost")).distinct())
+    unpin(*pinned)
+    return docs.join(lost, _number(docs["doc_id"]) == lost["_lost"], "left_anti").select(*[docs[c] for c in docs.columns])
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
