@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import fresh, hashed_words, list_array, table, text_bytes, word_blocks
+from tidewatch.llm.common import fresh, hashed_words, list_array, mix, powers, table, text_bytes, word_blocks
 
 WINDOW = 10
 #: Benchmark text of one broadcast; a larger benchmark takes several passes.
@@ -47,6 +47,7 @@ class Targets:
         words, row = hashed_words(data, offsets)
         self.vocabulary = np.unique(words)
         self.ids = np.searchsorted(self.vocabulary, words).astype(np.int64) + 1
+        self.word_item = row
         counts = np.bincount(row, minlength=len(items)).astype(np.int64)
         firsts = np.cumsum(counts) - counts
         place = np.arange(len(words)) - firsts[row]
@@ -124,28 +125,67 @@ def shard_matches(words: np.ndarray, row: np.ndarray, targets: Targets, window:
             break
     hit = np.concatenate([d[0] for d in done])
     lows, highs = (np.concatenate([d[i] for d in done]) for i in (1, 2))
-    sizes = highs - lows
-    which = np.repeat(hit, sizes)
-    inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    place = order[np.repeat(lows, sizes) + inner]
+    which, place = left_maximal(targets, hit, lows, highs, ids, row, order)
     if not len(place):
         return none
-    # Windows of one item that begin one after the other on both sides are one match.
     item, start = targets.item[which], targets.place[which]
-    by = np.lexsort((place, place - start, item))
-    item, start, place, need = item[by], start[by], place[by], targets.need[which][by]
-    new = np.ones(len(by), bool)
-    new[1:] = (
-        (item[1:] != item[:-1])
-        | (place[1:] != place[:-1] + 1)
-        | (start[1:] != start[:-1] + 1)
-        | (row[place[1:]] != row[place[:-1]])
-    )
-    first = np.flatnonzero(new)
-    runs = np.diff(np.append(first, len(by)))
-    out = row[place[first]], item[first], start[first], place[first], runs - 1 + need[first]
-    by = np.lexsort((out[3], out[0]))
-    return [x[by] for x in out]
+    length = common_length(targets, which, ids, row, place)
+    by = np.lexsort((place - start, place, row[place]))
+    return [x[by] for x in (row[place], item, start, place, length)]
+
+
+def left_maximal(targets: Targets, hit, lows, highs, ids, row, order):
+    """Item suffixes and places of their windows at which a match begins.
+
+    A match goes on to the left where the words before both are equal; such
+    pairs are never made. So a text and an item of one repeated word have as many
+    pairs as words, not as many as their product.
+    """
+    before_item = np.where(targets.place[hit] > 0, targets.ids[targets.suffix[hit] - 1], -1)
+    places = order[: int(highs.max(initial=0))]
+    before_doc = np.where((places > 0) & (row[places - 1] == row[places]), ids[places - 1], -2)
+    # Places of each window by the word before them.
+    ranges, of = np.unique(np.stack([lows, highs], axis=1), axis=0, return_inverse=True)
+    of = of.ravel()
+    sizes = ranges[:, 1] - ranges[:, 0]
+    group = np.repeat(np.arange(len(ranges)), sizes)
+    flat = np.repeat(ranges[:, 0] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    by = np.lexsort((before_doc[flat], group))
+    flat, key = flat[by], group[by] * (len(targets.vocabulary) + 4) + before_doc[flat[by]] + 2
+    wanted = of * (len(targets.vocabulary) + 4) + before_item + 2
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    same_from, same_to = np.searchsorted(key, wanted), np.searchsorted(key, wanted, "right")
+    # For each suffix, the places of its window without those that have the same word before.
+    spans = [(first[of], same_from), (same_to, first[of + 1])]
+    whose, at = [], []
+    for low, high in spans:
+        n = high - low
+        whose.append(np.repeat(np.arange(len(hit)), n))
+        at.append(np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum()))
+    return hit[np.concatenate(whose)], places[flat[np.concatenate(at)]]
+
+
+def common_length(targets: Targets, which, ids, row, place) -> np.ndarray:
+    """How many words item suffixes and places have in common, by bisection over hashes of runs."""
+    item_end = np.searchsorted(targets.word_item, targets.item[which], "right")
+    low = targets.need[which].astype(np.int64)
+    begin = targets.suffix[which]
+    high = np.minimum(item_end - begin, np.searchsorted(row, row[place], "right") - place)
+    up, down = powers(max(len(ids), len(targets.ids)) + 1)
+
+    def sums(numbers: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(numbers) + 1, np.uint64)
+        np.cumsum(mix(numbers.astype(np.uint64) + np.uint64(0x9E3779B9)) * up[: len(numbers)], out=out[1:])
+        return out
+
+    in_items, in_docs = sums(targets.ids), sums(ids)
+    while (open_ := low < high).any():
+        middle = (low + high + 1) >> 1
+        one = (in_items[begin + middle] - in_items[begin]) * down[begin]
+        two = (in_docs[place + middle] - in_docs[place]) * down[place]
+        equal = one == two
+        low, high = np.where(open_ & equal, middle, low), np.where(open_ & ~equal, middle - 1, high)
+    return low
 
 
 def _search(targets_in, window: int, text: str, count: str, matches: str):
