@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,8 @@ TEMPLATES = BASE + NOTICES
 KEYS = 3
 #: Words that a phrase of a notice may be moved by, as copies add or lose some.
 DRIFT = 3
+#: A place is template * START + start + BEFORE, one number.
+START, BEFORE = 1 << 36, 1 << 20
 
 
 def document_frequencies(words: DataFrame, vocabulary: tuple[str, ...]) -> tuple[dict[str, int], int]:
@@ -132,7 +135,7 @@ def license_places(docs: DataFrame, text: str = "text", templates=TEMPLATES) ->
     words = docs.select("doc_id", word_array(F.col(text)).alias("w"))
     df, rows = document_frequencies(words, vocabulary)
     index, used, _ = build_index(df, rows, templates)
-    keys = sorted(index)
+    keys, keys_ = sorted(index), max([1, *used])
     # Where the file's words are keys of the index.
     looked_up = F.filter(
         F.transform("w", lambda w, i: F.when(w.isin(keys), F.struct(i.alias("i"), w.alias("w")))),
@@ -148,19 +151,24 @@ def license_places(docs: DataFrame, text: str = "text", templates=TEMPLATES) ->
             )
         ]
     )
-    # (template, start) of each posting; a template may begin before the text if its head is missing.
-    begins = F.flatten(
-        F.transform(
-            "found",
-            lambda f: F.transform(
-                F.element_at(posting, f.w), lambda p: F.struct(p.t.alias("t"), (f.i - p.p).alias("s"))
-            ),
+    # Template and start of each posting as one number, sorted, so that what agrees stands side by side; a template
+    # may begin before the text if its head is missing.
+    begins = F.sort_array(
+        F.flatten(
+            F.transform(
+                "found",
+                lambda f: F.transform(
+                    F.element_at(posting, f.w),
+                    lambda p: p.t.cast("long") * START + (f.i - p.p + BEFORE).cast("long"),
+                ),
+            )
         )
     )
 
-    def agreed(x: Column) -> Column:
-        """Keys of the template at this start, give or take the drift."""
-        return F.size(F.filter("begins", lambda y: (y.t == x.t) & (F.abs(y.s - x.s) <= DRIFT)))
+    def agreed(x: Column, i: Column) -> Column:
+        """Keys of the template at this start, give or take the drift; no more of them than a template has count."""
+        near = [F.coalesce((F.abs(F.get("begins", i + d) - x) <= DRIFT).cast("int"), F.lit(0)) for d in range(-keys_, keys_ + 1)]
+        return reduce(lambda a, b: a + b, near)
 
     def phrase_at(words: tuple[str, ...], at: Column) -> Column:
         inside = (at >= 0) & (at + len(words) <= F.size("w"))
@@ -168,30 +176,29 @@ def license_places(docs: DataFrame, text: str = "text", templates=TEMPLATES) ->
 
     drifts = F.array(*[F.lit(d) for d in sorted(range(-DRIFT, DRIFT + 1), key=abs)])
 
-    def verified(x: Column) -> Column:
-        cases = F.lit(0.0)
+    def verified(x: Column, i: Column, start: Column) -> Column:
+        cases, template = F.lit(0.0), F.floor(x / START)
         for k, t in enumerate(templates):
             if t.base:
-                ok = F.when(phrase_at(t.words, x.s), 1.0).otherwise(0.0)
+                ok = F.when(phrase_at(t.words, start), 1.0).otherwise(0.0)
             else:
                 need = min(2, used[k])
                 there = F.lit(True)
                 for at, words in t.places():
-                    there = there & F.exists(drifts, _shifted(phrase_at, words, x.s + at))
-                ok = F.when(there & (agreed(x) >= need), agreed(x) / F.lit(float(used[k]))).otherwise(0.0)
+                    there = there & F.exists(drifts, _shifted(phrase_at, words, start + at))
+                ok = F.when((agreed(x, i) >= need) & there, agreed(x, i) / F.lit(float(used[k]))).otherwise(0.0)
                 ok = F.least(ok, F.lit(1.0))
-            cases = F.when(x.t == k, ok).otherwise(cases)
+            cases = F.when(template == k, ok).otherwise(cases)
         return cases
 
-    places = F.array_sort(
-        F.filter(
-            F.transform(
-                F.array_distinct("begins"),
-                lambda x: F.struct(x.s.alias("start"), x.t.alias("template"), verified(x).alias("score")),
-            ),
-            lambda p: p.score > 0,
-        )
-    )
+    def place(x: Column, i: Column) -> Column:
+        start = (x % START - BEFORE).cast("int")
+        # Equal numbers are one place: the first of them.
+        new = F.coalesce(F.get("begins", i - 1) != x, F.lit(True))
+        found = F.struct(start.alias("start"), F.floor(x / START).cast("int").alias("template"), verified(x, i, start).alias("score"))
+        return F.when(new, found)
+
+    places = F.array_sort(F.filter(F.transform("begins", place), lambda p: p.isNotNull() & (p.score > 0)))
     return (
         words.select("doc_id", "w", looked_up.alias("found"))
         .select("doc_id", "w", begins.alias("begins"))
