@@ -1,6 +1,6 @@
 """Near duplicates among embeddings by a pivot-permutation index.
 
-A bounded sample of vectors are the pivots. A vector is described by its
+A bounded sample of vectors, none near another, are the pivots. A vector is described by its
 nearest pivots in order and entered in the inverted list of each of them, per
 label. Two vectors are candidates if they share enough of these pivots; a pair
 is handled once, in the list of the first pivot it shares, and its cosine is
@@ -29,6 +29,8 @@ THRESHOLD = 0.93
 NEAREST, SHARED = 10, 2
 #: Pivots: PIVOT_FACTOR times the square root of the vectors, within PIVOT_BYTES.
 PIVOT_FACTOR, PIVOT_BYTES = 4, 32 << 20
+#: Pivots are at least so far apart: a group of near copies holds few of them.
+PIVOT_COSINE = 0.8
 #: Members of one side of a tile of a list.
 TILE = 1024
 
@@ -208,15 +210,36 @@ def near_duplicates(
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def apart(vectors: np.ndarray, wanted: int, most: float = PIVOT_COSINE) -> np.ndarray:
+    """The first ``wanted`` unit vectors whose cosine to all taken before them is below ``most``."""
+    taken = np.zeros((0, vectors.shape[1]))
+    for k in range(0, len(vectors), 256):
+        block = vectors[k : k + 256]
+        block = block[(block @ taken.T).max(axis=1, initial=-1.0) < most]
+        near = block @ block.T >= most
+        free = np.ones(len(block), bool)
+        for i in range(len(block)):
+            if free[i]:
+                free[i + 1 :] &= ~near[i, i + 1 :]
+        taken = np.concatenate([taken, block[free]])[:wanted]
+        if len(taken) == wanted:
+            break
+    return taken
+
+
 def pivots_of(part: DataFrame, dim: int, n: int) -> np.ndarray:
-    """A sample of the vectors, by a hash of their content."""
+    """A sample of the vectors, by a hash of their content, in which no two are near each other.
+
+    A dense group would otherwise take pivots in proportion to its size, and
+    which of them are nearest to a member would be chance.
+    """
     wanted = max(min(math.ceil(PIVOT_FACTOR * math.sqrt(n)), PIVOT_BYTES // (8 * dim)), 1)
     draw = F.pmod(F.xxhash64("cid", F.lit("pivot")), F.lit(1 << 30))
-    near = part.select("vector", draw.alias("d")).filter(F.col("d") <= F.lit(min(4.0 * wanted / n, 1.0) * (1 << 30)))
-    rows = near.orderBy("d").limit(wanted).collect()
+    near = part.select("vector", draw.alias("d")).filter(F.col("d") <= F.lit(min(6.0 * wanted / n, 1.0) * (1 << 30)))
+    rows = near.orderBy("d").limit(3 * wanted).collect()
     if not rows:
         rows = part.select("vector").limit(wanted).collect()
-    return unit(np.array([r.vector for r in rows], float))
+    return apart(unit(np.array([r.vector for r in rows], float)), wanted)
 
 
 def _links(part: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
