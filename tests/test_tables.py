@@ -184,3 +184,15 @@ def test_log_in_one_folder_and_a_second_consumer(spark):
         drain_until(to_batches(stream.select("value"), epoch_writer(out), scratch_path(spark, "c")), reached, timeout=60)
         assert spark.read.parquet(out).filter(F.col("value").contains("end")).count() == 1
         assert spark.read.parquet(out).count() == 7
+
+
+def test_append_of_facts_that_is_repeated(spark):
+    from tidewatch.sources.sinks import append_rows, within_batch
+
+    path = scratch_path(spark, "facts")
+    for _ in range(2):
+        append_rows(rows(spark, range(12)), path, KEYS)
+    assert len(stored(spark, path)) == 12
+    near = within_batch(rows(spark, range(100)), rows(spark, range(10, 13)), "id")
+    assert sorted(r.id for r in near.collect()) == [10, 11, 12]
+    assert within_batch(rows(spark, range(3)), rows(spark, range(3)).filter("false"), "id").count() == 0

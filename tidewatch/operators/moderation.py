@@ -163,6 +163,23 @@ def with_error_type(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
+def evaluation(predictions: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row: AUC, rows, accuracy, and how many errors of each kind, of stored scores.
+
+    ``predictions`` has row_id, true_label (0/1) and prob_violation; the model
+    behind them does not matter. Rows without a label or a score do not count.
+    """
+    known = with_error_type(predictions.filter("true_label IS NOT NULL AND prob_violation IS NOT NULL"), threshold)
+    kind = F.col("error_type")
+    counts = known.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg((kind == V.CORRECT).cast("double")).alias("accuracy"),
+        F.count_if(kind == V.FALSE_POSITIVE).alias("false_positives"),
+        F.count_if(kind == V.FALSE_NEGATIVE).alias("false_negatives"),
+    )
+    return counts.withColumn("auc", auc(predictions).scalar())
+
+
 def top_errors(errors: DataFrame, comments: DataFrame, error_type: str, k: int = 3) -> DataFrame:
     """Most confident false positives, or least confident false negatives.
 

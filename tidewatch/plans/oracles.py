@@ -453,6 +453,15 @@ r AS (SELECT pos, sum(n) OVER (ORDER BY s) - n + (n + 1) / 2.0::DOUBLE AS mean_r
 c AS (SELECT sum(true_label)::DOUBLE AS p, (count(*) - sum(true_label))::DOUBLE AS q FROM predictions)
 SELECT round((sum(pos * mean_rank) - any_value(p) * (any_value(p) + 1) / 2) / (any_value(p) * any_value(q)), 6) AS auc
   FROM r, c""",
+    "evaluation": f"""WITH {PREDICTIONS}, g AS (SELECT prob_violation AS s, count(*) AS n, sum(true_label) AS pos
+  FROM predictions GROUP BY 1),
+r AS (SELECT pos, sum(n) OVER (ORDER BY s) - n + (n + 1) / 2.0::DOUBLE AS mean_rank FROM g),
+c AS (SELECT sum(true_label)::DOUBLE AS p, (count(*) - sum(true_label))::DOUBLE AS q FROM predictions),
+a AS (SELECT (sum(pos * mean_rank) - any_value(p) * (any_value(p) + 1) / 2) / (any_value(p) * any_value(q)) AS auc FROM r, c),
+e AS (SELECT true_label AS t, prob_violation >= 0.5 AS hit FROM predictions)
+SELECT count(*) AS n, round(avg(CASE WHEN hit = (t = 1) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy,
+  count(*) FILTER (hit AND t = 0) AS false_positives, count(*) FILTER (NOT hit AND t = 1) AS false_negatives,
+  round((SELECT auc FROM a), 6) AS auc FROM e""",
     "action_routing": f"""WITH {PREDICTIONS} SELECT row_id, CASE WHEN prob_violation > 0.95 THEN 'auto_remove'
   WHEN prob_violation >= 0.5 THEN 'review' ELSE 'keep' END AS action FROM predictions""",
     "uncertainty_band": f"WITH {PREDICTIONS} SELECT * FROM predictions WHERE prob_violation BETWEEN 0.4 AND 0.6",

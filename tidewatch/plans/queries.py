@@ -529,6 +529,11 @@ def auc(spark, d):
     return rounded(moderation.auc(I.predictions(spark, d)), "auc")
 
 
+@query
+def evaluation(spark, d):
+    return rounded(moderation.evaluation(I.predictions(spark, d)), "accuracy", "auc")
+
+
 @query
 def action_routing(spark, d):
     return moderation.route_actions(I.predictions(spark, d)).select("row_id", "action")
@@ -667,4 +672,10 @@ def moderation_model_scores(spark, d):
     return scored.select("row_id", F.col("rule_violation").alias("true_label"), "prob_violation")
 
 
+@query
+def moderation_model_evaluation(spark, d):
+    """The fitted model on the rows that were held out: its scores are stored, then judged like any others."""
+    return moderation.evaluation(pin(moderation_model_scores(spark, d)))
+
+
 QUERIES.update(stream_queries.QUERIES)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidewatch.sources.keyed import write_keyed
 from tidewatch.sources.readers import path_exists
 
 EPOCH = "epoch"
@@ -65,25 +66,40 @@ def append_new_keys(batch: DataFrame, existing: DataFrame, keys: Sequence[str])
     return batch.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def within_batch(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The rows of ``existing`` whose ``key`` lies between the least and largest of the batch."""
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    return existing.filter(F.col(key).between(F.lit(low), F.lit(high))) if low is not None else existing.limit(0)
+
+
 def jdbc_writer(url: str, table: str, keys: Sequence[str], **options: str) -> Callable[[DataFrame, int], None]:
     """Append a micro-batch to a database table with a primary key.
 
     Keys that are already there are skipped, so a repeated batch cannot violate
-    the key (the driver jar must be on the class path).
+    the key (the driver jar must be on the class path). Of the table only the
+    range that the first key has in the batch is read: the bounds go to the
+    database as a condition.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         settings = {"url": url, "dbtable": table, **options}
         there = batch.sparkSession.read.format("jdbc").options(**settings).load()
-        fresh = append_new_keys(batch, there, keys)
+        fresh = append_new_keys(batch, within_batch(there, batch, keys[0]), keys)
         fresh.write.format("jdbc").options(**settings).mode("append").save()
 
     return write
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append facts (offences, domains) to a table."""
-    df.write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, keys: Sequence[str] | None = None) -> None:
+    """Append facts (offences, domains) to a table.
+
+    With ``keys`` it is a keyed table (``keyed.read_keyed``), and an append that
+    is repeated adds nothing; without, rows are added as often as they are sent.
+    """
+    if keys:
+        write_keyed(df, path, keys)
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def console_writer(df: DataFrame, checkpoint: str) -> DataStreamWriter:
