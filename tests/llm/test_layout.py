@@ -149,3 +149,18 @@ def test_pipeline_drops_near_copies_of_five_words(spark):
     docs = plain_docs(spark, [" ".join(w) for w in (base, block, longer, other)])
     stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
     assert sorted(r.doc_id for r in stage(spark, docs, SF).collect()) == [0, 3]
+
+
+def test_pipeline_takes_awkward_rows(spark):
+    """Null and repeated ids, null, empty and long texts, repeated rows and clashing columns, stage by stage."""
+    docs = awkward(spark, ["you worthless pathetic idiot scum"] * 2)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.dtypes == docs.dtypes, name
+        rows = after.collect()
+        texts = {r.text for r in docs.collect()}
+        assert name == "line dedup" or {r.text for r in rows} <= texts
+        assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
+        docs = spark.createDataFrame(rows, docs.schema)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {p.doc_id for p in pieces} == {r.doc_id for r in docs.collect()}

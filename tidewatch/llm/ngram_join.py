@@ -10,8 +10,8 @@ coordinates, and survivors are compared shingle by shingle.
 
 Nothing is lost: the number of blocks exceeds the largest difference by the
 number of light blocks that may be left out of the index (see ``Classes``).
-Documents with equal sets share one point. A leaf first compares its members to
-the most central one; only members of components that are still apart are
+Documents with equal sets share one point. A set is first compared to the most
+central member of its leaves, one centre after the other while they are apart; only members of components that are still apart are
 compared with each other, in tiles of bounded size, and only pairs that the
 bound lets through become rows.
 """
@@ -367,6 +367,14 @@ def _number(doc_id: Column) -> Column:
     return F.coalesce(doc_id.try_cast("long"), F.when(doc_id.isNotNull(), F.xxhash64(doc_id)))
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components of ``roots`` (node, root)."""
+    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    placed = pairs.join(ra, "a", "left").join(rb, "b", "left")
+    return placed.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
 def _components(
     docs: DataFrame,
     words: int = WORDS,
@@ -417,9 +425,18 @@ def _components(
     sets = pin(found.filter("id = own_id").select("id", "items").dropDuplicates(["id"]))
     points = chosen.select("id", "n", "point")
 
-    star = members.filter("id <> lo").select(F.greatest("lo", "id").alias("a"), F.least("lo", "id").alias("b")).distinct()
-    first = pin(_verified(_bounded(star, points, numerator, denominator), sets, numerator, denominator))
+    # First each set is compared to the one centre that it shares most leaves with, then to those of its other centres
+    # that are still in another component: a set of a long text moves with few pairs, not with every leaf.
+    shared = members.filter("id <> lo").groupBy("id", "lo").agg(F.count(F.lit(1)).alias("times"))
+    star = pin(shared.groupBy("id").agg(F.max(F.struct("times", "lo")).alias("best")).join(shared, "id"))
+    pair = [F.greatest("lo", "id").alias("a"), F.least("lo", "id").alias("b")]
+    most = star.filter(F.col("lo") == F.col("best.lo")).select(*pair).distinct()
+    nearest = pin(_verified(_bounded(most, points, numerator, denominator), sets, numerator, denominator))
+    rest_of_star = _apart(star.filter(F.col("lo") != F.col("best.lo")).select(*pair).distinct(), components(nearest))
+    others = pin(_verified(_bounded(rest_of_star, points, numerator, denominator), sets, numerator, denominator))
+    first = nearest.union(others)
     roots = components(first)
+    unpin(star)
     known = members.join(roots.withColumnRenamed("node", "id"), "id", "left")
     known = known.withColumn("root", F.coalesce("root", "id"))
     apart = known.groupBy("leaf").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
@@ -443,7 +460,7 @@ def _components(
     unpin(members, sets, chosen)
     if not second.isEmpty():
         roots = components(first.union(second))
-    unpin(first, second)
+    unpin(nearest, others, second)
     roots = roots.withColumnRenamed("node", "id")
 
     # The smallest doc_id of each set, then of each component.
