@@ -30,17 +30,28 @@ MIN_WORDS = 25
 LINE_END = r"(?<=[\n。！？，、；：｡､।۔؟،។။])|(?<=[.!?,;:] )"
 #: The same cuts found faster: a mark is put after each line end, then split at.
 CUT_AFTER, MARK = r"[\n。！？，、；：｡､।۔؟،។။]|[.!?,;:] ", "\x01"
+#: All marks and letters of the patterns above and below beyond ASCII lie here: other texts need neither.
+FAR, CUT_AFTER_NEAR = r"[\u0600-\u1FFF\u2E80-\x{10FFFF}]", r"\n|[.!?,;:] "
 #: Letters that count as words, as their scripts put no spaces between words.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: A document has fewer lines than 2 to this power.
 POSITION_BITS = 28
 
 
-def lines_of(text: Column) -> Column:
-    """The lines of a text; joined together they are the text."""
+def is_far(text: Column) -> Column:
+    """Whether a text has characters from where the scripts without spaces and their marks are."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.coalesce(F.when(ascii_only, F.lit(False)).otherwise(text.rlike(FAR)), F.lit(False))
+
+
+def lines_of(text: Column, far: Column | None = None) -> Column:
+    """The lines of a text; joined together they are the text. ``far``: ``is_far`` of it, best as a column of its own."""
     whole = F.coalesce(text, F.lit(""))
-    marked = F.split(F.regexp_replace(whole, CUT_AFTER, f"$0{MARK}"), MARK)
-    lines = F.when(whole.contains(MARK), F.split(whole, LINE_END)).otherwise(marked)
+    far = is_far(whole) if far is None else far
+    cut = F.when(far, F.regexp_replace(whole, CUT_AFTER, f"$0{MARK}")).otherwise(
+        F.regexp_replace(whole, CUT_AFTER_NEAR, f"$0{MARK}")
+    )
+    lines = F.when(whole.contains(MARK), F.split(whole, LINE_END)).otherwise(F.split(cut, MARK))
     return F.array_remove(lines, "")
 
 
@@ -53,18 +64,25 @@ def _with_keys(docs: DataFrame, doc_id: str, text: str, key: str, mark: str) ->
 
 def _hashed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """id, k, t, line hashes ``h`` and words per line ``w``: one row per document."""
-    def numbers(x: Column) -> Column:
+    def spaces(said: Column) -> Column:
+        return F.octet_length(said) - F.octet_length(F.replace(said, F.lit(" "), F.lit("")))
+
+    def near(x: Column) -> Column:
+        said = F.rtrim(x)
+        return F.struct(F.xxhash64(said).alias("h"), (spaces(said) + 1).cast("int").alias("w"))
+
+    def distant(x: Column) -> Column:
         said = F.rtrim(x)
-        spaces = F.octet_length(said) - F.octet_length(F.replace(said, F.lit(" "), F.lit("")))
         letters = F.char_length(said) - F.char_length(F.regexp_replace(said, UNSPACED, ""))
         alone = F.when(F.octet_length(said) == F.char_length(said), F.lit(1)).otherwise(F.greatest(letters, F.lit(1)))
-        return F.struct(F.xxhash64(said).alias("h"), (spaces + alone).cast("int").alias("w"))
-
-    line = F.transform(lines_of(F.col(text)), numbers)
-    return (
-        _with_keys(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "id", "text", "k", "t")
-        .select("id", "k", "t", line.alias("line"))
-        .select("id", "k", "t", F.col("line.h").alias("h"), F.col("line.w").alias("w"))
+        return F.struct(F.xxhash64(said).alias("h"), (spaces(said) + alone).cast("int").alias("w"))
+
+    rows = _with_keys(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "id", "text", "k", "t")
+    rows = rows.select("id", "k", "t", "text", is_far(F.col("text")).alias("far"))
+    rows = rows.select("id", "k", "t", "far", lines_of(F.col("text"), F.col("far")).alias("lines"))
+    line = F.when(F.col("far"), F.transform("lines", distant)).otherwise(F.transform("lines", near))
+    return rows.select("id", "k", "t", line.alias("line")).select(
+        "id", "k", "t", F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
 
 
@@ -192,12 +210,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     A document of which every line was a later copy is dropped; one that had no
     line to begin with stays.
     """
-    key, mark, lost = fresh(docs.columns, "k", "t", "gone")
+    key, mark, lost, far = fresh(docs.columns, "k", "t", "gone", "far")
     _, texts, gone = _repeated(docs, doc_id, text, min_words)
     unpin(texts)
     gone = gone.select(F.col("k").alias(key), F.col("t").alias(mark), F.col("gone").alias(lost))
     joined = _with_keys(docs, doc_id, text, key, mark).join(gone, [key, mark], "left")
-    numbered = F.transform(lines_of(F.col(text)), lambda x, i: F.when(~F.array_contains(lost, i), x))
+    joined = joined.withColumn(far, is_far(F.col(text)))
+    numbered = F.transform(lines_of(F.col(text), F.col(far)), lambda x, i: F.when(~F.array_contains(lost, i), x))
     kept = F.array_join(F.filter(numbered, lambda x: x.isNotNull()), "")
     out = joined.withColumn(text, F.when(F.col(lost).isNull(), F.col(text)).otherwise(kept))
     return out.filter(F.col(lost).isNull() | (F.col(text) != "")).select(*[F.col(f"`{c}`") for c in docs.columns])
