@@ -100,3 +100,16 @@ def test_text_ids(spark):
     assert len(set(components)) == 3
     assert ngram_join.one_per_component(docs).count() == 3
     assert line_dedup.dedup_lines(docs).count() in (3, 4)
+
+
+def test_marks_bound_what_sets_share():
+    rng = np.random.default_rng(8)
+    draw = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+    for n, m, common in [(1, 1, 0), (1, 1, 1), (0, 5, 0), (300, 310, 290), (40, 9000, 40), (5000, 5600, 5000), (128, 129, 5)]:
+        both = draw(common)
+        a, b = np.concatenate([both, draw(n - common)]), np.concatenate([both, draw(m - common)])
+        bound = ngram_join.most_shared(len(a), len(b), ngram_join.marks(a), ngram_join.marks(b))
+        assert common <= bound <= min(n, m)
+    # Large sets that share nothing are told apart.
+    a, b = draw(7000), draw(7500)
+    assert ngram_join.most_shared(7000, 7500, ngram_join.marks(a), ngram_join.marks(b)) < 0.7 * 7000

@@ -260,15 +260,55 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def marks(hashes: np.ndarray) -> bytes:
+    """A point as fine as the set is large, of counts cut to one bit: two coordinates or more for each shingle."""
+    width = 1 << max(8, int(2 * len(hashes) - 1).bit_length()) if len(hashes) else 256
+    flags = np.zeros(width, bool)
+    flags[((hashes >> np.uint64(9)) & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def most_shared(na: int, nb: int, a: bytes, b: bytes) -> int:
+    """How many shingles two sets can share by their marks.
+
+    The wider point is folded to the width of the other. A coordinate that both
+    have stands for one shared shingle, and for one more for each that fell
+    together with another in the set that has fewer of these.
+    """
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    count = lambda z: int(np.bitwise_count(z).sum(dtype=np.int64))
+    return count(x & y) + min(na - count(x), nb - count(y))
+
+
+def _marked(numerator: int, denominator: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_pylist(), batch.column("nb").to_pylist()
+            ok = [
+                most_shared(n, m, x, y) * (numerator + denominator) >= (n + m) * numerator
+                for n, m, x, y in zip(na, nb, batch.column("xa").to_pylist(), batch.column("xb").to_pylist())
+            ]
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, words, rows in word_blocks(batch.column("text"), IS_DARK):
                 hashes, owner = distinct_shingles(words, rows, b - a, size)
-                sets = list_array(pa.array(hashes.view(np.int64)), np.bincount(owner, minlength=b - a))
+                counts = np.bincount(owner, minlength=b - a)
+                sets = list_array(pa.array(hashes.view(np.int64)), counts)
+                cuts = np.concatenate([[0], np.cumsum(counts)])
+                bits = [marks(hashes[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), pa.array(set_id(hashes, owner, b - a)), sets],
-                    ["id", "own_id", "items"],
+                    [batch.column("id").slice(a, b - a), pa.array(set_id(hashes, owner, b - a)), sets, pa.array(bits, pa.binary())],
+                    ["id", "own_id", "items", "bits"],
                 )
 
     return run
@@ -357,6 +397,10 @@ def _tiles(numerator: int, denominator: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs that link; only those whose marks allow it move with their shingles."""
+    pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("bits").alias("xa")), "a")
+    pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("bits").alias("xb")), "b")
+    pairs = pairs.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_marked(numerator, denominator), "a long, b long, na long, nb long")
     pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), "a")
     pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b")
     both = F.size(F.array_intersect("ia", "ib"))
@@ -421,8 +465,8 @@ def _components(
     )
     chosen = pin(chosen)
     texts = keyed.select("row_key", "text").join(chosen.select("row_key", "id").hint("merge"), "row_key")
-    found = texts.select("id", "text").mapInArrow(_sets(words), "id long, own_id long, items array<long>")
-    sets = pin(found.filter("id = own_id").select("id", "items").dropDuplicates(["id"]))
+    found = texts.select("id", "text").mapInArrow(_sets(words), "id long, own_id long, items array<long>, bits binary")
+    sets = pin(found.filter("id = own_id").select("id", "items", "bits").dropDuplicates(["id"]))
     points = chosen.select("id", "n", "point")
 
     # First each set is compared to the one centre that it shares most leaves with, then to those of its other centres
