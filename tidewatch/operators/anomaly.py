@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.quantiles import quantiles
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
 FEATURES = ("amount", "txn_count", "avg_amount")
 NODE_SCHEMA = "tree int, node int, feature int, cut double, size int"
@@ -65,11 +65,13 @@ def tree_samples(points: DataFrame, key: str, trees: int, sample: int, seed: int
     chosen = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_d", own)
     first = Window.partitionBy("tree").orderBy("_d", key)
     chosen = chosen.filter(F.col("_d") < each).withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= sample)
-    return pin(chosen.select("tree", F.lit(0).alias("node"), "x"))
+    rows = pin(chosen.select("tree", F.lit(0).alias("node"), "x"))
+    unpin(pool)
+    return rows
 
 
-def grow(rows: DataFrame, features: int, depth_limit: int, seed: int) -> DataFrame:
-    """The nodes (heap numbering) of all trees over ``rows`` (tree, node, x: array of the features).
+def grow(rows: DataFrame, features: int, depth_limit: int, seed: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The nodes (heap numbering) of all trees over ``rows`` (tree, node, x: array of the features), and what they are read from.
 
     A node of one row, of equal rows or at the limit is a leaf. Else it cuts a
     feature that is not constant in it, both drawn by hash: values below the cut
@@ -96,10 +98,10 @@ def grow(rows: DataFrame, features: int, depth_limit: int, seed: int) -> DataFra
             "size",
         )
         level = pin(rows.join(cuts, ["tree", "node"]))
-        levels.append(level.drop("x"))
+        levels.append(level)
         right = F.when(F.col("x")[F.col("feature")] >= F.col("cut"), 2).otherwise(1)
         rows = level.filter(F.col("feature") != LEAF).select("tree", (2 * F.col("node") + right).alias("node"), "x")
-    return reduce(DataFrame.unionByName, levels).distinct()
+    return reduce(DataFrame.unionByName, levels).drop("x").distinct(), levels
 
 
 @dataclass(frozen=True)
@@ -184,7 +186,9 @@ def fit_and_score(
     rows = tree_samples(points, key, trees, sample, seed)
     # A table of fewer rows is its own sample; depth and norm follow from it.
     sample = min(sample, max(points.count(), 1))
-    nodes = grow(rows, len(features), math.ceil(math.log2(max(sample, 2))), seed).toPandas()
+    grown, levels = grow(rows, len(features), math.ceil(math.log2(max(sample, 2))), seed)
+    nodes = grown.toPandas()
+    unpin(rows, *levels)
     if nodes.empty:
         raise ValueError("no rows to train on")
     scored = pin(_score(df, nodes, features, sample))

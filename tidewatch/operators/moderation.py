@@ -80,17 +80,28 @@ def _validation_counts(sizes: DataFrame, test_size: float) -> DataFrame:
 
     ``sizes`` has one row (_label, n) per class.
     """
-    every = Window.partitionBy(F.lit(0))
-    total = F.sum("n").over(every)
+    total = sizes.agg(F.sum("n")).scalar()
     wanted = F.ceil(F.lit(test_size) * total)
     share = wanted * F.col("n") / total
-    shares = sizes.select("_label", "n", wanted.alias("_wanted"), share.alias("_share")).withColumn(
-        "_floor", F.floor("_share")
+    shares = sizes.select(
+        (F.floor(share) - share).alias("_rest"),
+        F.col("_label").cast("string").alias("_name"),
+        "_label",
+        F.floor(share).alias("_floor"),
     )
-    order = every.orderBy(F.col("_floor") - F.col("_share"), F.col("_label").cast("string"))
-    spare = F.col("_wanted") - F.sum("_floor").over(every)
-    one_more = (F.row_number().over(order) <= spare).cast("bigint")
-    return shares.select("_label", (F.col("_floor") + one_more).cast("bigint").alias("need"))
+    # Classes are ranked in ranges side by side; a range then adds the sizes of those before it, one row per range.
+    ranged = shares.repartitionByRange("_rest", "_name").withColumn("_range", F.spark_partition_id())
+    lists = ranged.groupBy("_range").agg(
+        F.sort_array(F.collect_list(F.struct("_rest", "_name", "_label", "_floor"))).alias("_rows"),
+        F.sum("_floor").alias("_floors"),
+    )
+    ranges = Window.orderBy("_range")
+    before = F.sum(F.size("_rows")).over(ranges.rowsBetween(Window.unboundedPreceding, -1))
+    floors = F.sum("_floors").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranked = lists.select(F.coalesce(before, F.lit(0)).alias("_before"), (wanted - floors).alias("_spare"), "_rows")
+    ranked = ranked.select("_before", "_spare", F.posexplode("_rows").alias("_at", "_row"))
+    one_more = (F.col("_before") + F.col("_at") < F.col("_spare")).cast("bigint")
+    return ranked.select("_row._label", (F.col("_row._floor") + one_more).cast("bigint").alias("need"))
 
 
 def stratified_split(

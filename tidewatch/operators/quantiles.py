@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators.ordered import join_on_keys
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
 BITS = 21
 _KEY, _PREFIX, _DIGIT, _RANK, _FOUND = "_key", "_prefix", "_digit", "_rank", "_found"
@@ -72,7 +72,7 @@ def _selected(keyed: DataFrame, wanted: DataFrame, by: list[str], width: int) ->
         upto = F.sum("_c").over(Window.partitionBy(*by, _PREFIX).orderBy(_DIGIT))
         counts = counts.withColumn("_upto", upto).withColumnRenamed(_DIGIT, "_next")
         placed = join_on_keys(found, counts, [*by, _PREFIX]).filter("_left < _upto AND _left >= _upto - _c")
-        found = pin(
+        before, found = found, pin(
             placed.select(
                 *by,
                 _RANK,
@@ -80,6 +80,8 @@ def _selected(keyed: DataFrame, wanted: DataFrame, by: list[str], width: int) ->
                 (F.shiftleft(_PREFIX, BITS) + F.col("_next")).alias(_PREFIX),
             )
         )
+        if step:
+            unpin(before)
     return found.select(*by, _RANK, F.col(_PREFIX).alias(_FOUND))
 
 

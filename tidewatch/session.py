@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Shuffle files of a query are deleted when it ends, not when the driver happens to collect its garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -29,7 +30,7 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        STATE_STORE: ROCKSDB,
         **conf,
     }
     for key, value in settings.items():
@@ -83,16 +84,19 @@ def release(spark: SparkSession) -> None:
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is started meanwhile; those before come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def pin(df: DataFrame, **options: str) -> DataFrame:
@@ -104,7 +108,7 @@ def pin(df: DataFrame, **options: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "pinned")
-    with _shuffles_removed(spark):
+    with settings(spark, {CLEANUP: "true"}):
         df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _pinned[out] = path

@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.operators import ordered
 from tidewatch.operators.behavior import ORDER, USER
+from tidewatch.session import pin, unpin
 from tidewatch.sources.sinks import EPOCH, epoch_writer, read_epochs
 
 STEPS = f"user_id string, {ordered.CHUNK} int, total bigint, lowest bigint, {EPOCH} bigint"
@@ -45,9 +46,10 @@ def score_writer(path: str, max_rows_per_key: int = ordered.MAX_ROWS_PER_KEY):
     write = epoch_writer(path)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        # End markers of a stream carry no user.
-        real = batch.filter(F.col("user_id").isNotNull())
+        # End markers of a stream carry no user. The batch is stored, as its sizes are counted before it is worked on.
+        real = pin(batch.filter(F.col("user_id").isNotNull()).select("user_id", *ORDER, "points"))
         write(score_steps(real, max_rows_per_key=max_rows_per_key), epoch)
+        unpin(real)
 
     return on_batch
 

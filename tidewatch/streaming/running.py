@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
+from contextlib import AbstractContextManager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidewatch.session import pin, scratch_path
+from tidewatch.session import ROCKSDB, STATE_STORE, pin, scratch_path, settings
 from tidewatch.sources.streams import event_source
 
 
@@ -56,20 +56,16 @@ def drain_until(
         query.stop()
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, wanted: int) -> Iterator[None]:
-    """At most ``wanted`` state partitions for queries that start meanwhile.
+def state_settings(spark: SparkSession, wanted: int) -> AbstractContextManager[None]:
+    """Settings for queries that start meanwhile: at most ``wanted`` state partitions, state in RocksDB.
 
-    Each is a store to commit per batch, whatever it holds. The checkpoint
-    keeps the number that a query was started with.
+    Each partition is a store to commit per batch, whatever it holds. The
+    checkpoint keeps both settings that a query was started with. Keyed state
+    (``stream_scores``) needs RocksDB.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, min(int(before), wanted))))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    partitions = "spark.sql.shuffle.partitions"
+    fewer = max(1, min(int(spark.conf.get(partitions)), wanted))
+    return settings(spark, {partitions: str(fewer), STATE_STORE: ROCKSDB})
 
 
 def replay(
@@ -97,7 +93,7 @@ def replay(
 
     def deliver(rows: DataFrame) -> None:
         rows.write.mode("append").parquet(folder)
-        with state_partitions(spark, math.ceil(rows_in_all / rows_per_partition)):
+        with state_settings(spark, math.ceil(rows_in_all / rows_per_partition)):
             drain(make_writer(event_source(spark, "parquet", schema=schema, path=folder)))
 
     for i in range(slices):
