@@ -18,6 +18,8 @@ BUCKET_S = 3_600
 # Prices and posts meet within these bounds, whatever bucket they are in.
 BEFORE_S, AFTER_S = 90, 120
 PAGE_BYTES = 6_000
+# Customers in a ledger file, and bytes of a split: far less than a file holds.
+LEDGER_ROWS, LEDGER_SPLIT = 5_000, 1 << 16
 END_ID = -1  # the id of a message that ends a log
 # Rows per key beyond which the *_split queries cut a key into chunks.
 SPLIT_OFFENCES, SPLIT_BARS = 8, 200

@@ -309,6 +309,11 @@ ORACLES: dict[str, str] = {
   value + 1 AS high, CASE WHEN event_type <> 'click' THEN value - 1 END AS low, value AS close,
   CAST(event_id AS DOUBLE) AS volume FROM events WHERE event_type <> 'error'""",
     "alert_json": f"WITH {ALERTS} SELECT transaction_id, user_id, amount, is_fraud_alert, fraud_score FROM alerts",
+    "ledger_rows": r"""SELECT CAST(c_custkey AS VARCHAR) AS user_id, any_value(c_name) AS name, count(*) AS behavior_score,
+  CAST(count(*) AS INTEGER) AS n_entries, CAST(sum(o_orderkey % 7) AS BIGINT) AS points,
+  string_agg(o_orderpriority, ',' ORDER BY o_orderkey) AS offenses,
+  '"' || arg_min(o_orderstatus, o_orderkey) || '\}, {' AS content, strftime(max(o_orderdate), '%Y-%m-%d') AS last
+  FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
     "user_window_features": USER_FEATURES,
     "fraud_features": f"WITH {FEATURES} SELECT * REPLACE (round(avg_amount, 6) AS avg_amount) FROM feat",
     "fraud_alerts": f"WITH {ALERTS} SELECT * FROM alerts",

@@ -28,7 +28,8 @@ from tidewatch.operators import (
 )
 from tidewatch.plans import inputs as I
 from tidewatch.plans import stream_queries
-from tidewatch.session import pin
+from tidewatch.session import pin, scratch_path
+from tidewatch.sources.ledger import read_large_ledger
 from tidewatch.sources.readers import flatten_keyed_series
 from tidewatch.sources.streams import decode_json
 
@@ -96,6 +97,36 @@ def keyed_json_flatten(spark, d):
     return flat.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+@query
+def ledger_rows(spark, d):
+    """Customers and their orders as ledger files of one JSON object each, read back in splits of a few kilobytes."""
+    order = F.struct(
+        "o_orderkey",
+        F.col("o_orderpriority").alias("offense"),
+        F.pmod("o_orderkey", F.lit(7)).cast("int").alias("points"),
+        F.concat(F.lit('"'), "o_orderstatus", F.lit('\\}, {')).alias("content"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("timestamp"),
+    )
+    placed = I.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.transform(F.array_sort(F.collect_list(order)), lambda o: o.dropFields("o_orderkey")).alias("history")
+    )
+    people = I.table(spark, d, "customer").join(placed, "c_custkey")
+    value = F.to_json(F.struct(F.col("c_name").alias("name"), F.size("history").alias("behavior_score"), "history"))
+    entry = F.concat(F.lit('"'), F.col("c_custkey").cast("string"), F.lit('":'), value)
+    # A file holds some thousand customers, however many there are.
+    files = F.floor(F.col("c_custkey") / I.LEDGER_ROWS).alias("file")
+    whole = people.groupBy(files).agg(F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ",\n"), F.lit("}")).alias("value"))
+    path = scratch_path(spark, "ledger")
+    whole.write.partitionBy("file").text(path)
+    rows = read_large_ledger(spark, path, split_bytes=I.LEDGER_SPLIT)
+    points = F.aggregate("history", F.lit(0).cast("bigint"), lambda a, e: a + e.points)
+    return rows.select(
+        "user_id", "name", "behavior_score", F.size("history").alias("n_entries"), points.alias("points"),
+        F.array_join(F.col("history.offense"), ",").alias("offenses"), F.get("history.content", F.lit(0)).alias("content"),
+        F.array_max("history.timestamp").alias("last"),
+    )
+
+
 @query
 def alert_json(spark, d):
     fields = "transaction_id string, user_id bigint, amount double, is_fraud_alert boolean, fraud_score double"
@@ -663,10 +694,10 @@ def isolation_forest_scores(spark, d):
 
 @query
 def moderation_model_scores(spark, d):
-    comments = I.comments(spark, d)
-    split = moderation.stratified_split(comments, "row_id", "rule_violation")
-    # Training reads its input several times: the cleaned texts are stored once.
-    rows = pin(split.select("row_id", "rule_violation", "split", text.clean_text("body").alias("model_input")))
+    # The split is made on ids and labels; texts meet it once and are stored clean, as training reads them several times.
+    split = moderation.stratified_split(I.labelled(spark, d), "row_id", "rule_violation")
+    texts = I.table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), text.clean_text("text").alias("model_input"))
+    rows = pin(texts.join(split, "row_id"))
     model = classifier.build_pipeline().fit(rows.filter("split = 'train'"))
     scored = classifier.predict(model, rows.filter("split = 'val'"))
     return scored.select("row_id", F.col("rule_violation").alias("true_label"), "prob_violation")
