@@ -83,6 +83,14 @@ def test_positions_and_pages(spark):
         assert flat == [r[7] for r in sorted(rows, key=lambda r: r[2:5]) if r[0] == "hot"]
 
 
+def test_chunks_follow_the_rows_and_not_the_bound(spark, monkeypatch):
+    df, _ = offences(spark)
+    count = lambda: ordered.chunked(df, ["user_id"], behavior.ORDER, 2)[0].select(ordered.CHUNK).distinct().count()
+    assert 1 < count() <= 4  # shuffle partitions of the tests; 200 by the bound
+    monkeypatch.setattr(ordered, "LEAST_CHUNK", 20)
+    assert 10 < count() <= 20
+
+
 def bars(spark, n=300, seed=5):
     rng = random.Random(seed)
     rows = [

@@ -21,6 +21,8 @@ from tidewatch.session import pin
 CHUNK = "_chunk"
 POSITION = "_position"
 MAX_ROWS_PER_KEY = 5_000_000
+#: Fewer rows are no task of their own, however few a key may have.
+LEAST_CHUNK = 50_000
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -42,16 +44,18 @@ def chunked(
     ``order`` must be unique within a key. Without a large key every row is in
     chunk 0 and nothing is moved or written; the flag says whether keys were
     split. The check counts rows per key, so ``df`` should be a stored table;
-    ``max_rows_per_key=None`` states that keys are known to be small.
+    ``max_rows_per_key=None`` states that keys are known to be small. A chunk is
+    a task and a file: a bound below LEAST_CHUNK decides what is split, not how
+    many chunks there are, so that their number follows the rows alone.
     """
     if max_rows_per_key is None:
         return df.withColumn(CHUNK, F.lit(0)), False
     largest, total = group_sizes(df, keys)
     if largest <= max_rows_per_key:
         return df.withColumn(CHUNK, F.lit(0)), False
-    # Enough chunks that none holds many more rows than a key may.
+    # Enough chunks that none holds many more rows than a key may, or than are worth a task.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks or max(partitions, math.ceil(total / max_rows_per_key))
+    chunks = chunks or max(partitions, math.ceil(total / max(max_rows_per_key, LEAST_CHUNK)))
     ranged = df.repartitionByRange(chunks, *keys, *order)
     # Range bounds come from a sample: fix the outcome before it is read twice.
     return pin(ranged.withColumn(CHUNK, F.spark_partition_id())), True
