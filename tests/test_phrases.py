@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import phrases
 from tidewatch.session import scratch_path
+from tidewatch.sources import ledger as source
 from tidewatch.sources.ledger import read_large_ledger
 from tidewatch.sources.readers import read_ledger
 
@@ -61,6 +62,38 @@ def test_split_ledger_is_the_whole_ledger(spark, split, style):
         assert got.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_small_splits_share_tasks_and_read_little_beyond_themselves(spark, monkeypatch):
+    folder = Path(scratch_path(spark, "ledger").removeprefix("file:"))
+    folder.mkdir()
+    path = folder / "one.json"
+    path.write_text(json.dumps(ledger(random.Random(5), 2000)))
+    size = path.stat().st_size
+    got = read_large_ledger(spark, str(path), 1000)
+    assert size > 100_000 and 1 < got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert rows(got) == rows(read_ledger(spark, str(path)))
+
+    done = []
+
+    class Counted:
+        def open_input_file(self, name):
+            stream = open(name, "rb")
+            read = stream.read
+
+            class File:
+                __enter__, __exit__ = lambda self: self, lambda self, *_: stream.close()
+                seek = stream.seek
+
+                def read(self, n):
+                    done.append(n)
+                    return read(n)
+
+            return File()
+
+    monkeypatch.setattr(source, "open_path", lambda p: (Counted(), p))
+    assert len(list(source._entries(str(path), 0, 1000, size, source.OUTSIDE, 0))) > 0
+    assert sum(done) <= 1000 + 2 * source.BEYOND
+
+
 def test_ledgers_that_are_none(spark):
     folder = Path(scratch_path(spark, "ledger").removeprefix("file:"))
     folder.mkdir()

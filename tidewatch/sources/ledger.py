@@ -13,6 +13,7 @@ reading on beyond the range for the last one.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from tidewatch.sources.readers import LEDGER, LEDGER_ROWS
 
 SPLIT = 32 << 20
 BLOCK = 4 << 20
+#: What is read at a time behind a range, where only its last entry is missing.
+BEYOND = 16 << 10
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 QUOTE, BACKSLASH, COMMA = ord('"'), ord("\\"), ord(",")
 
@@ -64,10 +67,11 @@ def _nesting(data: np.ndarray, plain: np.ndarray) -> np.ndarray:
     return (opens & plain).astype(np.int64) - (closes & plain)
 
 
-def _blocks(stream, start: int, end: int) -> Iterator[np.ndarray]:
+def _blocks(stream, start: int, end: int, size: int) -> Iterator[np.ndarray]:
+    """Bytes from ``start``: the range itself up to ``end``, then small blocks up to ``size``."""
     stream.seek(start)
-    while start < end:
-        data = stream.read(min(BLOCK, end - start))
+    while start < size:
+        data = stream.read(min(BLOCK, end - start) if start < end else min(BEYOND, size - start))
         if not data:
             return
         start += len(data)
@@ -81,7 +85,7 @@ def _table(path: str, start: int, end: int) -> list[int]:
     with system.open_input_file(name) as stream:
         for state in (OUTSIDE, INSIDE, ESCAPED):
             depth = 0
-            for data in _blocks(stream, start, end):
+            for data in _blocks(stream, start, end, end):
                 state, plain = step(data, state)
                 depth += int(_nesting(data, plain).sum())
             out += [state, depth]
@@ -101,7 +105,7 @@ def _entries(path: str, start: int, end: int, size: int, state: int, depth: int)
     parts: list[bytes] | None = None
     with system.open_input_file(name) as stream:
         at = start
-        for data in _blocks(stream, start, size):
+        for data in _blocks(stream, start, end, size):
             state, plain = step(data, state)
             nesting = _nesting(data, plain)
             depths = depth + np.cumsum(nesting)
@@ -160,6 +164,13 @@ def _begins_as_object(system: fs.FileSystem, path: str) -> bool:
     return False
 
 
+def _spread(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """Splits in file order, each task a run of them: small splits share a task, large ones have one each."""
+    size = sum(end - start for _, start, end, *_ in rows)
+    tasks = min(len(rows), max(spark.sparkContext.defaultParallelism, math.ceil(size / SPLIT)))
+    return spark.createDataFrame(rows, names).repartitionByRange(tasks, "path", "start")
+
+
 def read_large_ledger(spark: SparkSession, path: str, split_bytes: int = SPLIT) -> DataFrame:
     """The rows of ``read_ledger`` from a file (or a folder of files) of any size.
 
@@ -182,7 +193,7 @@ def read_large_ledger(spark: SparkSession, path: str, split_bytes: int = SPLIT)
     if not splits:
         return spark.createDataFrame([], LEDGER_ROWS)
     names = "path string, start bigint, end bigint, size bigint"
-    tables = spark.createDataFrame(splits, names).repartition(len(splits), "path", "start")
+    tables = _spread(spark, splits, names)
     found = sorted(tables.mapInArrow(_tables, f"{names}, t array<bigint>").collect(), key=lambda r: (r.path, r.start))
     begins, whole = [], set()
     state = depth = 0
@@ -196,6 +207,5 @@ def read_large_ledger(spark: SparkSession, path: str, split_bytes: int = SPLIT)
     work = [b for b in begins if b[0] in whole]
     if not work:
         return spark.createDataFrame([], LEDGER_ROWS)
-    rows = spark.createDataFrame(work, f"{names}, state int, depth bigint").repartition(len(work), "path", "start")
-    users = rows.mapInArrow(_users, "user_id string, value string")
+    users = _spread(spark, work, f"{names}, state int, depth bigint").mapInArrow(_users, "user_id string, value string")
     return users.select("user_id", F.from_json("value", LEDGER.valueType).alias("v")).select("user_id", "v.*")
