@@ -77,6 +77,34 @@ def test_interval_join_of_streams_drops_its_state(spark):
     assert kept < 20  # of some hundred rows
 
 
+def test_bounds_are_worked_out_per_row_and_not_per_pair(spark, capsys):
+    (_, l), (_, r) = sides(spark, random.Random(1))
+    interval_join(l, r.drop("k"), "lt", "rt", SEC, SEC).explain()
+    joins = [x for x in capsys.readouterr().out.splitlines() if "Join" in x]
+    assert joins and not any("INTERVAL" in x for x in joins)
+
+
+def test_rows_of_a_bin_go_into_the_state_in_packs(spark):
+    rng = random.Random(2)
+    at = lambda: START + timedelta(microseconds=rng.randrange(15 * 10**6))
+    rows = [(i if i % 2 else None, None if i % 2 else i, at()) for i in range(3000)]
+    both = spark.createDataFrame(rows, "l int, r int, t timestamp")
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "c")
+
+    def build(s):
+        a = s.filter("l IS NOT NULL").select("l", F.col("t").alias("lt"))
+        b = s.filter("r IS NOT NULL").select("r", F.col("t").alias("rt"))
+        return to_files(interval_join(a, b, "lt", "rt", 10 * SEC, 5 * SEC, delay="5 seconds"), out, checkpoint)
+
+    replay(both, "t", build, 1, SEC)
+    found = spark.read.parquet(out)
+    left, right = [(x, None, t) for x, _, t in rows if x is not None], [(x, None, t) for _, x, t in rows if x is not None]
+    assert found.columns == ["l", "lt", "r", "rt"]
+    assert sorted((x.l, x.r) for x in found.select("l", "r").collect()) == plain(left, right, 10 * SEC, 5 * SEC, False)
+    kept = spark.read.format("statestore").option("joinSide", "left").load(checkpoint).count()
+    assert 0 < kept < 30  # of some 3000 entries of rows and bins
+
+
 OFFENCES = "user_id string, name string, ts int, message_id int, seq int, offense string, points int, content string"
 
 

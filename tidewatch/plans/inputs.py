@@ -93,13 +93,13 @@ def social(spark: SparkSession, d: str) -> DataFrame:
 
 
 def interval_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Prices and posts with their ids."""
+    """Prices and posts with their ids; scores are rounded here, once per post and not once per pair."""
     bought = F.col("event_type").isin("view", "purchase")
     price = table(spark, d, "events").filter(bought).select(
         F.col("event_id").alias("price_id"), F.col("value").alias("price"), F.col("ts").alias("price_time")
     )
     said = posts(spark, d).select(
-        F.col("event_id").alias("post_id"), F.col("event_time").alias("post_time"), "sentiment_score"
+        F.col("event_id").alias("post_id"), F.col("event_time").alias("post_time"), F.round("sentiment_score", 6).alias("sentiment_score")
     )
     return price, said
 

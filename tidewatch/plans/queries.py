@@ -200,7 +200,7 @@ def hype_interval_join(spark, d):
     """Each price with the posts shortly before and after it: the interval alone is the condition."""
     bounds = [timedelta(seconds=x) for x in (I.BEFORE_S, I.AFTER_S)]
     pairs = intervals.interval_join(*I.interval_sides(spark, d), "price_time", "post_time", *bounds)
-    return pairs.select("price_id", "post_id", "price", r6("sentiment_score"))
+    return pairs.select("price_id", "post_id", "price", "sentiment_score")
 
 
 @query

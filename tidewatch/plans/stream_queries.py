@@ -95,7 +95,7 @@ def stream_hype_interval_join(spark, d):
         return intervals.interval_join(left, right, "price_time", "post_time", *bounds, delay="10 minutes")
 
     rows = _through_files(spark, _with_timestamp(both, "t"), build, time="t").filter("price_id IS NOT NULL")
-    return rows.select("price_id", "post_id", "price", F.round("sentiment_score", 6).alias("sentiment_score"))
+    return rows.select("price_id", "post_id", "price", "sentiment_score")
 
 
 def stream_until_marker(spark, d):
