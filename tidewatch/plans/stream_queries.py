@@ -92,10 +92,11 @@ def stream_hype_interval_join(spark, d):
         left = stream.filter("post_id IS NULL").select("price_id", "price", F.col("t").alias("price_time"))
         right = stream.filter("price_id IS NULL").select("post_id", "sentiment_score", F.col("t").alias("post_time"))
         bounds = [timedelta(seconds=x) for x in (I.BEFORE_S, I.AFTER_S)]
-        return intervals.interval_join(left, right, "price_time", "post_time", *bounds, delay="10 minutes")
+        pairs = intervals.interval_join(left, right, "price_time", "post_time", *bounds, delay="10 minutes")
+        return pairs.select("price_id", "post_id", "price", "sentiment_score")  # what the result has: pairs are many
 
-    rows = _through_files(spark, _with_timestamp(both, "t"), build, time="t").filter("price_id IS NOT NULL")
-    return rows.select("price_id", "post_id", "price", "sentiment_score")
+    rows = _through_files(spark, _with_timestamp(both, "t"), build, time="t")
+    return rows.filter("price_id IS NOT NULL")
 
 
 def stream_until_marker(spark, d):
