@@ -217,3 +217,37 @@ def test_embedding_tiles_give_the_same(spark, monkeypatch):
     once = sorted(map(str, embedding_dedup.near_duplicates(df).collect()))
     monkeypatch.setattr(embedding_dedup, "TILE", 5)
     assert sorted(map(str, embedding_dedup.near_duplicates(df).collect())) == once
+
+
+def test_bytes_are_joined_to_their_count_tables(spark, monkeypatch):
+    texts = ["the cat sat on the mat.", "кот сидит на ковре", "кошка и кот", "漢字と仮名", "thé à la carte"]
+    odd = ["the cat zzz! é\nQ", "кот на столе", "漢字漢字", "\n"]
+    docs = awkward(spark, odd)
+    for chunk_bytes in (1 << 20, 2000):
+        rows = quality.joined_entropy(docs, quality.count_tables(plain_docs(spark, texts)), chunk_bytes).collect()
+        assert len(rows) == docs.count()
+        got = {r.doc_id: r for r in rows}
+        assert all(r.entropy is None for r in rows if r.symbols == 0)
+        with monkeypatch.context() as patch:
+            patch.setattr(quality, "SYMBOL", quality.BYTE)
+            patch.setattr(quality, "SYMBOLS", 256)
+            patch.setattr(quality, "BREAK", 10)
+            p = plain_kneser_ney(texts, quality.LENGTH)
+            for i, text in enumerate(odd):
+                s = [10] * (quality.LENGTH - 1) + list(text.encode())
+                want = -sum(math.log(p(tuple(s[j : j + quality.LENGTH]))) for j in range(len(text.encode())))
+                assert got[100 + i].symbols == len(text.encode())
+                assert math.isclose(got[100 + i].entropy, want / len(text.encode()), rel_tol=1e-9)
+    nothing = quality.joined_entropy(docs, quality.count_tables(none(docs))).filter("symbols > 0").collect()
+    assert nothing and all(math.isclose(r.entropy, math.log(256)) for r in nothing)
+
+
+def test_quality_tells_letters_of_any_script_apart(spark):
+    rng = random.Random(6)
+    words = ["кот", "дом", "река", "поле", "ветер", "книга"]
+    good = [" ".join(rng.choices(words, k=60)) for _ in range(40)]
+    # Two letters on within one lead byte: the same classes of bytes, no such words.
+    junk = "".join(chr(ord(c) + 2) if "а" <= c <= "н" else c for c in good[0])
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id bigint, quality int")
+    rows = {r.doc_id: r for r in quality.quality(plain_docs(spark, [*good, junk]), labels).collect()}
+    assert rows[40].entropy > rows[0].entropy + 1 and rows[0].kept and not rows[40].kept

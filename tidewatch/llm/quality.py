@@ -1,15 +1,20 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-The model is trained on the trusted texts, all of them. Its tokens are symbols:
-bytes mapped to 64 classes (letters, digits, marks, parts of other characters),
-so no text has an unknown token and the model has at most 64**ORDER n-grams,
-whatever the corpus. N-gram counts are combined per batch and summed by Spark
-over shards of n-grams; the counts of each order come from those of the next
-longer one, and are joined shard by shard to the totals of their contexts,
-which gives every n-gram its discounted share and every context the weight of
-the shorter one. The result, whose size the alphabet bounds, goes to the tasks
-that score documents; perplexities are cut at quantiles of the trusted texts
-of each language.
+The model is trained on the trusted texts, all of them. Its tokens are bytes,
+each as it is, so no text of any script has an unknown token. N-gram counts are
+combined per batch and summed by Spark over shards of n-grams; the counts of
+each order come from those of the next longer one, and are joined shard by
+shard to the totals of their contexts, which gives every n-gram its discounted
+share and every context the weight of the shorter one. These count tables stay
+tables, as large as the trusted texts make them.
+
+Documents are dealt to chunks of bounded size. The distinct n-grams of a chunk
+are joined shard by shard to the count tables of every order, and the
+probabilities found go back to the chunk, where its texts add them up.
+Perplexities are cut at quantiles of the trusted texts of each language.
+
+``train`` and ``cross_entropy`` hold a small model instead, over bytes folded
+into 64 classes, as one dense array per task; the query does not use them.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.llm.common import fresh, learning_row, row_blocks, table, text_bytes
-from tidewatch.session import pin
+from tidewatch.session import pin, unpin
 
 ORDER = 4
 SYMBOLS = 64
@@ -38,6 +43,13 @@ LEAST_TEXTS = 50
 #: Cross entropies are compared in steps of this size (nats per symbol).
 STEP = 0.001
 BREAK = 54
+#: Bytes of an n-gram of the count tables, and bits of a byte.
+LENGTH, BYTE_BITS = 4, 8
+BYTE = np.arange(1 << BYTE_BITS, dtype=np.int64)
+#: Bytes of text, about, that are scored together.
+CHUNK_BYTES = 16 << 20
+#: Bytes of text whose n-grams are numbers of 8 bytes at a time.
+SPAN_BYTES = 2 << 20
 
 
 def _alphabet() -> np.ndarray:
@@ -59,31 +71,52 @@ def _alphabet() -> np.ndarray:
 SYMBOL = _alphabet().astype(np.int32)
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(
+    data: np.ndarray, offsets: np.ndarray, order: int = ORDER, symbols: np.ndarray = SYMBOL, bits: int = BITS
+) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram that ends at each byte, as a number, and the row of each.
 
-    A row begins after ``order - 1`` line breaks.
+    ``symbols`` are those of the 256 bytes. A row begins after ``order - 1`` line breaks.
     """
     sizes = np.diff(offsets)
     row = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(data)) - offsets[:-1][row]
-    symbol = SYMBOL[data]
-    gram = np.zeros(len(data), np.int32)
+    symbol, pause = symbols[data], symbols[10]
+    gram = np.zeros(len(data), symbols.dtype)
     for back in range(order - 1, -1, -1):
-        one = np.full(len(data), BREAK, np.int32)
+        one = np.full(len(data), pause, symbols.dtype)
         if back < len(data):
             one[back:] = symbol[: len(data) - back]
-        gram = (gram << BITS) | np.where(place >= back, one, BREAK)
+        gram = (gram << bits) | np.where(place >= back, one, pause)
     return gram, row
 
 
+def _byte_ngrams(column: pa.Array, order: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, n-grams of bytes, row of each from 0) per block."""
+    data, offsets = text_bytes(column)
+    for a, b in row_blocks(offsets, SPAN_BYTES):
+        yield a, b, *ngrams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], order, BYTE, BYTE_BITS)
+
+
+def _counted(gram: np.ndarray) -> pa.RecordBatch:
+    found, n = np.unique(gram, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         for a, b in row_blocks(offsets):
-            gram, _ = ngrams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            found, n = np.unique(gram, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+            yield _counted(ngrams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[0])
+
+
+def _byte_counts(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, gram, _ in _byte_ngrams(batch.column("text"), order):
+                yield _counted(gram)
+
+    return run
 
 
 def discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, float, float]:
@@ -95,12 +128,12 @@ def discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, flo
     return tuple(min(max(x, 0.05), k - 0.05) for k, x in enumerate(d, 1))
 
 
-def order_tables(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def order_tables(counts: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """(gram, share) and (context, weight) of one order from its counts (gram, n)."""
     seen = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2, 3, 4)]
     d1, d2, d3 = discounts(*[x or 0 for x in counts.agg(*seen).first()])
     cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-    counts = counts.select("gram", F.shiftright("gram", BITS).alias("context"), "n", cut.alias("d"))
+    counts = counts.select("gram", F.shiftright("gram", bits).alias("context"), "n", cut.alias("d"))
     contexts = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("d"))
     shares = counts.join(contexts.select("context", "total"), "context")
     return (
@@ -109,6 +142,92 @@ def order_tables(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def count_tables(trusted: DataFrame, order: int = LENGTH) -> list[tuple[DataFrame, DataFrame]]:
+    """``order_tables`` of the bytes of the column ``text``, for 1 to ``order`` bytes; all empty without text."""
+    counts = trusted.select("text").mapInArrow(_byte_counts(order), "gram long, n long")
+    counts = pin(counts.groupBy("gram").agg(F.sum("n").alias("n")))
+    tables = []
+    for k in range(order, 0, -1):
+        tables.append(order_tables(counts, BYTE_BITS))
+        # In how many ways an n-gram is continued to the left.
+        shorter = counts.select(_last_bytes("gram", k - 1).alias("gram"))
+        counts = pin(shorter.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))) if k > 1 else counts
+    return tables[::-1]
+
+
+def _last_bytes(gram: str, k: int) -> Column:
+    return F.col(gram).bitwiseAND(F.lit((1 << (BYTE_BITS * k)) - 1).cast("long"))
+
+
+def probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """gram and its probability ``p`` after its context, of the distinct n-grams ``wanted`` (gram).
+
+    From the shortest order to the longest, each joined to its count tables by
+    n-gram and by context; one that was never counted has what the shorter one has.
+    """
+    known = None
+    for k, (shares, weights) in enumerate(tables, 1):
+        asked = wanted.select(_last_bytes("gram", k).alias("gram")).distinct()
+        found = asked.withColumn("context", F.shiftright("gram", BYTE_BITS)).join(shares, "gram", "left").join(weights, "context", "left")
+        lower = F.lit(1 / len(BYTE))
+        if known is not None:
+            shorter = known.select(F.col("gram").alias("end"), F.col("p").alias("lower"))
+            found, lower = found.withColumn("end", _last_bytes("gram", k - 1)).join(shorter, "end"), F.col("lower")
+        p = F.coalesce(F.col("share"), F.lit(0.0)) + F.coalesce(F.col("weight"), F.lit(1.0)) * lower
+        last, known = known, pin(found.select("gram", p.alias("p")))
+        if last is not None:
+            unpin(last)
+    return known
+
+
+def _distinct_of(order: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        parts = [np.unique(gram) for _, _, gram, _ in _byte_ngrams(rows.column("text"), order)]
+        grams = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+        chunk = pa.array(np.full(len(grams), key[0].as_py()), pa.int32())
+        return pa.Table.from_arrays([chunk, pa.array(grams, pa.int64())], ["chunk", "gram"])
+
+    return run
+
+
+def _added_up(order: int):
+    def run(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
+        grams, p = found.column("gram").to_numpy(), found.column("p").to_numpy()
+        by = np.argsort(grams)
+        grams, logs = grams[by], np.log(p[by])
+        total, sizes = np.zeros(rows.num_rows), np.zeros(rows.num_rows, np.int64)
+        for a, b, gram, row in _byte_ngrams(rows.column("text"), order):
+            sizes[a:b] = np.bincount(row, minlength=b - a)
+            if len(gram):
+                total[a:b] = np.bincount(row, logs[np.searchsorted(grams, gram)], minlength=b - a)
+        entropy = pa.array(-total / np.maximum(sizes, 1), mask=sizes == 0)
+        kept = rows.drop_columns(["chunk", "text"])
+        return kept.append_column("symbols", pa.array(sizes)).append_column("entropy", entropy)
+
+    return run
+
+
+def joined_entropy(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """doc_id, lang, ``symbols`` (bytes) and ``entropy`` (nats per byte) of every row of ``docs``, pinned.
+
+    ``entropy`` is null for empty and null texts. Rows are dealt to chunks of
+    about ``chunk_bytes`` by a hash of id and text; the distinct n-grams of a
+    chunk move, and its texts, once for these and once to be scored.
+    """
+    order = len(tables)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-size // chunk_bytes) or 1)).cast("int").alias("chunk")
+    dealt = docs.select(chunk, "doc_id", "lang", "text")
+    pairs = pin(dealt.select("chunk", "text").groupBy("chunk").applyInArrow(_distinct_of(order), "chunk int, gram long"))
+    known = probabilities(pin(pairs.select("gram").distinct()), tables)
+    found = pairs.join(known, "gram").select("chunk", "gram", "p")
+    fields = [docs.schema["doc_id"], docs.schema["lang"], T.StructField("symbols", T.LongType()), T.StructField("entropy", T.DoubleType())]
+    both = dealt.groupBy("chunk").cogroup(found.groupBy("chunk"))
+    scored = pin(both.applyInArrow(_added_up(order), T.StructType(fields)))
+    unpin(pairs, known)
+    return scored
+
+
 class Model:
     """Log-probability of every n-gram, filled in from the tables of each order."""
 
@@ -255,13 +374,11 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     trusted = trusted_ids(labels)
     texts = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
-    scored, (symbols, entropy) = cross_entropy(docs.select("doc_id", "text", "lang"), train(texts))
-    scored = pin(scored.select("doc_id", "lang", F.col(symbols).alias("symbols"), F.col(entropy).alias("entropy")))
-    return judge(scored, trusted)
+    return judge(joined_entropy(docs.select("doc_id", "lang", "text"), count_tables(texts)), trusted)
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
-    """Perplexity is per symbol; thresholds are on the adjusted cross entropy in nats."""
+    """Perplexity is per byte; thresholds are on the adjusted cross entropy in nats."""
     found = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(
         "doc_id",
