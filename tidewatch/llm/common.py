@@ -63,16 +63,21 @@ _powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``BASE**i`` and ``BASE**-i`` modulo 2**64, for i below ``n``."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, (1 << 20) + 1)
-        both = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            both.append(np.multiply.accumulate(steps))
+    """``BASE**i`` and ``BASE**-i`` modulo 2**64, for i below ``n``.
+
+    Workers live on between tasks: those for a block stay with them, those for a longer text do not.
+    """
+    if _powers and len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    size = max(n, (1 << 20) + 1)
+    both = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        both.append(np.multiply.accumulate(steps))
+    if size <= BLOCK_BYTES + 1:
         _powers[:] = both
-    return _powers[0], _powers[1]
+    return both[0], both[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -51,7 +51,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch.column("toxic").to_numpy().astype(np.int64)
         data, offsets = text_bytes(batch.column("text"))
-        for a, b in row_blocks(offsets, 16 << 20):
+        for a, b in row_blocks(offsets):
             terms, row = term_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             order = np.lexsort((row, terms))
             terms, row = terms[order], row[order]
@@ -91,9 +91,11 @@ def _vectors(shared):
         space: Vectors = shared.value
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            row, term, weight = space.of(data, offsets)
-            cuts = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            blobs = [term[a:b].astype("<i4").tobytes() + np.round(weight[a:b], 9).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+            blobs = []
+            for first, end in row_blocks(offsets):
+                row, term, weight = space.of(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first])
+                cuts = np.searchsorted(row, np.arange(end - first + 1))
+                blobs += [term[a:b].astype("<i4").tobytes() + np.round(weight[a:b], 9).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(blobs, pa.binary())], ["doc_id", "toxic", "vector"]
             )
