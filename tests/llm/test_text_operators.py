@@ -254,6 +254,15 @@ def test_lines_are_the_text(spark):
         assert "".join(r.l) == r.text and r.l == [x for x in r.s if x]
 
 
+def test_line_dedup_hashes_only_runs_around_a_place(spark):
+    text = "".join(f"w{i}a w{i}b w{i}c w{i}d w{i}e w{i}f.\n" for i in range(80))
+    lines = line_dedup._hashed(plain_docs(spark, [text]), "doc_id", "text")
+    places = spark.createDataFrame([(0, [40])], "k bigint, ps array<int>")
+    runs = line_dedup._passages(lines, places, line_dedup.MIN_WORDS).first().runs
+    # 25 words are five lines here; what begins at the lines 37 to 40 may have its fingerprint at 40.
+    assert sorted((r.start, r.end) for r in runs) == [(s, s + 5) for s in range(37, 41)]
+
+
 def test_line_dedup_joins_a_pair_in_each_context(spark):
     """The pairs of a passage stand in earlier texts too, each alone."""
     rng = random.Random(13)

@@ -68,19 +68,18 @@ def _hashed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         return F.octet_length(said) - F.octet_length(F.replace(said, F.lit(" "), F.lit("")))
 
     def near(x: Column) -> Column:
-        said = F.rtrim(x)
-        return F.struct(F.xxhash64(said).alias("h"), (spaces(said) + 1).cast("int").alias("w"))
+        return F.struct(F.xxhash64(x).alias("h"), (spaces(x) + 1).cast("int").alias("w"))
 
     def distant(x: Column) -> Column:
-        said = F.rtrim(x)
-        letters = F.char_length(said) - F.char_length(F.regexp_replace(said, UNSPACED, ""))
-        alone = F.when(F.octet_length(said) == F.char_length(said), F.lit(1)).otherwise(F.greatest(letters, F.lit(1)))
-        return F.struct(F.xxhash64(said).alias("h"), (spaces(said) + alone).cast("int").alias("w"))
+        letters = F.char_length(x) - F.char_length(F.regexp_replace(x, UNSPACED, ""))
+        alone = F.when(F.octet_length(x) == F.char_length(x), F.lit(1)).otherwise(F.greatest(letters, F.lit(1)))
+        return F.struct(F.xxhash64(x).alias("h"), (spaces(x) + alone).cast("int").alias("w"))
 
     rows = _with_keys(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "id", "text", "k", "t")
     rows = rows.select("id", "k", "t", "text", is_far(F.col("text")).alias("far"))
     rows = rows.select("id", "k", "t", "far", lines_of(F.col("text"), F.col("far")).alias("lines"))
-    line = F.when(F.col("far"), F.transform("lines", distant)).otherwise(F.transform("lines", near))
+    said = F.transform("lines", lambda x: F.rtrim(x))
+    line = F.when(F.col("far"), F.transform(said, distant)).otherwise(F.transform(said, near))
     return rows.select("id", "k", "t", line.alias("line")).select(
         "id", "k", "t", F.col("line.h").alias("h"), F.col("line.w").alias("w")
     )
@@ -143,31 +142,37 @@ def _passages(texts: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
     # Words and lines so far as one number; it stops growing when the words suffice.
     unit = 1 << 32
     enough = F.lit(min_words * unit).cast("long")
-    grow = lambda a, x: F.when(a >= enough, a).otherwise(a + x.cast("long") * unit + 1)
-    size = lambda a: F.when(a >= enough, a % unit)
-    lines = lambda words: F.aggregate(words, F.lit(0).cast("long"), grow, size)
-    back = F.transform("ps", lambda p: F.sequence(F.greatest(p - (min_words - 1), F.lit(0)), p))
-    on = F.transform("ps", lambda p: F.sequence(p, p + (min_words - 1)))
+    grow = lambda a, j: F.when(a >= enough, a).otherwise(a + F.get("w", j).cast("long") * unit + 1)
+    size = lambda a: F.when(a >= enough, (a % unit).cast("int"))
+
+    # Single elements are read: a slice copies the whole array first.
+    def end(i: Column) -> Column:
+        """Where the shortest passage from line ``i`` on ends; null if the lines do not suffice."""
+        there = F.sequence(i, F.least(i + (min_words - 1), F.col("n") - 1))
+        return i + F.when(i < F.col("n"), F.aggregate(there, F.lit(0).cast("long"), grow, size))
+
+    # The fingerprint of what begins at a line is one of the WINDOW pairs from there on. One more line
+    # is looked at, as what begins at a line ends before the shortest passage of the next one does.
+    about = F.flatten(F.transform("ps", lambda p: F.sequence(F.greatest(p - (WINDOW - 1), F.lit(0)), p + 1)))
     near = texts.select("k", "t", "h", "w").join(places, "k")
-    near = near.select("k", "t", "h", "w", F.array_distinct(F.flatten(back)).alias("starts"), F.array_distinct(F.flatten(on)).alias("lasts"))
+    near = near.select("k", "t", "h", "w", F.size("w").alias("n"), F.sort_array(F.array_distinct(about)).alias("about"))
+    near = near.select("k", "t", "h", "n", F.transform("about", lambda i: F.struct(i.alias("start"), end(i).alias("end"))).alias("ends"))
 
-    # A run is one number, start and end, as distinct structs are found by comparing all with all.
-    def from_start(i: Column) -> Column:
-        return i.cast("long") * (unit + 1) + lines(F.slice("w", i + 1, min_words))
+    # A run is one number, start and end. From each line on: the shortest run, and those that would be too short without it.
+    def from_start(x: Column, after: Column) -> Column:
+        last = F.greatest(x.end, F.coalesce(after.end - 1, F.col("n")))
+        runs = F.transform(F.sequence(x.end, last), lambda e: x.start.cast("long") * unit + e)
+        return F.when(x.end.isNotNull() & (after.start == x.start + 1), runs)
 
-    def to_last(e: Column) -> Column:
-        first = F.greatest(e - (min_words - 1), F.lit(0))
-        before = F.reverse(F.slice("w", first + 1, e - first + 1))
-        return F.when(e < F.size("w"), (e + 1).cast("long") * (unit + 1) - lines(before) * unit)
-
-    runs = F.array_distinct(F.array_compact(F.concat(F.transform("starts", from_start), F.transform("lasts", to_last))))
+    runs = F.flatten(F.array_compact(F.zip_with(*_shifted("ends", 1), from_start)))
 
     def whole(r: Column) -> Column:
         start, end = F.shiftright(r, 32).cast("int"), (r % unit).cast("int")
-        return F.struct(F.xxhash64(F.slice("h", start + 1, end - start)).alias("g"), start.alias("start"), end.alias("end"))
+        said = F.transform(F.sequence(start, end - 1), lambda j: F.get("h", j))
+        return F.struct(F.xxhash64(said).alias("g"), start.alias("start"), end.alias("end"))
 
     hashed = F.transform(runs, whole)
-    return near.select("k", "t", F.array_sort(hashed).alias("runs"))
+    return near.select("k", "t", F.sort_array(hashed).alias("runs"))
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -198,7 +203,7 @@ def _repeated(docs: DataFrame, doc_id: str, text: str, min_words: int) -> tuple[
     found = across.unionByName(within.select("k", "t", "run.start", "run.end")).distinct()
     found = found.select("k", "t", F.struct("start", "end").alias("run"))
     numbers = F.flatten(F.transform(F.collect_list("run"), lambda r: F.sequence(r.start, r.end - 1)))
-    gone = pin(found.groupBy("k", "t").agg(F.array_sort(F.array_distinct(numbers)).alias("gone")))
+    gone = pin(found.groupBy("k", "t").agg(F.sort_array(F.array_distinct(numbers)).alias("gone")))
     unpin(passages)
     sizes = texts.select("id", "k", "t", F.size("h").alias("n_lines"), F.col("w"))
     return sizes.join(gone, ["k", "t"], "left"), texts, gone
