@@ -273,6 +273,38 @@ def test_line_dedup_joins_a_pair_in_each_context(spark):
     assert [got[i] for i in range(6)] == [None] * 5 + [[1, 2, 3, 4, 5]]
 
 
+def test_line_dedup_computes_arrays_once(spark):
+    """Rows of lines and runs are made by compiled steps, which copy no array; no condition repeats the work on a text."""
+    rng = random.Random(14)
+    docs = plain_docs(spark, ["".join(line(rng, 6) for _ in range(9))] * 2)
+    texts = line_dedup._hashed(docs, "doc_id", "text")
+    places = spark.createDataFrame([(0, [4])], "k bigint, ps array<int>")
+    plans = [line_dedup._prints(texts, 25), line_dedup._passages(texts, places, 25)]
+    plans.append(line_dedup.dedup_lines(docs))
+    for frame in plans:
+        rows = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not [r for r in rows if "Filter" in r and ("lambda" in r or "split(" in r)]
+        assert not [r for r in rows if "Generate" in r and "lambda" in r]
+    compiled = plans[0]._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [r for r in compiled if "Generate" in r]
+    assert len(made) == 2 and all("*(" in r for r in made)
+
+
+def test_line_dedup_finds_passages_of_every_length(spark):
+    """Other bounds of words, the last lines of a text, and ids that stand twice, against the plain definition."""
+    rng = random.Random(15)
+    shared = ["".join(line(rng, rng.randrange(1, 5)) for _ in range(rng.randrange(1, 12))) for _ in range(12)]
+    texts = ["".join(rng.choice(shared) if rng.random() < 0.5 else line(rng, 3) for _ in range(5)) for _ in range(60)]
+    for least in (1, 2, 7, 40):
+        got = {r.id: r.gone or [] for r in line_dedup.repeated_lines(plain_docs(spark, texts), min_words=least).collect()}
+        assert [got[i] for i in range(len(texts))] == plain_repeats(texts, least)
+    twice = spark.createDataFrame([(7, texts[0]), (7, texts[0]), (7, texts[1]), (8, texts[0])], "doc_id bigint, text string")
+    rows = [(r.id, r.gone or []) for r in line_dedup.repeated_lines(twice).collect()]
+    own = [plain_repeats([t])[0] for t in texts[:2]]
+    last = plain_repeats([texts[0], texts[0]])[1]
+    assert sorted(rows) == sorted([(7, own[0]), (7, own[0]), (7, own[1]), (8, last)])
+
+
 def test_license_sql_on_every_notice(spark, tmp_path):
     """Documents with each notice, whole, edited within and beyond the drift, and cut."""
     import duckdb

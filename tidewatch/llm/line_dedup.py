@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import fresh, table
-from tidewatch.session import pin, unpin
+from tidewatch.session import pin, settings, unpin
 
 WINDOW = 4
 MIN_WORDS = 25
@@ -31,11 +31,13 @@ LINE_END = r"(?<=[\n。！？，、；：｡､।۔؟،។။])|(?<=[.!?,;:] )"
 #: The same cuts found faster: a mark is put after each line end, then split at.
 CUT_AFTER, MARK = r"[\n。！？，、；：｡､।۔؟،។။]|[.!?,;:] ", "\x01"
 #: All marks and letters of the patterns above and below beyond ASCII lie here: other texts need neither.
-FAR, CUT_AFTER_NEAR = r"[\u0600-\u1FFF\u2E80-\x{10FFFF}]", r"\n|[.!?,;:] "
+#: Their cuts are a line break, or a mark and a space: one class first, as most characters are in none.
+FAR, CUT_AFTER_NEAR = r"[\u0600-\u1FFF\u2E80-\x{10FFFF}]", r"[\n.!?,;:](?:(?<=\n)| )"
 #: Letters that count as words, as their scripts put no spaces between words.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: A document has fewer lines than 2 to this power.
 POSITION_BITS = 28
+SPLIT_KEYS = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
 def is_far(text: Column) -> Column:
@@ -97,82 +99,90 @@ def _sums(x: str | Column, y: str | Column, by: int) -> Column:
     return F.zip_with(F.slice(x, 1, F.size(there)), there, lambda a, b: a + b)
 
 
-def _least(x: str | Column, by: int) -> Column:
-    return F.zip_with(*_shifted(x, by), lambda a, b: F.least(a, b))
+def _rows(frame: DataFrame, name: str, values: Column) -> DataFrame:
+    """A row for each of ``values`` in place of each row; none for those of an empty or null array.
+
+    The condition is on the new rows: one on ``values`` would be pushed below what they come from and compute it again.
+    """
+    return frame.select("*", F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
 
 
 def _prints(texts: DataFrame, min_words: int) -> DataFrame:
     """k, p, f: the fingerprints of each document and the lines they begin at.
 
     Pairs are compared by the top bits of their hash and then by position, as
-    one number. Each step is a column of its own, as a column is computed once
-    where a nested expression is computed wherever it is named.
+    one number. Each line is a row that looks at the lines after it in the
+    arrays of its document: such steps are compiled, and copy no array, as long
+    as no function with a lambda stands among them.
     """
     pairs = F.zip_with(*_shifted("h", 1), lambda a, b: F.xxhash64(a, b))
-    top = F.transform(
-        pairs, lambda x, i: F.shiftleft(F.shiftrightunsigned(x, POSITION_BITS), POSITION_BITS).bitwiseOR(i.cast("long"))
-    )
-    steps = texts.select("k", "h", "w", top.alias("l1"), _sums("w", "w", 1).alias("s2"))
-    steps = steps.select("*", _sums("s2", "w", 2).alias("s3"), _sums("s2", "s2", 2).alias("s4"), _least("l1", 1).alias("l2"))
-    # l1 to l4: the smallest of 1 to 4 (WINDOW) pairs from a line on; s2 to s4: the words of 2 to 4 lines.
-    steps = steps.select("*", _least("l2", 1).alias("l3"), _least("l2", 2).alias("l4"))
-    steps = steps.select("k", "h", "w", F.arrays_zip("w", "s2", "s3", "s4", "l1", "l2", "l3", "l4").alias("z"))
-    fits = lambda x: F.coalesce(x >= min_words, F.lit(False))
-    chosen = F.transform(
-        "z",
-        lambda z: F.when(fits(z.w), F.lit(None))
-        .when(fits(z.s2), z.l1)
-        .when(fits(z.s3), z.l2)
-        .when(fits(z.s4), z.l3)
-        .otherwise(z.l4),
+    lines = texts.select("k", "h", "w", F.size("h").alias("n"), pairs.alias("pairs"))
+    lines = _rows(lines, "i", F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)))
+
+    def pair(j: int) -> Column:
+        """The pair that begins ``j`` lines on, null if there is none."""
+        at = F.col("i") + j
+        top = F.shiftleft(F.shiftrightunsigned(F.get("pairs", at), POSITION_BITS), POSITION_BITS)
+        return top.bitwiseOR(at.cast("long"))
+
+    # l0, w0: the line before; l1, w1: the line.
+    numbers = range(WINDOW + 1)
+    lines = lines.select(
+        "k", "h", "pairs", "i", *[pair(j - 1).alias(f"l{j}") for j in numbers], *[F.get("w", F.col("i") + (j - 1)).alias(f"w{j}") for j in numbers]
     )
-    place = F.lit((1 << POSITION_BITS) - 1).cast("long")
-    places = F.transform(F.array_distinct(F.array_compact(chosen)), lambda v: v.bitwiseAND(place).cast("int"))
+
+    def chosen(first: int) -> Column:
+        """The smallest pair of the shortest passage from a line on, of WINDOW pairs at most; null if the line suffices."""
+        words, least = F.col(f"w{first}"), None
+        out = F.when(words.isNull() | (words >= min_words), F.lit(None).cast("long"))
+        for k in range(first, first + WINDOW):
+            least = F.col(f"l{k}") if least is None else F.least(least, F.col(f"l{k}"))
+            if k + 1 < first + WINDOW:
+                words = words + F.col(f"w{k + 1}")
+                out = out.when(words >= min_words, least)
+        return out.when(F.col(f"l{first + WINDOW - 1}").isNotNull(), least)
+
+    lines = lines.select("k", "h", "pairs", "i", (F.col("w1") >= min_words).alias("alone"), chosen(0).alias("u"), chosen(1).alias("v"))
     # A line that is a passage is its own fingerprint; -1 - p tells it from the pair at p.
-    alone = F.array_compact(F.transform("w", lambda x, i: F.when(x >= min_words, -1 - i)))
-    found = steps.select("k", "h", F.explode(F.concat(places, alone)).alias("q"))
+    # What the line before has chosen is not told again.
+    place = F.col("v").bitwiseAND(F.lit((1 << POSITION_BITS) - 1).cast("long")).cast("int")
+    told = F.when(F.col("alone"), F.array(-1 - F.col("i"))).when(~F.col("v").eqNullSafe(F.col("u")), F.array(place))
+    found = _rows(lines.select("k", "h", "pairs", told.alias("told")), "q", F.col("told"))
     p = F.when(F.col("q") < 0, -1 - F.col("q")).otherwise(F.col("q"))
-    first, then = F.get("h", p), F.get("h", p + 1)
-    f = F.when(F.col("q") < 0, F.xxhash64(first)).otherwise(F.xxhash64(first, then))
-    return found.select("k", p.alias("p"), f.alias("f"))
+    return found.select("k", p.alias("p"), F.when(F.col("q") < 0, F.xxhash64(F.get("h", p))).otherwise(F.get("pairs", p)).alias("f"))
 
 
 def _passages(texts: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
-    """k, t, ``runs`` (hash, start, end): the shortest passages around ``places`` (k, ps)."""
-    # Words and lines so far as one number; it stops growing when the words suffice.
-    unit = 1 << 32
-    enough = F.lit(min_words * unit).cast("long")
-    grow = lambda a, j: F.when(a >= enough, a).otherwise(a + F.get("w", j).cast("long") * unit + 1)
-    size = lambda a: F.when(a >= enough, (a % unit).cast("int"))
-
-    # Single elements are read: a slice copies the whole array first.
-    def end(i: Column) -> Column:
-        """Where the shortest passage from line ``i`` on ends; null if the lines do not suffice."""
-        there = F.sequence(i, F.least(i + (min_words - 1), F.col("n") - 1))
-        return i + F.when(i < F.col("n"), F.aggregate(there, F.lit(0).cast("long"), grow, size))
-
-    # The fingerprint of what begins at a line is one of the WINDOW pairs from there on. One more line
-    # is looked at, as what begins at a line ends before the shortest passage of the next one does.
-    about = F.flatten(F.transform("ps", lambda p: F.sequence(F.greatest(p - (WINDOW - 1), F.lit(0)), p + 1)))
-    near = texts.select("k", "t", "h", "w").join(places, "k")
-    near = near.select("k", "t", "h", "w", F.size("w").alias("n"), F.sort_array(F.array_distinct(about)).alias("about"))
-    near = near.select("k", "t", "h", "n", F.transform("about", lambda i: F.struct(i.alias("start"), end(i).alias("end"))).alias("ends"))
-
-    # A run is one number, start and end. From each line on: the shortest run, and those that would be too short without it.
-    def from_start(x: Column, after: Column) -> Column:
-        last = F.greatest(x.end, F.coalesce(after.end - 1, F.col("n")))
-        runs = F.transform(F.sequence(x.end, last), lambda e: x.start.cast("long") * unit + e)
-        return F.when(x.end.isNotNull() & (after.start == x.start + 1), runs)
-
-    runs = F.flatten(F.array_compact(F.zip_with(*_shifted("ends", 1), from_start)))
-
-    def whole(r: Column) -> Column:
-        start, end = F.shiftright(r, 32).cast("int"), (r % unit).cast("int")
-        said = F.transform(F.sequence(start, end - 1), lambda j: F.get("h", j))
-        return F.struct(F.xxhash64(said).alias("g"), start.alias("start"), end.alias("end"))
-
-    hashed = F.transform(runs, whole)
-    return near.select("k", "t", F.sort_array(hashed).alias("runs"))
+    """k, t, n, ``runs`` (hash, start, end): the shortest passages around ``places`` (k, ps), and the number of lines.
+
+    Rows equal in k and t become one.
+    """
+    # The fingerprint of what begins at a line is one of the WINDOW pairs from there on.
+    about = F.flatten(F.transform("ps", lambda p: F.sequence(F.greatest(p - (WINDOW - 1), F.lit(0)), p)))
+    near = texts.select("k", "t", "h", F.col("w").alias("s1")).join(places, "k")
+    near = near.select("k", "t", "h", "s1", F.size("h").alias("n"), F.array_distinct(about).alias("starts"))
+    # s1, s2, s4, ...: the words of so many lines from each line on.
+    strides = [1 << b for b in range((min_words - 1).bit_length())]
+    for by in strides[:-1]:
+        near = near.select("*", _sums(f"s{by}", f"s{by}", by).alias(f"s{2 * by}"))
+    # Per start and for the line after it: the lines whose words do not suffice, by halving strides.
+    start = F.col("start")
+    rows = _rows(near, "start", F.col("starts"))
+    rows = rows.select("*", start.alias("e0"), F.lit(min_words).alias("m0"), (start + 1).alias("e1"), F.lit(min_words).alias("m1"))
+    for by in reversed(strides):
+        step = {}
+        for e, m in (("e0", "m0"), ("e1", "m1")):
+            words = F.get(f"s{by}", F.col(e))
+            step[e] = F.when(words < F.col(m), F.col(e) + by).otherwise(F.col(e))
+            step[m] = F.when(words < F.col(m), F.col(m) - words).otherwise(F.col(m))
+        rows = rows.withColumns(step)
+    # From each line on: the shortest run, and those that would be too short without it.
+    n, short, after = F.col("n"), F.col("e0"), F.col("e1")
+    ends = F.when(short < n, F.sequence(short + 1, F.greatest(short + 1, after)))
+    rows = _rows(rows.select("k", "t", "n", "h", "start", ends.alias("ends")), "end", F.col("ends"))
+    said = F.slice("h", start + 1, F.col("end") - start)
+    rows = rows.select("k", "t", "n", F.struct(F.xxhash64(said).alias("g"), "start", "end").alias("run"))
+    return rows.groupBy("k", "t").agg(F.max("n").alias("n"), F.sort_array(F.collect_set("run")).alias("runs"))
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -187,26 +197,28 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _repeated(docs: DataFrame, doc_id: str, text: str, min_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows of ``repeated_lines``, and the pinned tables behind them: lines, and what is gone (k, t, gone)."""
+    """The rows of ``repeated_lines``, and the pinned tables behind them: lines, and what is gone (k, t, n lines, gone)."""
     texts = pin(_hashed(docs, doc_id, text))
     prints = pin(_prints(texts, min_words))
     shared = prints.groupBy("f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("f")
     places = prints.join(shared, "f").groupBy("k").agg(F.collect_set("p").alias("ps"))
-    passages = pin(_passages(texts, places, min_words))
+    # One id may hold many rows: these are split even if they must be gathered once more.
+    with settings(docs.sparkSession, {SPLIT_KEYS: "true"}):
+        passages = pin(_passages(texts, places, min_words))
     unpin(prints)
-    runs = passages.select("k", "t", F.explode("runs").alias("run")).select("k", "t", F.col("run.g").alias("g"), "run")
+    runs = passages.select("k", "t", "n", F.explode("runs").alias("run")).select("k", "t", "n", F.col("run.g").alias("g"), "run")
     firsts = runs.groupBy("g").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).filter("k0 < k1")
-    across = runs.join(firsts.select("g", "k0"), "g").filter("k > k0").select("k", "t", "run.start", "run.end")
+    across = runs.join(firsts.select("g", "k0"), "g").filter("k > k0").select("k", "t", "n", "run.start", "run.end")
     # Passages that stand earlier in the same document: the runs are sorted by (hash, start).
     again = F.zip_with(*_shifted("runs", 1), lambda a, b: F.when(a.g == b.g, b))
-    within = passages.select("k", "t", F.explode(F.array_compact(again)).alias("run"))
-    found = across.unionByName(within.select("k", "t", "run.start", "run.end")).distinct()
-    found = found.select("k", "t", F.struct("start", "end").alias("run"))
+    within = _rows(passages.select("k", "t", "n", F.array_compact(again).alias("again")), "run", F.col("again"))
+    found = across.unionByName(within.select("k", "t", "n", "run.start", "run.end")).distinct()
+    found = found.select("k", "t", "n", F.struct("start", "end").alias("run"))
     numbers = F.flatten(F.transform(F.collect_list("run"), lambda r: F.sequence(r.start, r.end - 1)))
-    gone = pin(found.groupBy("k", "t").agg(F.sort_array(F.array_distinct(numbers)).alias("gone")))
+    gone = pin(found.groupBy("k", "t").agg(F.max("n").alias("n"), F.sort_array(F.array_distinct(numbers)).alias("gone")))
     unpin(passages)
     sizes = texts.select("id", "k", "t", F.size("h").alias("n_lines"), F.col("w"))
-    return sizes.join(gone, ["k", "t"], "left"), texts, gone
+    return sizes.join(gone.drop("n"), ["k", "t"], "left"), texts, gone
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -215,16 +227,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     A document of which every line was a later copy is dropped; one that had no
     line to begin with stays.
     """
-    key, mark, lost, far = fresh(docs.columns, "k", "t", "gone", "far")
+    key, mark, lost, count, far = fresh(docs.columns, "k", "t", "gone", "n", "far")
     _, texts, gone = _repeated(docs, doc_id, text, min_words)
     unpin(texts)
-    gone = gone.select(F.col("k").alias(key), F.col("t").alias(mark), F.col("gone").alias(lost))
+    gone = gone.select(F.col("k").alias(key), F.col("t").alias(mark), F.col("gone").alias(lost), F.col("n").alias(count))
     joined = _with_keys(docs, doc_id, text, key, mark).join(gone, [key, mark], "left")
-    joined = joined.withColumn(far, is_far(F.col(text)))
-    numbered = F.transform(lines_of(F.col(text), F.col(far)), lambda x, i: F.when(~F.array_contains(lost, i), x))
-    kept = F.array_join(F.filter(numbered, lambda x: x.isNotNull()), "")
-    out = joined.withColumn(text, F.when(F.col(lost).isNull(), F.col(text)).otherwise(kept))
-    return out.filter(F.col(lost).isNull() | (F.col(text) != "")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = joined.filter(F.col(lost).isNull() | (F.size(lost) < F.col(count)))
+    joined = joined.withColumn(far, F.when(F.col(lost).isNotNull(), is_far(F.col(text))))
+    left = F.filter(lines_of(F.col(text), F.col(far)), lambda x, i: ~F.array_contains(lost, i))
+    out = joined.withColumn(text, F.when(F.col(lost).isNull(), F.col(text)).otherwise(F.array_join(left, "")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
